@@ -37,8 +37,7 @@ BASE_RATES = {
     "HLTH": Decimal("0.20"),
 }
 
-# Keys holding more than 1/HOT_KEY_LIMIT of all rows are joined by broadcast;
-# at most HOT_KEY_LIMIT keys can be that frequent, whatever the data size.
+# A key holding more than 1/HOT_KEY_LIMIT of all rows is split before a shuffle join.
 HOT_KEY_LIMIT = 10_000
 
 

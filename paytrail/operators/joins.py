@@ -23,7 +23,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None where it cannot be asked."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except AttributeError:
         return None
 
@@ -39,12 +39,16 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def hot_keys(fact: DataFrame, keys: list[str], limit: int = HOT_KEY_LIMIT) -> DataFrame:
-    """Keys that hold more than 1/limit of all rows: fewer than ``limit`` by counting alone."""
-    frequency = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def hot_keys(rows: DataFrame, keys: list[str], limit: int = HOT_KEY_LIMIT) -> DataFrame:
+    """Keys holding more than 1/limit of all rows, and the slices that brings each down to it.
+
+    By counting alone there are fewer than ``limit`` such keys and 2 x ``limit`` slices.
+    """
+    frequency = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = frequency.agg(F.sum("_n")).scalar()
     known = _all([F.col(k).isNotNull() for k in keys])
-    return frequency.where(known & (F.col("_n") * limit > total)).select(*keys)
+    slices = F.ceil(F.col("_n") * limit / total).cast("int").alias("_slices")
+    return frequency.where(known & (F.col("_n") * limit > total)).select(*keys, slices)
 
 
 def skew_join(
@@ -53,38 +57,43 @@ def skew_join(
     keys: list[str],
     how: str = "left",
     condition: Column | None = None,
+    traffic: DataFrame | None = None,
     limit: int | None = None,
     hot_limit: int = HOT_KEY_LIMIT,
 ) -> DataFrame:
     """Left or inner equi-join of a large side to a keyed side, with an optional residual.
 
-    A keyed side within the broadcast limit is broadcast. Beyond it, only the rows of
-    the few hot keys are, so hot and NULL-keyed fact rows never move; all other
-    rows meet in a shuffle join in which no key is frequent.
+    A keyed side within the broadcast limit is broadcast. Beyond it the two sides meet
+    in one shuffle join on the key and a slice number: a hot key is cut into as many
+    slices as its share asks for, and its few keyed rows are repeated per slice.
+    The slice of a fact row follows from its input partition, so it splits equal copies
+    and is the same when a task runs again. ``traffic`` is any frame with the key
+    distribution of the fact side; give the base table when the fact side is long to
+    compute, since counting its keys would compute it twice.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     dim_keys = {k: f"_dim_{k}" for k in keys}
-    lookup = dim.withColumnsRenamed(dim_keys)
     on = _all([F.col(k) == F.col(dim_keys[k]) for k in keys])
     if condition is not None:
         on = on & condition
-
     if is_small(dim, limit):
-        return fact.join(F.broadcast(lookup), on, how).drop(*dim_keys.values())
+        lookup = F.broadcast(dim.withColumnsRenamed(dim_keys))
+        return fact.join(lookup, on, how).drop(*dim_keys.values())
 
-    hot = hot_keys(fact, keys, hot_limit)
+    hot = F.broadcast(hot_keys(fact if traffic is None else traffic, keys, hot_limit))
     known = _all([F.col(k).isNotNull() for k in keys])
-    marked = fact.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
-    marked = marked.select(*fact.columns, "_hot")
-    hot_lookup = dim.join(F.broadcast(hot), keys, "left_semi").withColumnsRenamed(dim_keys)
-    in_place = marked.where(F.col("_hot") | ~known).drop("_hot")
-    shuffled = marked.where(F.col("_hot").isNull() & known).drop("_hot")
-    return (
-        in_place.join(F.broadcast(hot_lookup), on, how)
-        .unionByName(shuffled.join(lookup, on, how))
-        .drop(*dim_keys.values())
+    here = F.spark_partition_id()
+    row_slice = F.when(known, F.coalesce(F.pmod(here, F.col("_slices")), F.lit(0))).otherwise(here)
+    all_slices = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
+    sliced = fact.join(hot, keys, "left").select(*fact.columns, row_slice.alias("_slice"))
+    repeated = (
+        dim.join(hot, keys, "left")
+        .select(*dim.columns, F.explode(all_slices).alias("_dim_slice"))
+        .withColumnsRenamed(dim_keys)
     )
+    joined = sliced.join(repeated, on & (F.col("_slice") == F.col("_dim_slice")), how)
+    return joined.drop("_slice", "_dim_slice", *dim_keys.values())
 
 
 def exclusive_periods(
@@ -126,6 +135,7 @@ def as_of_join(
     end: str = "effective_end_date",
     payload: list[str] | None = None,
     how: str = "left",
+    traffic: DataFrame | None = None,
     limit: int | None = None,
     hot_limit: int = HOT_KEY_LIMIT,
 ) -> DataFrame:
@@ -138,5 +148,5 @@ def as_of_join(
     payload = payload or [c for c in history.columns if c not in {*keys, start, end}]
     periods = exclusive_periods(history, keys, start, end, payload)
     in_force = F.col(at).between(F.col("_from"), F.col("_to"))
-    joined = skew_join(left, periods, keys, how, in_force, limit, hot_limit)
+    joined = skew_join(left, periods, keys, how, in_force, traffic, limit, hot_limit)
     return joined.drop("_from", "_to")

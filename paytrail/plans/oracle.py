@@ -156,7 +156,7 @@ _PIECES = {
                annual_premium AS premium_amount, renewal_rate AS commission_rate,
                CAST(round(annual_premium * renewal_rate, 2) AS DECIMAL(18,2)) AS commission_amount
         FROM renewed""",
-    "asof": """
+    "tier_on_day": """
         SELECT agent_id, transaction_date,
                first(tier ORDER BY effective_start_date, effective_end_date NULLS LAST) AS tier
         FROM (SELECT DISTINCT agent_id, transaction_date FROM txn) JOIN tiers USING (agent_id)
@@ -269,7 +269,7 @@ _RECON = f"""
     FROM recon"""
 _TIER_AS_OF = f"""
     SELECT transaction_id, agent_id, {_day("transaction_date")}, tier
-    FROM txn LEFT JOIN asof USING (agent_id, transaction_date)"""
+    FROM txn LEFT JOIN tier_on_day USING (agent_id, transaction_date)"""
 _SCD2_TYPED = (
     "c_custkey, c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal, "
     "CAST(s AS VARCHAR) AS effective_start_date, CAST(e AS VARCHAR) AS effective_end_date, c AS is_current"
@@ -399,7 +399,7 @@ _BODIES = {
                                   AND effective_end_date = txn.transaction_date)""",
     "as_of_inner": f"""
         SELECT transaction_id, agent_id, {_day("transaction_date")}, tier
-        FROM txn JOIN asof USING (agent_id, transaction_date)""",
+        FROM txn JOIN tier_on_day USING (agent_id, transaction_date)""",
     "upsert": """
         SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
                CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice
