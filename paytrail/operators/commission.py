@@ -89,12 +89,19 @@ def build_commission_plans(products: DataFrame, starts: DataFrame) -> DataFrame:
     )
 
 
-def tier_as_of(rows: DataFrame, tiers: DataFrame, at: str, name: str, limit: int | None = None) -> DataFrame:
+def tier_as_of(
+    rows: DataFrame,
+    tiers: DataFrame,
+    at: str,
+    name: str,
+    traffic: DataFrame | None = None,
+    limit: int | None = None,
+) -> DataFrame:
     """Attach the agent's tier on the day ``at``; NULL where no period covers it."""
     periods = tiers.select(
         "agent_id", F.col("tier").alias(name), "effective_start_date", "effective_end_date"
     )
-    return as_of_join(rows, periods, ["agent_id"], at, limit=limit)
+    return as_of_join(rows, periods, ["agent_id"], at, traffic=traffic, limit=limit)
 
 
 def lookup_rate(
@@ -120,16 +127,20 @@ def lookup_rate(
     return found.withColumn(name, rate(F.coalesce(planned, fallback))).drop("_plan_rate")
 
 
-def price_policies(policies: DataFrame, tiers: DataFrame, plans: DataFrame, products: DataFrame) -> DataFrame:
+def price_policies(
+    policies: DataFrame, tiers: DataFrame, plans: DataFrame, products: DataFrame
+) -> DataFrame:
     """Policies with their base rate, tier at issue, new-business rate and amount.
 
-    A policy without a premium earns nothing and is left out.
+    A policy without a premium earns nothing and is left out. Frequent agents and
+    products are looked up in the policies themselves, not in what is joined so far.
     """
     payable = policies.where(F.col("annual_premium").isNotNull())
-    based = skew_join(payable, products.select("product_id", "base_commission_rate"), ["product_id"])
-    tiered = tier_as_of(based, tiers, "issue_date", "tier_at_issue").withColumn(
-        "tier_at_issue", F.coalesce("tier_at_issue", F.lit(DEFAULT_TIER))
-    )
+    base = products.select("product_id", "base_commission_rate")
+    based = skew_join(payable, base, ["product_id"], traffic=policies)
+    tiered = tier_as_of(based, tiers, "issue_date", "_tier", traffic=policies).withColumn(
+        "tier_at_issue", F.coalesce("_tier", F.lit(DEFAULT_TIER))
+    ).drop("_tier")
     rated = lookup_rate(
         tiered,
         plans,
@@ -195,10 +206,19 @@ def renewal_dates(policies: DataFrame, end_date: Column) -> DataFrame:
     return expanded.withColumn("renewal_date", on).where(F.col("renewal_date") <= end_date)
 
 
-def calc_renewals(priced: DataFrame, tiers: DataFrame, plans: DataFrame, end_date: Column) -> DataFrame:
-    """Renewal transactions at the tier and plan in force on each renewal date."""
+def calc_renewals(
+    priced: DataFrame,
+    tiers: DataFrame,
+    plans: DataFrame,
+    end_date: Column,
+    traffic: DataFrame | None = None,
+) -> DataFrame:
+    """Renewal transactions at the tier and plan in force on each renewal date.
+
+    ``traffic`` may name the policies, to find frequent agents without pricing twice.
+    """
     due = renewal_dates(priced, end_date)
-    tiered = tier_as_of(due, tiers, "renewal_date", "_tier").withColumn(
+    tiered = tier_as_of(due, tiers, "renewal_date", "_tier", traffic=traffic).withColumn(
         "tier_at_renewal", F.coalesce("_tier", "tier_at_issue")
     )
     rated = lookup_rate(
@@ -223,11 +243,16 @@ def calc_renewals(priced: DataFrame, tiers: DataFrame, plans: DataFrame, end_dat
     )
 
 
-def calc_overrides(transactions: DataFrame, agents: DataFrame, limit: int | None = None) -> DataFrame:
+def calc_overrides(
+    transactions: DataFrame,
+    agents: DataFrame,
+    traffic: DataFrame | None = None,
+    limit: int | None = None,
+) -> DataFrame:
     """The seller's direct upline earns a share of each new-business and renewal amount."""
     uplines = agents.where(F.col("upline_agent_id").isNotNull()).select("agent_id", "upline_agent_id")
     base = transactions.where(F.col("transaction_type").isin(NEW_BUSINESS, RENEWAL))
-    sold = skew_join(base, uplines, ["agent_id"], "inner", limit=limit)
+    sold = skew_join(base, uplines, ["agent_id"], "inner", traffic=traffic, limit=limit)
     return sold.select(
         F.concat(F.lit("OV-"), F.col("transaction_id").cast("string")).alias("transaction_id"),
         "policy_id",

@@ -6,26 +6,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paytrail.operators.joins import is_small, skew_join
-from paytrail.session import checkpointed
+from paytrail.session import materialized
 
 # monotonically_increasing_id keeps the partition number above its lower 33 bits.
 _SLOT_BITS = 33
 _COPIES_PER_CHUNK = 100_000
+_ROWS_PER_WINDOW = 1_000_000
 
 
 def _sorted_slots(df: DataFrame, order_by: list[Column]) -> DataFrame:
     """Globally sorted rows with their partition ``_part`` and place ``_slot`` in it.
 
-    The sorted rows are checkpointed, so a lost executor cannot change the places.
+    The places are written out with the rows, so a lost executor cannot change them.
     """
-    placed = checkpointed(df.orderBy(*order_by)).withColumn(
-        "_id", F.monotonically_increasing_id()
-    )
-    return placed.select(
-        "*",
+    sorted_rows = df.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id())
+    return materialized(sorted_rows, "sorted").select(
+        *df.columns,
         F.shiftright("_id", _SLOT_BITS).alias("_part"),
         F.col("_id").bitwiseAND((1 << _SLOT_BITS) - 1).alias("_slot"),
-    ).drop("_id")
+    )
 
 
 def _part_offsets(placed: DataFrame, size: Column) -> DataFrame:
@@ -54,18 +53,21 @@ def with_sequence_id(
 
 
 def global_rank(
-    df: DataFrame, by: str, name: str = "rank", limit: int | None = None
+    df: DataFrame, by: str, name: str = "rank", window_rows: int = _ROWS_PER_WINDOW
 ) -> DataFrame:
     """Descending rank over all rows; ties share a rank, gaps follow, NULLs come last.
 
-    A small input takes the plain window. Otherwise the distinct values are
-    counted and sorted across the cluster, and each row looks up its value's rank.
+    Up to ``window_rows`` rows (by estimate, else counted) take the plain window. Beyond
+    that the distinct values are counted and sorted across the cluster, and each
+    row looks up its value's rank.
     """
-    if is_small(df, limit):
-        best_first = Window.orderBy(F.col(by).desc_nulls_last())
-        return df.withColumn(name, F.rank().over(best_first).cast("bigint"))
+    in_one_window = F.rank().over(Window.orderBy(F.col(by).desc_nulls_last())).cast("bigint")
+    if window_rows and is_small(df):
+        return df.withColumn(name, in_one_window)
+    rows = materialized(df)
+    if window_rows and rows.count() <= window_rows:
+        return rows.withColumn(name, in_one_window)
 
-    rows = checkpointed(df)
     values = rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
     placed = _sorted_slots(values, [F.col(by).desc()])
     offsets = _part_offsets(placed, F.sum("_rows"))
@@ -77,7 +79,7 @@ def global_rank(
         by, (F.col("_before") + ahead + 1).alias(name)
     )
     after_all = rows.agg(F.count(by) + 1).scalar()
-    ranked = skew_join(rows, ranks, [by], "left", limit=limit)
+    ranked = skew_join(rows, ranks, [by])
     return ranked.withColumn(name, F.coalesce(F.col(name), after_all).cast("bigint"))
 
 

@@ -154,14 +154,14 @@ def trailing_periods(summary: DataFrame, months: int = TRAILING_MONTHS) -> DataF
     return summary.where(F.col("pay_period") >= first)
 
 
-def agent_leaderboard(summary: DataFrame, limit: int | None = None) -> DataFrame:
+def agent_leaderboard(summary: DataFrame, **rank_options) -> DataFrame:
     """Agents ranked by net commission over the trailing twelve months."""
     totals = trailing_periods(summary).groupBy("agent_id", "agent_name", "agency_id", "tier").agg(
         money(F.sum("gross_commission")).alias("trailing_12mo_gross_commission"),
         money(F.sum("net_commission")).alias("trailing_12mo_net_commission"),
         money(F.sum("chargeback_deductions")).alias("trailing_12mo_chargebacks"),
     )
-    return global_rank(totals, "trailing_12mo_net_commission", "rank", limit)
+    return global_rank(totals, "trailing_12mo_net_commission", **rank_options)
 
 
 def reconciliation_report(

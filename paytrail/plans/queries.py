@@ -14,7 +14,7 @@ from paytrail.operators.joins import as_of_join
 from paytrail.plans import marts, silver
 from paytrail.plans import workload as w
 from paytrail.schemas import MONTHLY_EXTRACTS
-from paytrail.session import scratch_path
+from paytrail.session import materialized, scratch_path
 from paytrail.sources import extracts, tables
 from paytrail.streaming.ingest import ingest_new_files
 
@@ -158,7 +158,7 @@ def build_history(spark, sf_dir):
 def _tier_as_of(spark, sf_dir, limit=None):
     rows = w.transactions(spark, sf_dir).select("transaction_id", "agent_id", "transaction_date")
     tiers = w.tier_history(spark, sf_dir)
-    return commission.tier_as_of(rows, tiers, "transaction_date", "tier", limit)
+    return commission.tier_as_of(rows, tiers, "transaction_date", "tier", limit=limit)
 
 
 @query
@@ -258,6 +258,7 @@ def _renewals(spark, sf_dir):
         w.tier_history(spark, sf_dir),
         w.plans(spark, sf_dir),
         F.to_date(F.lit(w.LAST_RENEWAL)),
+        traffic=w.raw_policies(spark, sf_dir),
     )
 
 
@@ -289,7 +290,8 @@ def renewal_commission(spark, sf_dir):
 @query
 def override_commission(spark, sf_dir):
     sold = commission.calc_new_business(_priced(spark, sf_dir)).unionByName(_renewals(spark, sf_dir))
-    return commission.calc_overrides(sold, w.agents(spark, sf_dir))
+    policies = w.raw_policies(spark, sf_dir)
+    return commission.calc_overrides(sold, w.agents(spark, sf_dir), traffic=policies)
 
 
 @query
@@ -456,28 +458,29 @@ def agent_leaderboard(spark, sf_dir):
 @query
 def agent_leaderboard_distributed(spark, sf_dir):
     """The leaderboard on the path for more agents than one task should rank."""
-    return marts.agent_leaderboard(_summary(spark, sf_dir), limit=-1)
+    return marts.agent_leaderboard(_summary(spark, sf_dir), window_rows=0)
+
+
+def _reconciled(spark, sf_dir, **options):
+    """The report over a stored summary and stored payments, as in the pipeline."""
+    summary, paid = materialized(_summary(spark, sf_dir)), materialized(w.payments(spark, sf_dir))
+    return marts.reconciliation_report(summary, paid, **options)
 
 
 @query
 def reconciliation_report(spark, sf_dir):
-    return marts.reconciliation_report(_summary(spark, sf_dir), w.payments(spark, sf_dir))
+    return _reconciled(spark, sf_dir)
 
 
 @query
 def reconciliation_unbroadcast(spark, sf_dir):
     """The report on the path for calculations beyond the broadcast limit."""
-    return marts.reconciliation_report(
-        _summary(spark, sf_dir), w.payments(spark, sf_dir), limit=-1
-    )
+    return _reconciled(spark, sf_dir, limit=-1)
 
 
 @query
 def reconciliation_headline(spark, sf_dir):
-    report = marts.reconciliation_report(
-        _summary(spark, sf_dir), w.payments(spark, sf_dir), ordered=False
-    )
-    return marts.reconciliation_headline(report)
+    return marts.reconciliation_headline(_reconciled(spark, sf_dir, ordered=False))
 
 
 # --- extracts -------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,22 +25,17 @@ def get_spark(app_name: str = "paytrail", **extra: str) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for intermediate tables and stream progress.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
     back to a temporary folder of this machine.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if root is None:
-        root = context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="paytrail-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root
 
@@ -50,7 +45,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage reliably, so that later stages never recompute it."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint()
+def materialized(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Cut the lineage by a table written to the shared folder, and read it back.
+
+    Survives the loss of executors, computes the rows once (a checkpoint computes them
+    twice) and gives later plans the true size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
