@@ -1,0 +1,94 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from paytrail.operators.quality import (
+    Check,
+    DataQualityError,
+    FrameRule,
+    at_most_one,
+    check_report,
+    failing_rows,
+    in_set,
+    missing_parent,
+    negative,
+    not_null,
+    positive,
+    quality_gate,
+    run_checks,
+    unique,
+)
+
+
+def found(df, *rules):
+    checks = [Check(str(i), "", rule) for i, rule in enumerate(rules)]
+    return [r["failing_rows"] for r in check_report(df, checks, "t").orderBy("check_name").collect()]
+
+
+def test_row_rules_and_unique_in_one_report(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 10.0), (1, None, 0.0), (2, "zz", -5.0), (None, "a", None), (None, "a", 1.0)],
+        "id long, s string, x double",
+    )
+    rules = [not_null("s"), unique("id"), positive("x"), in_set("s", ["a"]), negative("x"), not_null("id")]
+    assert found(df, *rules) == [1, 2, 2, 1, 3, 2]
+    report = check_report(df, [Check("n", "d", not_null("s"), "warn")], "t").first()
+    assert tuple(report) == ("t", "n", "d", "warn", 1, 5, False)
+
+
+def test_several_key_rules_and_free_rules(spark):
+    df = spark.createDataFrame([("a", True, 1), ("a", True, 2), ("b", False, 3), ("b", True, 3)], "k string, c boolean, n int")
+    rules = [
+        unique("n"),
+        at_most_one("k", F.col("c")),
+        unique("k", "n"),
+        FrameRule(lambda frame: frame.where("n > 1")),
+    ]
+    assert found(df, *rules) == [2, 1, 2, 3]
+    assert sorted(r["n"] for r in failing_rows(df, rules[0]).collect()) == [3, 3]
+    assert [r["k"] for r in failing_rows(df, rules[1]).collect()] == ["a"]
+
+
+def test_empty_table_passes(spark):
+    df = spark.createDataFrame([], "id long, s string")
+    report = check_report(df, [Check("u", "", unique("id")), Check("n", "", not_null("s"))], "t")
+    assert [(r["failing_rows"], r["total_rows"], r["passed"]) for r in report.collect()] == [(0, 0, True)] * 2
+
+
+def test_report_reads_a_table_once_for_one_key_rule(spark, sf):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    checks = [Check("a", "", not_null("l_tax")), Check("b", "", unique("l_orderkey")), Check("c", "", positive("l_tax"))]
+    plan = check_report(lines, checks, "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    read = plan.split("ReadSchema: struct<")[1].split(">")[0]
+    assert {c.split(":")[0] for c in read.split(",")} == {"l_tax", "l_orderkey"}
+
+
+def test_missing_parent(spark):
+    child = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "n int, ref string")
+    parent = spark.createDataFrame([("x",), ("x",)], "id string")
+    assert [r["n"] for r in failing_rows(child, missing_parent(parent, {"ref": "id"})).collect()] == [2]
+
+
+def test_error_is_logged_then_raised_and_warn_is_not(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (None,)], "id long")
+    log = f"{tmp_path}/log"
+    results = run_checks(spark, df, [Check("soft", "d", not_null("id"), "warn")], "t", log)
+    assert [(r.failing_rows, r.total_rows, r.passed) for r in results] == [(1, 2, False)]
+    with pytest.raises(DataQualityError, match=r"'t': hard \(1/2 rows failed\)"):
+        run_checks(spark, df, [Check("hard", "d", not_null("id"))], "t", log)
+    run_checks(spark, df, [Check("hard", "d", not_null("id"))], "t", log, fail_on_error=False)
+    stored = spark.read.parquet(log)
+    assert stored.count() == 3
+    assert {r["check_name"] for r in quality_gate(stored).collect()} == {"hard"}
+
+
+def test_gate_looks_at_each_tables_newest_run(spark):
+    rows = [
+        ("a", "c", "error", False, "2025-01-01"), ("a", "c", "error", True, "2025-01-02"),
+        ("b", "c", "error", False, "2025-01-01"), ("b", "w", "warn", False, "2025-01-01"),
+    ]
+    log = spark.createDataFrame(rows, "table_name string, check_name string, severity string, passed boolean, run_timestamp string")
+    assert [r["table_name"] for r in quality_gate(log).collect()] == ["b"]
+    assert quality_gate(log, whole_history=True).count() == 2
