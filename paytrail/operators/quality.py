@@ -46,10 +46,13 @@ class FrameRule:
 
 @dataclass(frozen=True)
 class Check:
+    """A named rule; up to ``max_share`` of the rows may fail it."""
+
     name: str
     description: str
     rule: RowRule | KeyRule | FrameRule
     severity: str = "error"
+    max_share: float = 0.0
 
 
 @dataclass(frozen=True)
@@ -181,6 +184,7 @@ def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
                 F.lit(c.name).alias("check_name"),
                 F.lit(c.description).alias("description"),
                 F.lit(c.severity).alias("severity"),
+                F.lit(float(c.max_share)).alias("max_share"),
             )
             for i, c in numbered
         ]
@@ -191,14 +195,15 @@ def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     )
     listed = by_check.select("_found", F.inline(labels))
     failing = F.coalesce(F.col("_found")[F.col("position")], F.lit(0)).cast("bigint")
+    total = F.col("_found")[F.lit(-1)].cast("bigint")
     return listed.select(
         F.lit(table).alias("table_name"),
         "check_name",
         "description",
         "severity",
         failing.alias("failing_rows"),
-        F.col("_found")[F.lit(-1)].cast("bigint").alias("total_rows"),
-        (failing == 0).alias("passed"),
+        total.alias("total_rows"),
+        (failing <= F.col("max_share") * total).alias("passed"),
     )
 
 

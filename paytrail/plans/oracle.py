@@ -352,7 +352,23 @@ _REPORT = " UNION ALL ".join(
     for name, failing in checks
 )
 
+_INTEGRITY = " UNION ALL ".join(
+    [
+        _check("chargebacks", "chargeback_has_transaction", "cb",
+               "SELECT count(*) FROM cb WHERE original_transaction_id NOT IN (SELECT transaction_id FROM txn)"),
+        _check("chargebacks", "chargeback_within_window", "cb",
+               "SELECT count(*) FROM cb JOIN newest USING (policy_id) WHERE chargeback_date - issue_date > 90"),
+        _check("chargebacks", "chargeback_is_negative", "cb", _bad("cb", "chargeback_amount >= 0")),
+        _check("overrides", "override_goes_to_an_upline", "txn WHERE transaction_type = 'Override'",
+               "SELECT count(*) FROM txn WHERE transaction_type = 'Override' AND agent_id NOT IN "
+               "(SELECT upline_agent_id FROM agent WHERE upline_agent_id IS NOT NULL)"),
+        _check("production", "negative_commission_is_rare", "txn WHERE transaction_type <> 'Override'",
+               "SELECT count(*) FROM txn WHERE transaction_type <> 'Override' AND commission_amount < 0"),
+    ]
+)
+
 _BODIES = {
+    "commission_integrity": _INTEGRITY,
     "latest_snapshot": """
         SELECT event_id, user_id, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) AS load_date
         FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",

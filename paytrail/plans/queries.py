@@ -11,7 +11,7 @@ from paytrail.config import TRANSACTION_TYPES
 from paytrail.functions import pay_period, published
 from paytrail.operators import cleaning, commission, history, numbering, quality
 from paytrail.operators.joins import as_of_join
-from paytrail.plans import marts, silver
+from paytrail.plans import integrity, marts, silver
 from paytrail.plans import workload as w
 from paytrail.schemas import MONTHLY_EXTRACTS
 from paytrail.session import materialized, scratch_path
@@ -381,6 +381,22 @@ def ref_integrity(spark, sf_dir):
     return quality.failing_rows(rows, rule)
 
 
+@query
+def commission_integrity(spark, sf_dir):
+    """The cross-table rules; line items and orders are unrelated, so some of them fail."""
+    policies = cleaning.dedup_latest(
+        w.raw_policies(spark, sf_dir).select("policy_id", "issue_date", "load_seq"),
+        ["policy_id"],
+        [F.col("load_seq").desc()],
+    )
+    return integrity.commission_integrity(
+        w.transactions(spark, sf_dir),
+        w.chargebacks(spark, sf_dir),
+        policies,
+        w.agents(spark, sf_dir),
+    ).drop("description")
+
+
 def _silver_frames(spark, sf_dir):
     return {
         "dim_agency": w.agencies(spark, sf_dir),
@@ -452,13 +468,14 @@ def chargeback_exposure(spark, sf_dir):
 
 @query
 def agent_leaderboard(spark, sf_dir):
-    return marts.agent_leaderboard(_summary(spark, sf_dir))
+    """Ranked from a stored summary, as in the pipeline."""
+    return marts.agent_leaderboard(materialized(_summary(spark, sf_dir)))
 
 
 @query
 def agent_leaderboard_distributed(spark, sf_dir):
     """The leaderboard on the path for more agents than one task should rank."""
-    return marts.agent_leaderboard(_summary(spark, sf_dir), window_rows=0)
+    return marts.agent_leaderboard(materialized(_summary(spark, sf_dir)), window_rows=0)
 
 
 def _reconciled(spark, sf_dir, **options):

@@ -92,3 +92,10 @@ def test_gate_looks_at_each_tables_newest_run(spark):
     log = spark.createDataFrame(rows, "table_name string, check_name string, severity string, passed boolean, run_timestamp string")
     assert [r["table_name"] for r in quality_gate(log).collect()] == ["b"]
     assert quality_gate(log, whole_history=True).count() == 2
+
+
+def test_a_share_of_failures_may_be_allowed(spark):
+    df = spark.range(100).select(F.col("id").cast("int").alias("n"))
+    few = Check("few", "", positive("n"), max_share=0.01)
+    none = Check("none", "", positive("n"), max_share=0.009)
+    assert [r.passed for r in run_checks(spark, df, [few, none], "t", fail_on_error=False)] == [True, False]
