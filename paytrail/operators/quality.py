@@ -1,4 +1,4 @@
-"""Data-quality checks: one aggregate per table instead of one job per check."""
+"""Data-quality checks: one job per table instead of one per check."""
 
 from __future__ import annotations
 
@@ -108,56 +108,39 @@ def missing_parent(parent: DataFrame, keys: dict[str, str]) -> FrameRule:
     return FrameRule(orphans)
 
 
-def _key_sum(rule: KeyRule, rows: Column) -> Column:
-    """Failing rows or keys of a rule, over a frame with one row per key."""
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
-    if rule.count_keys:
-        return F.count_if((rows > 1) & known)
-    return F.sum(F.when((rows > 1) & known, rows).otherwise(0))
+def _known(rule: KeyRule) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
 
 
-def _fused(df: DataFrame, row_checks: list[tuple[int, Check]], keyed: tuple[int, Check] | None) -> DataFrame:
-    """One scan for all row rules and at most one key rule: a row per check and the total."""
-    counts = {f"_c{i}": F.count_if(check.rule.fails) for i, check in row_checks}
-    if keyed is None:
-        wide = df.agg(F.count(F.lit(1)).alias("_all"), *[c.alias(n) for n, c in counts.items()])
-        names = list(counts)
-    else:
-        position, check = keyed
-        rule = check.rule
-        among = F.lit(True) if rule.among is None else rule.among
-        per_key = df.groupBy(*rule.keys).agg(
-            F.count(F.lit(1)).alias("_all"),
-            F.count_if(among).alias("_rows"),
-            *[c.alias(n) for n, c in counts.items()],
-        )
-        wide = per_key.agg(
-            F.coalesce(F.sum("_all"), F.lit(0)).alias("_all"),
-            _key_sum(rule, F.col("_rows")).alias(f"_c{position}"),
-            *[F.sum(n).alias(n) for n in counts],
-        )
-        names = [f"_c{position}", *counts]
-    found = [
-        F.struct(
-            F.lit(int(n[2:])).alias("position"),
-            F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("failing_rows"),
-        )
-        for n in names
-    ]
-    total = F.struct(F.lit(-1).alias("position"), F.col("_all").cast("bigint").alias("failing_rows"))
-    return wide.select(F.inline(F.array(total, *found)))
+def _rows_per_key(df: DataFrame, rule: KeyRule) -> DataFrame:
+    among = df if rule.among is None else df.where(rule.among)
+    return among.where(_known(rule)).groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _row_counts(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """One scan without a shuffle of rows: the total and the failing rows of every row rule."""
+    total = F.count(F.lit(1))
+    counts = [(-1, total), *((i, F.count_if(check.rule.fails)) for i, check in checks)]
+    wide = df.agg(
+        F.array(
+            *[
+                F.struct(F.lit(i).alias("position"), c.cast("bigint").alias("failing_rows"))
+                for i, c in counts
+            ]
+        ).alias("_counts")
+    )
+    return wide.select(F.inline("_counts"))
 
 
-def _separate(df: DataFrame, position: int, check: Check) -> DataFrame:
-    """A rule that needs its own pass."""
-    rule = check.rule
-    if isinstance(rule, FrameRule):
-        failing = rule.failing(df).agg(F.count(F.lit(1)).alias("failing_rows"))
+def _key_or_frame_count(df: DataFrame, position: int, check: Check) -> DataFrame:
+    """The failing rows (or keys) of a rule that needs a pass of its own."""
+    if isinstance(check.rule, FrameRule):
+        failing = check.rule.failing(df).agg(F.count(F.lit(1)).alias("failing_rows"))
     else:
-        among = df if rule.among is None else df.where(rule.among)
-        per_key = among.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_rows"))
-        failing = per_key.agg(
-            F.coalesce(_key_sum(rule, F.col("_rows")), F.lit(0)).cast("bigint").alias("failing_rows")
+        repeated = _rows_per_key(df, check.rule).where("_rows > 1")
+        size = F.lit(1) if check.rule.count_keys else F.col("_rows")
+        failing = repeated.agg(
+            F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("failing_rows")
         )
     return failing.select(F.lit(position).alias("position"), "failing_rows")
 
@@ -165,16 +148,14 @@ def _separate(df: DataFrame, position: int, check: Check) -> DataFrame:
 def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     """One row per check, as a lazy frame.
 
-    All row rules and the first key rule share a single scan with map-side
-    counting. Each further key rule or free-form rule adds one narrow pass.
+    All row rules share one scan that moves no rows. A key rule moves its key alone,
+    counted per task first; carrying the row rules along would widen that shuffle.
     """
     numbered = list(enumerate(checks))
     row_checks = [(i, c) for i, c in numbered if isinstance(c.rule, RowRule)]
-    key_checks = [(i, c) for i, c in numbered if isinstance(c.rule, KeyRule)]
-    others = key_checks[1:] + [(i, c) for i, c in numbered if isinstance(c.rule, FrameRule)]
-
-    parts = [_fused(df, row_checks, key_checks[0] if key_checks else None)]
-    parts += [_separate(df, i, c) for i, c in others]
+    others = [(i, c) for i, c in numbered if not isinstance(c.rule, RowRule)]
+    parts = [_row_counts(df, row_checks)]
+    parts += [_key_or_frame_count(df, i, c) for i, c in others]
     counted = reduce(DataFrame.unionByName, parts)
 
     labels = F.array(
@@ -213,12 +194,10 @@ def failing_rows(df: DataFrame, rule: RowRule | KeyRule | FrameRule) -> DataFram
         return df.where(rule.fails)
     if isinstance(rule, FrameRule):
         return rule.failing(df)
-    among = df if rule.among is None else df.where(rule.among)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
-    repeated = among.where(known).groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_rows"))
-    repeated = repeated.where("_rows > 1").drop("_rows")
+    repeated = _rows_per_key(df, rule).where("_rows > 1").drop("_rows")
     if rule.count_keys:
         return repeated
+    among = df if rule.among is None else df.where(rule.among)
     return skew_join(among, repeated, list(rule.keys), "inner").select(*df.columns)
 
 

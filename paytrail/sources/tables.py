@@ -31,9 +31,13 @@ def write_table(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
+    balanced: bool = True,
 ) -> None:
-    """Write a table; partitioned writes are rebalanced by folder, hot folders split."""
-    if partition_by:
+    """Write a table; a partitioned one is rebalanced by folder first, hot folders split.
+
+    Rebalancing is a shuffle: rows that already lie together by folder do without.
+    """
+    if partition_by and balanced:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta" and mode == "overwrite":
