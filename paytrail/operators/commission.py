@@ -112,6 +112,7 @@ def lookup_rate(
     at: str,
     fallback: Column,
     name: str,
+    traffic: DataFrame | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Attach the plan rate for product, tier and type on a day; none or zero falls back."""
@@ -122,7 +123,7 @@ def lookup_rate(
         "effective_end_date",
         F.col("commission_rate").alias("_plan_rate"),
     )
-    found = as_of_join(rows, card, ["product_id", tier], at, limit=limit)
+    found = as_of_join(rows, card, ["product_id", tier], at, traffic=traffic, limit=limit)
     planned = F.when(F.col("_plan_rate") != 0, F.col("_plan_rate"))
     return found.withColumn(name, rate(F.coalesce(planned, fallback))).drop("_plan_rate")
 
@@ -149,6 +150,7 @@ def price_policies(
         "issue_date",
         F.col("base_commission_rate"),
         "new_business_rate",
+        traffic=policies,
     )
     amount = cents(money("annual_premium") * F.col("new_business_rate"))
     return rated.withColumn("new_business_amount", amount)
@@ -208,17 +210,17 @@ def renewal_dates(policies: DataFrame, end_date: Column) -> DataFrame:
 
 def calc_renewals(
     priced: DataFrame,
+    policies: DataFrame,
     tiers: DataFrame,
     plans: DataFrame,
     end_date: Column,
-    traffic: DataFrame | None = None,
 ) -> DataFrame:
     """Renewal transactions at the tier and plan in force on each renewal date.
 
-    ``traffic`` may name the policies, to find frequent agents without pricing twice.
+    Frequent agents and products are looked up in the policies, to price only once.
     """
     due = renewal_dates(priced, end_date)
-    tiered = tier_as_of(due, tiers, "renewal_date", "_tier", traffic=traffic).withColumn(
+    tiered = tier_as_of(due, tiers, "renewal_date", "_tier", traffic=policies).withColumn(
         "tier_at_renewal", F.coalesce("_tier", "tier_at_issue")
     )
     rated = lookup_rate(
@@ -229,6 +231,7 @@ def calc_renewals(
         "renewal_date",
         F.col("base_commission_rate") * F.lit(RENEWAL_RATIO),
         "renewal_rate",
+        traffic=policies,
     )
     return rated.select(
         _transaction_id("RN", "policy_id", "renewal_number").alias("transaction_id"),

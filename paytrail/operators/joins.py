@@ -68,8 +68,9 @@ def skew_join(
     slices as its share asks for, and its few keyed rows are repeated per slice.
     The slice of a fact row follows from its input partition, so it splits equal copies
     and is the same when a task runs again. ``traffic`` is any frame with the key
-    distribution of the fact side; give the base table when the fact side is long to
-    compute, since counting its keys would compute it twice.
+    distribution of the fact side, or of some of its keys: whoever is frequent on all
+    keys is so on each. Give the base table when the fact side is long to compute,
+    since counting its keys would compute it twice.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -81,14 +82,16 @@ def skew_join(
         lookup = F.broadcast(dim.withColumnsRenamed(dim_keys))
         return fact.join(lookup, on, how).drop(*dim_keys.values())
 
-    hot = F.broadcast(hot_keys(fact if traffic is None else traffic, keys, hot_limit))
+    traffic = fact if traffic is None else traffic
+    counted = [k for k in keys if k in traffic.columns]
+    hot = F.broadcast(hot_keys(traffic, counted, hot_limit))
     known = _all([F.col(k).isNotNull() for k in keys])
     here = F.spark_partition_id()
     row_slice = F.when(known, F.coalesce(F.pmod(here, F.col("_slices")), F.lit(0))).otherwise(here)
     all_slices = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
-    sliced = fact.join(hot, keys, "left").select(*fact.columns, row_slice.alias("_slice"))
+    sliced = fact.join(hot, counted, "left").select(*fact.columns, row_slice.alias("_slice"))
     repeated = (
-        dim.join(hot, keys, "left")
+        dim.join(hot, counted, "left")
         .select(*dim.columns, F.explode(all_slices).alias("_dim_slice"))
         .withColumnsRenamed(dim_keys)
     )

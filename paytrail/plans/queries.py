@@ -255,10 +255,10 @@ def _priced(spark, sf_dir):
 def _renewals(spark, sf_dir):
     return commission.calc_renewals(
         _priced(spark, sf_dir),
+        w.raw_policies(spark, sf_dir),
         w.tier_history(spark, sf_dir),
         w.plans(spark, sf_dir),
         F.to_date(F.lit(w.LAST_RENEWAL)),
-        traffic=w.raw_policies(spark, sf_dir),
     )
 
 

@@ -82,6 +82,8 @@ def _replace_state(
     following = versions[-1] + 1 if versions else 1
     state = next_state(read_merged(spark, path))
     write_table(state, f"{path}/{VERSION}{following:08d}")
+    if following not in _complete_versions(spark, path):
+        raise RuntimeError(f"version {following} of {path} has no success marker")
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[str]) -> None:

@@ -78,7 +78,7 @@ def test_zero_plan_rate_falls_back(spark, plans, tiers, products):
     df = policies(spark, ("P1", "A1", "HOME", date(2020, 3, 1), None, "10.00", "Renewed", 1))
     priced = c.price_policies(df, tiers, zero, products)
     assert priced.first()["new_business_rate"] == D("0.1500")
-    renewal = c.calc_renewals(priced, tiers, zero, END(F.lit("2030-01-01"))).first()
+    renewal = c.calc_renewals(priced, df, tiers, zero, END(F.lit("2030-01-01"))).first()
     assert renewal["commission_rate"] == D("0.0750")
     assert renewal["commission_amount"] == D("0.75")
 
@@ -106,7 +106,7 @@ def test_renewals_stop_at_the_end_and_use_the_tier_of_the_day(spark, tiers, plan
         ("P3", "A9", "AUTO", date(2020, 3, 1), None, "1000.00", "Active", 2),
     )
     priced = c.price_policies(df, tiers, plans, products)
-    got = c.calc_renewals(priced, tiers, plans, END(F.lit("2022-03-01"))).orderBy("transaction_date").collect()
+    got = c.calc_renewals(priced, df, tiers, plans, END(F.lit("2022-03-01"))).orderBy("transaction_date").collect()
     assert [(r["transaction_id"], r["transaction_date"], r["commission_rate"]) for r in got] == [
         ("RN-P1-1", date(2021, 3, 1), D("0.0796")),
         ("RN-P1-2", date(2022, 3, 1), D("0.0796")),

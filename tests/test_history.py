@@ -15,6 +15,7 @@ from paytrail.operators.history import (
     upsert,
     with_version_key,
 )
+from paytrail.session import materialized
 from paytrail.sources.tables import read_merged, scd2_merge_table, table_exists, upsert_table
 
 UPDATE = "agent_id string, tier string, effective_start_date date"
@@ -167,8 +168,10 @@ def test_scd2_is_idempotent_with_one_current_row_per_key(spark, first, second):
         return spark.createDataFrame([(k, t, date(2024, 1, day)) for k, t in rows.items()], UPDATE)
 
     close = F.to_date(F.lit("2024-02-01"))
-    target = scd2_merge(None, as_updates(first, 1), "agent_id", ["tier"])
-    once = scd2_merge(target, as_updates(second, 2), "agent_id", ["tier"], close_date=close)
+    target = materialized(scd2_merge(None, as_updates(first, 1), "agent_id", ["tier"]))
+    once = materialized(
+        scd2_merge(target, as_updates(second, 2), "agent_id", ["tier"], close_date=close)
+    )
     twice = scd2_merge(once, as_updates(second, 2), "agent_id", ["tier"], close_date=close)
     assert state(once) == state(twice)
     current = {r["agent_id"]: r["tier"] for r in once.where("is_current").collect()}
