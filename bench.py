@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up, then the median of three full materialisations.
+"""Time the headline queries: a warm-up pass, then the median of three full materialisations.
 
 Reads $BENCH_SF_DIR (default /root/testdata/sf0.1), runs on local[$BENCH_CPUS] and prints
 one JSON line.
@@ -61,9 +61,10 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - began
 
-    took = {}
     for name in names:
         once(name)
+    took = {}
+    for name in names:
         took[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
     scale = Path(sf_dir).name.removeprefix("sf")
     print(

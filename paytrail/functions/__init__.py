@@ -1,5 +1,7 @@
 from paytrail.functions.columns import (
     cents,
+    from_cents,
+    in_cents,
     money,
     month_after,
     parse_date,
@@ -11,6 +13,8 @@ from paytrail.functions.columns import (
 
 __all__ = [
     "cents",
+    "from_cents",
+    "in_cents",
     "money",
     "month_after",
     "parse_date",

@@ -20,7 +20,7 @@ from paytrail.config import (
     RENEWAL_RATIO,
     TIER_MULTIPLIER,
 )
-from paytrail.functions import cents, money, payment_date, rate
+from paytrail.functions import cents, from_cents, in_cents, money, payment_date, rate
 from paytrail.operators.cleaning import dedup_latest
 from paytrail.operators.joins import as_of_join, skew_join
 
@@ -276,27 +276,26 @@ def calc_payment_run(transactions: DataFrame, chargebacks: DataFrame) -> DataFra
     their sums and needs one shuffle of partial sums. Rows without agent or period are
     not payable.
     """
-    zero = F.lit(0).cast("decimal(18,2)")
+    none = F.lit(0).cast("bigint")
     earned = transactions.select(
-        "agent_id", "pay_period", money("commission_amount").alias("_gross"), zero.alias("_back")
+        "agent_id", "pay_period", in_cents("commission_amount").alias("_gross"), none.alias("_back")
     )
     clawed = chargebacks.select(
-        "agent_id", "pay_period", zero.alias("_gross"), money("chargeback_amount").alias("_back")
+        "agent_id", "pay_period", none.alias("_gross"), in_cents("chargeback_amount").alias("_back")
     )
     payable = earned.unionByName(clawed).where("agent_id IS NOT NULL AND pay_period IS NOT NULL")
     sums = payable.groupBy("agent_id", "pay_period").agg(
-        F.coalesce(F.sum("_gross"), zero).alias("gross_commission"),
-        F.coalesce(F.sum("_back"), zero).alias("chargeback_deductions"),
+        F.coalesce(F.sum("_gross"), none).alias("_gross"),
+        F.coalesce(F.sum("_back"), none).alias("_back"),
     )
-    net = cents(F.col("gross_commission") + F.col("chargeback_deductions"))
     status = F.when(F.col("net_payment_amount") < F.lit(PAYMENT_HOLD_THRESHOLD), "Held")
     return sums.select(
         "agent_id",
         "pay_period",
         payment_date("pay_period").alias("payment_date"),
-        money("gross_commission").alias("gross_commission"),
-        money("chargeback_deductions").alias("chargeback_deductions"),
-        net.alias("net_payment_amount"),
+        from_cents("_gross").alias("gross_commission"),
+        from_cents("_back").alias("chargeback_deductions"),
+        from_cents(F.col("_gross") + F.col("_back")).alias("net_payment_amount"),
     ).withColumn("payment_status", status.otherwise("Paid"))
 
 

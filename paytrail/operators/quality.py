@@ -37,6 +37,20 @@ class KeyRule:
     count_keys: bool = False
 
 
+@dataclass(frozen=True)
+class ParentRule:
+    """Fails rows whose non-NULL reference (child column -> parent column) has no parent."""
+
+    parent: DataFrame
+    keys: tuple[tuple[str, str], ...]
+
+    def known(self) -> DataFrame:
+        return self.parent.select(*[F.col(p).alias(c) for c, p in self.keys]).distinct()
+
+    def columns(self) -> list[str]:
+        return [c for c, _ in self.keys]
+
+
 @dataclass(frozen=True)
 class FrameRule:
     """Any function from the table to its failing rows."""
@@ -50,7 +64,7 @@ class Check:
 
     name: str
     description: str
-    rule: RowRule | KeyRule | FrameRule
+    rule: RowRule | KeyRule | ParentRule | FrameRule
     severity: str = "error"
     max_share: float = 0.0
 
@@ -94,27 +108,23 @@ def at_most_one(column: str, among: Column) -> KeyRule:
     return KeyRule((column,), among, count_keys=True)
 
 
-def missing_parent(parent: DataFrame, keys: dict[str, str]) -> FrameRule:
-    """Rows whose non-NULL reference (child column -> parent column) has no parent."""
+def missing_parent(parent: DataFrame, keys: dict[str, str]) -> ParentRule:
+    """A rule on references: child column -> parent column."""
+    return ParentRule(parent, tuple(keys.items()))
 
-    def orphans(child: DataFrame) -> DataFrame:
-        renamed = [F.col(p).alias(c) for c, p in keys.items()]
-        known = parent.select(*renamed).distinct().withColumn("_known", F.lit(True))
-        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
-        return skew_join(child.where(present), known, list(keys)).where(
-            F.col("_known").isNull()
-        ).drop("_known")
 
-    return FrameRule(orphans)
+Rule = RowRule | KeyRule | ParentRule | FrameRule
 
 
-def _known(rule: KeyRule) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
+def _rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of each key without NULLs, counted per task before they move."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def _rows_per_key(df: DataFrame, rule: KeyRule) -> DataFrame:
+def _repeated(df: DataFrame, rule: KeyRule) -> DataFrame:
     among = df if rule.among is None else df.where(rule.among)
-    return among.where(_known(rule)).groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return _rows_per_key(among, list(rule.keys)).where("_rows > 1")
 
 
 def _row_counts(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
@@ -132,16 +142,17 @@ def _row_counts(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     return wide.select(F.inline("_counts"))
 
 
-def _key_or_frame_count(df: DataFrame, position: int, check: Check) -> DataFrame:
+def _separate_count(df: DataFrame, position: int, check: Check) -> DataFrame:
     """The failing rows (or keys) of a rule that needs a pass of its own."""
-    if isinstance(check.rule, FrameRule):
-        failing = check.rule.failing(df).agg(F.count(F.lit(1)).alias("failing_rows"))
+    rule, size = check.rule, F.col("_rows")
+    if isinstance(rule, FrameRule):
+        groups, size = rule.failing(df), F.lit(1)
+    elif isinstance(rule, ParentRule):
+        groups = _rows_per_key(df, rule.columns()).join(rule.known(), rule.columns(), "left_anti")
     else:
-        repeated = _rows_per_key(df, check.rule).where("_rows > 1")
-        size = F.lit(1) if check.rule.count_keys else F.col("_rows")
-        failing = repeated.agg(
-            F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("failing_rows")
-        )
+        groups = _repeated(df, rule)
+        size = F.lit(1) if rule.count_keys else size
+    failing = groups.agg(F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("failing_rows"))
     return failing.select(F.lit(position).alias("position"), "failing_rows")
 
 
@@ -155,7 +166,7 @@ def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     row_checks = [(i, c) for i, c in numbered if isinstance(c.rule, RowRule)]
     others = [(i, c) for i, c in numbered if not isinstance(c.rule, RowRule)]
     parts = [_row_counts(df, row_checks)]
-    parts += [_key_or_frame_count(df, i, c) for i, c in others]
+    parts += [_separate_count(df, i, c) for i, c in others]
     counted = reduce(DataFrame.unionByName, parts)
 
     labels = F.array(
@@ -188,13 +199,16 @@ def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     )
 
 
-def failing_rows(df: DataFrame, rule: RowRule | KeyRule | FrameRule) -> DataFrame:
+def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
     """The rows a rule rejects (for a key-counting rule: the keys)."""
     if isinstance(rule, RowRule):
         return df.where(rule.fails)
     if isinstance(rule, FrameRule):
         return rule.failing(df)
-    repeated = _rows_per_key(df, rule).where("_rows > 1").drop("_rows")
+    if isinstance(rule, ParentRule):
+        orphans = _rows_per_key(df, rule.columns()).join(rule.known(), rule.columns(), "left_anti")
+        return skew_join(df, orphans.drop("_rows"), rule.columns(), "inner").select(*df.columns)
+    repeated = _repeated(df, rule).drop("_rows")
     if rule.count_keys:
         return repeated
     among = df if rule.among is None else df.where(rule.among)

@@ -13,7 +13,7 @@ from paytrail.config import (
     RENEWAL,
     TRAILING_MONTHS,
 )
-from paytrail.functions import cents, money, month_after
+from paytrail.functions import cents, from_cents, in_cents, money, month_after
 from paytrail.operators.history import current_dimension
 from paytrail.operators.joins import skew_join
 from paytrail.operators.numbering import global_rank
@@ -25,8 +25,8 @@ def _zero() -> Column:
     return F.lit(0).cast("decimal(18,2)")
 
 
-def _sum_or_zero(c: Column) -> Column:
-    return money(F.coalesce(F.sum(c), _zero()))
+def _cents_or_zero(c: Column) -> Column:
+    return from_cents(F.coalesce(F.sum(c), F.lit(0)))
 
 
 def current_agents(dim_agent: DataFrame, *attributes: str) -> DataFrame:
@@ -46,22 +46,27 @@ def agent_commission_summary(
     two aggregations and a left join; periods without a transaction are then dropped.
     """
     earned = transactions.select(
-        *PERIOD_KEY, F.col("transaction_type").alias("_kind"), money("commission_amount").alias("_amount"),
+        *PERIOD_KEY,
+        F.col("transaction_type").alias("_kind"),
+        in_cents("commission_amount").alias("_cents"),
         F.lit(1).alias("_earned"),
     )
     clawed = chargebacks.where("agent_id IS NOT NULL AND pay_period IS NOT NULL").select(
-        *PERIOD_KEY, F.lit(None).cast("string").alias("_kind"), money("chargeback_amount").alias("_amount"),
+        *PERIOD_KEY,
+        F.lit(None).cast("string").alias("_kind"),
+        in_cents("chargeback_amount").alias("_cents"),
         F.lit(0).alias("_earned"),
     )
 
     def of_type(kind: str) -> Column:
-        return _sum_or_zero(F.when(F.col("_kind") == kind, F.col("_amount")))
+        return _cents_or_zero(F.when(F.col("_kind") == kind, F.col("_cents")))
 
+    clawed_back = _cents_or_zero(F.when(F.col("_earned") == 0, F.col("_cents")))
     sums = earned.unionByName(clawed).groupBy(*PERIOD_KEY).agg(
         of_type(NEW_BUSINESS).alias("new_business_commission"),
         of_type(RENEWAL).alias("renewal_commission"),
         of_type(OVERRIDE).alias("override_commission"),
-        _sum_or_zero(F.when(F.col("_earned") == 0, F.col("_amount"))).alias("chargeback_deductions"),
+        clawed_back.alias("chargeback_deductions"),
         F.max("_earned").alias("_earned"),
     )
     gross = (
@@ -86,9 +91,9 @@ def payment_run_summary(
     """Payments per period and agency. Payments are summed per agent before any join."""
     per_agent = payments.groupBy(*PERIOD_KEY).agg(
         F.count("payment_id").alias("num_payments"),
-        F.sum(money("gross_commission")).alias("total_gross_commission"),
-        F.sum(money("chargeback_deductions")).alias("total_chargeback_deductions"),
-        F.sum(money("net_payment_amount")).alias("total_net_paid"),
+        F.sum(in_cents("gross_commission")).alias("total_gross_commission"),
+        F.sum(in_cents("chargeback_deductions")).alias("total_chargeback_deductions"),
+        F.sum(in_cents("net_payment_amount")).alias("total_net_paid"),
         F.count_if(F.col("payment_status") == "Held").alias("num_held"),
         F.count_if(F.col("payment_status") == "Failed").alias("num_failed"),
     )
@@ -102,7 +107,7 @@ def payment_run_summary(
     totals = named.groupBy("pay_period", "agency_id", "agency_name", "region").agg(
         *[F.sum(m).alias(m) for m in measures]
     )
-    amounts = {m: money(m) for m in measures if m.startswith("total_")}
+    amounts = {m: from_cents(m) for m in measures if m.startswith("total_")}
     return totals.withColumns(amounts).orderBy("pay_period", "agency_id")
 
 
@@ -112,24 +117,24 @@ def chargeback_exposure(
     """Per agent with new business: how much of it was clawed back, and whether that is a risk."""
     written = transactions.where(F.col("transaction_type") == NEW_BUSINESS).select(
         "agent_id",
-        money("commission_amount").alias("_new"),
+        in_cents("commission_amount").alias("_new"),
         F.col("transaction_id").isNotNull().cast("int").alias("_new_id"),
-        F.lit(None).cast("decimal(18,2)").alias("_back"),
+        F.lit(None).cast("bigint").alias("_back"),
         F.lit(0).alias("_back_id"),
         F.lit(1).alias("_wrote"),
     )
     clawed = chargebacks.where("agent_id IS NOT NULL").select(
         "agent_id",
-        F.lit(None).cast("decimal(18,2)").alias("_new"),
+        F.lit(None).cast("bigint").alias("_new"),
         F.lit(0).alias("_new_id"),
-        F.abs(money("chargeback_amount")).alias("_back"),
+        F.abs(in_cents("chargeback_amount")).alias("_back"),
         F.col("chargeback_id").isNotNull().cast("int").alias("_back_id"),
         F.lit(0).alias("_wrote"),
     )
     sums = written.unionByName(clawed).groupBy("agent_id").agg(
-        money(F.sum("_new")).alias("new_business_commission"),
+        from_cents(F.sum("_new")).alias("new_business_commission"),
         F.sum("_new_id").alias("new_business_count"),
-        _sum_or_zero(F.col("_back")).alias("total_chargeback_amount"),
+        _cents_or_zero(F.col("_back")).alias("total_chargeback_amount"),
         F.sum("_back_id").alias("chargeback_count"),
         F.max("_wrote").alias("_wrote"),
     )
@@ -157,9 +162,9 @@ def trailing_periods(summary: DataFrame, months: int = TRAILING_MONTHS) -> DataF
 def agent_leaderboard(summary: DataFrame, **rank_options) -> DataFrame:
     """Agents ranked by net commission over the trailing twelve months."""
     totals = trailing_periods(summary).groupBy("agent_id", "agent_name", "agency_id", "tier").agg(
-        money(F.sum("gross_commission")).alias("trailing_12mo_gross_commission"),
-        money(F.sum("net_commission")).alias("trailing_12mo_net_commission"),
-        money(F.sum("chargeback_deductions")).alias("trailing_12mo_chargebacks"),
+        from_cents(F.sum(in_cents("gross_commission"))).alias("trailing_12mo_gross_commission"),
+        from_cents(F.sum(in_cents("net_commission"))).alias("trailing_12mo_net_commission"),
+        from_cents(F.sum(in_cents("chargeback_deductions"))).alias("trailing_12mo_chargebacks"),
     )
     return global_rank(totals, "trailing_12mo_net_commission", **rank_options)
 

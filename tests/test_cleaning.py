@@ -5,7 +5,16 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from paytrail.functions import cents, month_after, parse_date, pay_period, payment_date, published
+from paytrail.functions import (
+    cents,
+    from_cents,
+    in_cents,
+    month_after,
+    parse_date,
+    pay_period,
+    payment_date,
+    published,
+)
 from paytrail.operators.cleaning import dedup_latest, latest_snapshot, split_quarantine
 from paytrail.plans.silver import clean_agents, dim_policy, fact_commission_transactions
 
@@ -109,3 +118,12 @@ def test_agents_are_cleaned(spark):
     rows = [("A1", " tx ", "2020-01-01", None), ("A1", " tx ", "2020-01-01", None), (None, "NY", None, None)]
     df = spark.createDataFrame(rows, "agent_id string, license_state string, hire_date string, termination_date string")
     assert [tuple(r) for r in clean_agents(df).collect()] == [("A1", "TX", date(2020, 1, 1), None)]
+
+
+def test_cents_hold_every_amount_exactly(spark):
+    for text in ("9999999999999999.99", "-9999999999999999.99", "0.01", "-0.01", "0.00"):
+        amount = F.lit(Decimal(text)).cast("decimal(18,2)")
+        assert one(spark, in_cents(amount)) == int(Decimal(text) * 100)
+        assert one(spark, from_cents(in_cents(amount))) == Decimal(text)
+    assert one(spark, from_cents(in_cents(F.lit(None).cast("double")))) is None
+    assert one(spark, in_cents(F.lit(0.1) + F.lit(0.2))) == 30
