@@ -19,7 +19,6 @@ from paytrail.session import materialized
 from paytrail.sources.tables import read_merged, scd2_merge_table, table_exists, upsert_table
 
 UPDATE = "agent_id string, tier string, effective_start_date date"
-CLOSE = F.to_date
 
 
 def updates(spark, *rows):
