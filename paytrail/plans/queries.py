@@ -252,9 +252,9 @@ def _priced(spark, sf_dir):
     )
 
 
-def _renewals(spark, sf_dir):
+def _renewals(spark, sf_dir, priced):
     return commission.calc_renewals(
-        _priced(spark, sf_dir),
+        priced,
         w.raw_policies(spark, sf_dir),
         w.tier_history(spark, sf_dir),
         w.plans(spark, sf_dir),
@@ -284,12 +284,13 @@ def renewal_schedule(spark, sf_dir):
 
 @query
 def renewal_commission(spark, sf_dir):
-    return _renewals(spark, sf_dir)
+    return _renewals(spark, sf_dir, _priced(spark, sf_dir))
 
 
 @query
 def override_commission(spark, sf_dir):
-    sold = commission.calc_new_business(_priced(spark, sf_dir)).unionByName(_renewals(spark, sf_dir))
+    priced = _priced(spark, sf_dir)
+    sold = commission.calc_new_business(priced).unionByName(_renewals(spark, sf_dir, priced))
     policies = w.raw_policies(spark, sf_dir)
     return commission.calc_overrides(sold, w.agents(spark, sf_dir), traffic=policies)
 
