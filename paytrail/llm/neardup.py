@@ -22,15 +22,19 @@ from paytrail.llm.components import components
 from paytrail.llm.text import SHINGLE_WORDS, mix, shingle_hashes, shingle_set, word_hashes
 from paytrail.session import materialized
 
-BANDS, ROWS = 40, 5  # a link at 0.75 shares no band with probability (1 - 0.75^5)^40 < 2e-5; at 0.8, 2e-7
-REGISTERS = BANDS * ROWS
+#: Registers form a grid; its 40 rows and its 40 diagonals are bands of 7 registers. A link at 0.75 shares no
+#: band with a probability of about (1 - 0.75^7)^80 = 1e-5, texts that share a passage at 0.2 do with 0.1%.
+LINES, ROWS = 40, 7
+REGISTERS = LINES * ROWS
 MANTISSA_BITS = 10
 SIMILARITY = (75, 100)
-#: An estimate this far below the threshold is 5 standard errors of 200 registers away.
-SLACK = 0.15
+#: An estimate this far below the threshold is 5 standard errors of 280 registers away.
+SLACK = 0.13
 
 _ODD = np.random.default_rng(8).integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BLOCK = 4096
+#: Members of a group whose full sets are compared in one task.
+BLOCK = 256
 _chances: dict[tuple[int, int], float] = {}
 
 
@@ -139,13 +143,16 @@ def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     return materialized(both.where(_confirmed("text_a", "text_b")).select("a", "b").distinct(), "confirmed")
 
 
-def _bands(reps: DataFrame, *more: str) -> DataFrame:
-    width = ROWS * 2
-    keys = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring("regs", i * width + 1, F.lit(width))),
-    )
-    return reps.select("id", *more, F.explode(keys).alias("band"))
+def _bands(reps: DataFrame) -> DataFrame:
+    """Id and hash of each band of a sketch."""
+
+    def register(line, column):
+        return F.substring("regs", 2 * (F.pmod(line, F.lit(LINES)) * ROWS + column) + 1, F.lit(2))
+
+    lines = F.sequence(F.lit(0), F.lit(LINES - 1))
+    rows = F.transform(lines, lambda k: F.xxhash64(k, *[register(k, c) for c in range(ROWS)]))
+    diagonals = F.transform(lines, lambda k: F.xxhash64(k + LINES, *[register(k + c, c) for c in range(ROWS)]))
+    return reps.select("id", F.explode(F.concat(rows, diagonals)).alias("band"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,12 +162,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     1. Rows with equal shingle sets form a class, represented by its smallest id; only
        representatives are compared further, so exact copies cost one grouped count.
-    2. Every band with several members proposes each member with the band's smallest and largest
-       member: linear in the members, never all pairs.
-    3. Members of a band that are still in different components, and neither of which was an end
-       of that band, are proposed in full, except that the band's largest component meets only
-       outsiders. What is left out is connected already, so no component changes by it.
-    4. Estimated pairs are confirmed on the full sets of words.
+    2. Every band with several members proposes each of them with one leader: linear in the members, never
+       all pairs. The leader is the member that shares its bands with the most others, the hub of its copies.
+    3. Members of a band that are still in different components, and neither of which led that band, are
+       compared in full, so that no link between components is lost.
+       These compare their full sets at once, block against block.
+    4. Pairs with a leader are estimated from their registers, then confirmed on their full sets of words.
 
     NULL or wordless texts have no shingles and link with nothing. Rows without an id link with
     nothing, have a NULL component and are kept. Rows that repeat an id are one document: they
@@ -178,19 +185,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "members",
     )
 
-    ends = _bands(reps).groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    meet = _bands(reps).join(ends, "band")
-    ends_of = F.array(
-        F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b"))
-    )
-    pairs = materialized(meet.select(F.explode(ends_of).alias("p")).select("p.*").where("a < b").distinct(), "star-pairs")
-    active = materialized(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "active")
+    bands = _bands(reps)
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = materialized(bands.join(shared, "band"), "shared-bands")
+    fame = met.groupBy("id").agg(F.sum("members").alias("fame"))
+    lead = met.select("band", "id").join(fame, "id").groupBy("band").agg(F.max(F.struct("fame", "id")).alias("top"))
+    led = materialized(met.select("band", "id").join(lead.select("band", F.col("top.id").alias("lead")), "band"), "led-bands")
+    pairs = led.where("id <> lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+    pairs = materialized(pairs, "star-pairs")
+    active = materialized(fame.select("id"), "active")
     texts = materialized(docs.where("id IS NOT NULL").join(active, "id", "left_semi"), "active-texts")
     first = _links(pairs, reps, texts)
 
     labels = active.join(components(first), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
-    rest = materialized(_rest_pairs(_bands(reps.join(labels, "id"), "comp")), "rest-pairs")
-    second = _links(rest, reps, texts)
+    second = _rest_links(led.where("id <> lead").join(labels, "id"), texts)
 
     # classes whose copies share an id are one document
     same_id = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
@@ -205,30 +213,57 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _rest_pairs(banded: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a band in different components, neither of them an end of the band.
+def _rest_links(led: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between different components that meet in a band, beyond those with the band's leader.
 
-    ``banded`` holds band, id and comp. Every pair has a member outside the band's largest component.
+    ``led`` holds band, lead, id and comp, without the leaders. Members of bands with one leader are dealt
+    into blocks of about 256, and every two blocks meet in a task of their own: a group of any size is
+    compared in full without a row per pair.
     """
-    unsettled = (
-        banded.groupBy("band")
-        .agg(F.min("comp").alias("one"), F.max("comp").alias("other"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-        .where("one < other")
-    )
-    inside = materialized(
-        banded.join(unsettled.select("band", "lo", "hi"), "band").where("id <> lo AND id <> hi").drop("lo", "hi"), "unsettled"
-    )
-    sizes = inside.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("members"))
-    main = sizes.groupBy("band").agg(
-        F.max(F.struct("members", "comp")).alias("most"), F.min("comp").alias("one"), F.max("comp").alias("other")
-    )
-    main = main.where("one < other").select("band", F.col("most.comp").alias("main"))
-    outside = inside.join(main, "band").where("comp <> main").select(
-        "band", "main", F.col("id").alias("x"), F.col("comp").alias("x_comp")
-    )
-    apart = (F.col("comp") == F.col("main")) | ((F.col("x") < F.col("id")) & (F.col("x_comp") != F.col("comp")))
-    met = outside.join(inside, "band").where(apart)
-    return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    mixed = led.groupBy("band").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one < other")
+    open_ = materialized(led.join(mixed.select("band"), "band").select("lead", "id", "comp").distinct(), "open-groups")
+    sizes = open_.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    dealt = open_.join(sizes, "lead").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    met = met.select("lead", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "id", "comp")
+    found = met.join(texts, "id").groupBy("lead", "p", "q").applyInPandas(_block_links, "a bigint, b bigint")
+    return materialized(found.distinct(), "rest-links")
+
+
+def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links that join different components of a block, enough of them to connect what any link connects."""
+    ids, root = rows["id"].to_numpy(), {}
+    sets = [np.unique(shingle_hashes(word_hashes(t))) for t in rows["text"]]
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, column = owner[held[column] > 1], column[held[column] > 1]
+    _, column = np.unique(column, return_inverse=True)
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)  # exact: far below 2^24
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    width = 8192
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [at, at + width]))
+        has = np.zeros((len(sets), width), dtype=np.float32)
+        has[owner[part], column[part] - at] = 1
+        common += has @ has.T
+    over, of = SIMILARITY
+    near = of * common >= over * (sizes[:, None] + sizes[None, :] - common)
+    comp = rows["comp"].to_numpy()
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    links = []
+    for i, j in zip(*np.nonzero(np.triu(near & (comp[:, None] != comp[None, :]), 1))):
+        x, y = find(comp[i]), find(comp[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    return pd.DataFrame(links, columns=["a", "b"])
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
