@@ -52,15 +52,19 @@ def directory(sized: DataFrame, limit: int) -> DataFrame:
         buckets = (
             cells.select("*", up)
             .groupBy("depth", F.expr(f"shiftright(cell, {fine} - depth)").alias("prefix"))
-            .agg(F.sum("n_bytes").alias("shard_bytes"), F.sum("n_docs").alias("shard_docs"))
+            .agg(F.sum("n_bytes").alias("shard_bytes"))
         )
-        fits = buckets.where((F.col("shard_bytes") <= limit) | (F.col("depth") == HASH_BITS))
-        # a bucket is a leaf if it fits and the bucket of one bit less does not
-        parent = fits.select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("above"))
-        halves = fits.withColumn("above", F.shiftright("prefix", 1))
-        leaves = halves.join(parent, ["depth", "above"], "left_anti").drop("above")
-        placed = cells.select("cell", up).withColumn("prefix", F.expr(f"shiftright(cell, {fine} - depth)"))
-        found = placed.join(leaves, ["depth", "prefix"]).select(
+        # a cell lies in the first bucket on its way down that fits: one bit below the deepest that does not
+        large = (F.col("shard_bytes") > limit) & (F.col("depth") < HASH_BITS)
+        split = buckets.where(large).select("depth", "prefix")
+        way = cells.select("cell", up).withColumn("prefix", F.expr(f"shiftright(cell, {fine} - depth)"))
+        deepest = way.join(split, ["depth", "prefix"]).groupBy("cell").agg(F.max("depth").alias("deepest"))
+        placed = cells.join(deepest, "cell", "left").withColumn("depth", F.coalesce(F.col("deepest") + 1, F.lit(low)))
+        placed = placed.where(F.col("depth") <= fine).withColumn("prefix", F.expr(f"shiftright(cell, {fine} - depth)"))
+        leaves = placed.groupBy("depth", "prefix").agg(
+            F.sum("n_bytes").alias("shard_bytes"), F.sum("n_docs").alias("shard_docs")
+        )
+        found = placed.select("cell", "depth", "prefix").join(leaves, ["depth", "prefix"]).select(
             F.lit(fine).alias("cell_depth"), "cell", "depth", "shard_bytes", "shard_docs"
         )
         out = found if out is None else out.union(found)
