@@ -22,10 +22,13 @@ from paytrail.session import materialized
 #: The model is fitted on about so many labelled rows, drawn by a hash of their ids.
 SAMPLE_ROWS = 24_000
 _CALIBRATION_SHARE = 3  # one in so many sampled rows calibrates, the others count
-PRIOR = 20.0
-STEM = 4
+PRIOR = 8.0
+#: Tokens not seen often enough score as the longest of their beginnings that was seen with several endings.
+STEMS = (3, 5, 7)
+STEM_PRIOR = 20.0
+MIN_ENDINGS = 3
 MIN_LINES = 3
-PENALTY = 1.0
+PENALTY = 2.0
 SIGNIFICANT = 0.01
 _TOKEN = re.compile(r"[^\W\d_]+")
 _MEMO_TOKENS = 500_000
@@ -77,7 +80,7 @@ class Model:
             if s is None:
                 s = self.tokens.get(t)
                 if s is None:
-                    s = self.stems.get(t[:STEM], 0.0)
+                    s = next((self.stems[t[:k]] for k in reversed(STEMS) if len(t) >= k and t[:k] in self.stems), 0.0)
                 if len(memo) > _MEMO_TOKENS:
                     memo.clear()
                 if len(t) <= 64:
@@ -118,21 +121,39 @@ def _token_rows(rows: DataFrame) -> DataFrame:
     """Each token of each distinct line; copies of a document count once, as their lines do."""
     lines = rows.select("toxic", F.explode(F.split("text", "\n")).alias("line")).groupBy("line")
     lines = lines.agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic")).select("toxic", F.xxhash64("line").alias("id"), "line")
-    words = F.regexp_extract_all(F.lower("line"), F.lit("([^\\W\\d_]+)"), F.lit(1))
+    words = F.regexp_extract_all(F.lower("line"), F.lit("(\\p{L}+)"), F.lit(1))
     return lines.select("id", "toxic", F.explode(F.array_distinct(words)).alias("token"))
 
 
-def _posterior(counts: pd.DataFrame, mean: np.ndarray) -> np.ndarray:
-    """Share of toxic lines among those holding a token, under a Dirichlet prior of the given mean."""
-    return (counts["toxic"].to_numpy() + PRIOR * mean) / (counts["lines"].to_numpy() + PRIOR)
+def _shares(token_rows: DataFrame, base: float) -> tuple[dict[str, float], dict[str, float]]:
+    """The share of toxic lines among those with a token, and the like for beginnings of tokens.
+
+    Every share has a Dirichlet prior centred on the next shorter beginning's share, the shortest on ``base``.
+    A beginning counts each token once, with its own share, so that one frequent word does not speak for it.
+    """
+    tally = token_rows.groupBy("token").agg(F.count(F.lit(1)).alias("lines"), F.sum("toxic").alias("toxic"))
+    tally = materialized(tally, "token-tally")
+    stems: dict[str, float] = {}
+
+    def mean(beginning: str) -> float:
+        return next((stems[beginning[:k]] for k in reversed(STEMS) if beginning[:k] in stems and len(beginning) > k), base)
+
+    for k in STEMS:
+        per = tally.where(F.length("token") >= k).groupBy(F.substring("token", 1, k).alias("stem")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("toxic") / F.col("lines")).alias("toxic")
+        )
+        for stem, n, toxic in per.where(F.col("n") >= MIN_ENDINGS).collect():
+            stems[stem] = (toxic + STEM_PRIOR * mean(stem)) / (n + STEM_PRIOR)
+    often = tally.where(F.col("lines") >= MIN_LINES).collect()
+    return {t: (toxic + PRIOR * mean(t)) / (n + PRIOR) for t, n, toxic in often}, stems
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from rows of ``docs`` with a label in ``labels`` (``toxic`` 0 or 1).
 
     About ``SAMPLE_ROWS`` labelled rows are drawn by a hash of their ids. On two thirds of them a token's
-    share of toxic lines is estimated under a Dirichlet prior centred on its stem's share, which in turn
-    has one centred on the overall share. The other third gives the extreme-value law and the curve.
+    share of toxic lines is estimated under a Dirichlet prior centred on the shares of its beginnings. The
+    other third gives the extreme-value law and the curve.
     Without labelled rows of both kinds every text scores the same, below 0.5.
     """
     known = labels.where("toxic IN (0, 1)").groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("toxic"))
@@ -151,21 +172,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model({}, {})
     base = n_toxic / n
     tally = (F.count(F.lit(1)).alias("lines"), F.sum("toxic").alias("toxic"))
-    words = token_rows.groupBy("token").agg(*tally).where(F.col("lines") >= MIN_LINES).toPandas()
-    stems = (
-        token_rows.select("id", "toxic", F.substring("token", 1, STEM).alias("stem")).distinct()
-        .groupBy("stem").agg(*tally).where(F.col("lines") >= MIN_LINES).toPandas()
-    )
-    odds = math.log(base / (1 - base))
-    stem_share = _posterior(stems, np.full(len(stems), base))
-    stem_mean = dict(zip(stems["stem"], stem_share))
-    word_mean = words["token"].str[:STEM].map(stem_mean).fillna(base).to_numpy(dtype=float)
-    word_share = _posterior(words, word_mean)
-    gain = lambda p: np.log(p / (1 - p)) - odds
-    model = Model(
-        dict(zip(words["token"], gain(word_share).round(4).tolist())),
-        {s: float(g) for s, g in zip(stems["stem"], gain(stem_share).round(4)) if abs(g) > 0.1},
-    )
+    tokens, stems = _shares(token_rows, base)
+
+    def gain(share: float) -> float:
+        return round(math.log(share / (1 - share)) - math.log(base / (1 - base)), 4)
+
+    model = Model({t: gain(p) for t, p in tokens.items()}, {t: gain(p) for t, p in stems.items()})
     rows = _features(drawn.where("calibrates"), model)
     _calibrate(model, rows)
     return model
