@@ -9,6 +9,7 @@ from paytrail.functions.columns import (
     payment_date,
     published,
     rate,
+    stated_period,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "payment_date",
     "published",
     "rate",
+    "stated_period",
 ]

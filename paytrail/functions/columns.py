@@ -52,6 +52,15 @@ def pay_period(c: str | Column) -> Column:
     return F.date_format(parse_date(c), "yyyy-MM")
 
 
+_STATED = "^[0-9]{4}-(0[1-9]|1[0-2])($|-[0-9]{2}($|[ T]))"
+
+
+def stated_period(c: str | Column) -> Column:
+    """The period that a text states as ``yyyy-MM`` or as an ISO date; NULL for any other text."""
+    text = _col(c).cast("string")
+    return pay_period(F.when(text.rlike(_STATED), text))
+
+
 def month_after(period: str | Column, months: int) -> Column:
     """The pay period a number of months after (or, if negative, before) another."""
     first_day = parse_date(F.concat(_col(period), F.lit("-01")))

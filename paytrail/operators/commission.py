@@ -199,8 +199,13 @@ def calc_chargebacks(priced: DataFrame, window_days: int = CHARGEBACK_WINDOW_DAY
 
 
 def renewal_dates(policies: DataFrame, end_date: Column) -> DataFrame:
-    """One row per renewal of a renewed policy: every 365 days up to the end date."""
-    due = F.sequence(F.lit(1), F.col("num_renewals").cast("int"))
+    """One row per renewal of a renewed policy: every 365 days up to the end date.
+
+    The end date bounds the renewals of a policy, whatever number it states.
+    """
+    years = F.floor(F.datediff(end_date, F.col("issue_date")) / PLAN_YEAR_DAYS)
+    last = F.when(F.col("issue_date").isNotNull(), F.least(F.col("num_renewals").cast("bigint"), years))
+    due = F.when(last >= 1, F.sequence(F.lit(1), last.cast("int")))
     expanded = policies.where(
         (F.col("policy_status") == "Renewed") & (F.col("num_renewals") >= 1)
     ).withColumn("renewal_number", F.explode(due))

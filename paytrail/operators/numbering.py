@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytrail.operators.joins import is_small, skew_join
+from paytrail.operators.joins import skew_join
 from paytrail.session import materialized
 
 # monotonically_increasing_id keeps the partition number above its lower 33 bits.
 _SLOT_BITS = 33
 _COPIES_PER_CHUNK = 100_000
-_ROWS_PER_WINDOW = 1_000_000
 
 
 def _sorted_slots(df: DataFrame, order_by: list[Column]) -> DataFrame:
@@ -52,22 +51,13 @@ def with_sequence_id(
     return numbered.select(*df.columns, F.format_string(f"{prefix}%0{width}d", "_seq").alias(name))
 
 
-def global_rank(
-    df: DataFrame, by: str, name: str = "rank", window_rows: int = _ROWS_PER_WINDOW
-) -> DataFrame:
+def global_rank(df: DataFrame, by: str, name: str = "rank") -> DataFrame:
     """Descending rank over all rows; ties share a rank, gaps follow, NULLs come last.
 
-    Up to ``window_rows`` rows (by estimate, else counted) take the plain window. Beyond
-    that the distinct values are counted and sorted across the cluster, and each
-    row looks up its value's rank.
+    The distinct values are counted and sorted across the cluster, and each row looks up
+    its value's rank.
     """
-    in_one_window = F.rank().over(Window.orderBy(F.col(by).desc_nulls_last())).cast("bigint")
-    if window_rows and is_small(df):
-        return df.withColumn(name, in_one_window)
     rows = materialized(df)
-    if window_rows and rows.count() <= window_rows:
-        return rows.withColumn(name, in_one_window)
-
     values = rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
     placed = _sorted_slots(values, [F.col(by).desc()])
     offsets = _part_offsets(placed, F.sum("_rows"))

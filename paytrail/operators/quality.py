@@ -63,11 +63,14 @@ class Check:
     """A named rule; up to ``max_share`` of the rows may fail it."""
 
     name: str
-    description: str
     rule: RowRule | KeyRule | ParentRule | FrameRule
     severity: str = "error"
     max_share: float = 0.0
 
+    @property
+    def description(self) -> str:
+        return self.name.replace("_", " ")
+
 
 @dataclass(frozen=True)
 class CheckResult:
@@ -239,12 +242,12 @@ def run_checks(
         listed = "; ".join(
             f"{r.check_name} ({r.failing_rows}/{r.total_rows} rows failed)" for r in failed
         )
-        raise DataQualityError(f"Data quality checks failed for '{table}': {listed}")
+        raise DataQualityError(f"failed checks of '{table}': {listed}")
     return results
 
 
-def quality_gate(log: DataFrame, whole_history: bool = False) -> DataFrame:
-    """Failed error-severity entries of each table's newest run, or of all runs."""
+def quality_gate(log: DataFrame, whole_history: bool = True) -> DataFrame:
+    """Failed error-severity entries of all runs, or of each table's newest run only."""
     failed = log.where(~F.col("passed") & (F.col("severity") == "error"))
     if whole_history:
         return failed

@@ -38,30 +38,18 @@ def commission_integrity(
 ) -> DataFrame:
     """One report row per rule that ties the commission tables together."""
     claw_back = [
-        Check(
-            "chargeback_has_transaction",
-            "a chargeback refers to an existing transaction",
-            missing_parent(transactions, {"original_transaction_id": "transaction_id"}),
+        Check("chargeback_has_transaction", missing_parent(transactions, {"original_transaction_id": "transaction_id"}),
         ),
-        Check(
-            "chargeback_within_window",
-            "a chargeback follows the issue within the window",
-            outside_window(policies),
+        Check("chargeback_within_window", outside_window(policies),
         ),
-        Check("chargeback_is_negative", "a chargeback lowers pay", negative("chargeback_amount")),
+        Check("chargeback_is_negative", negative("chargeback_amount")),
     ]
     recipients = [
-        Check(
-            "override_goes_to_an_upline",
-            "an override is paid to the upline of some agent",
-            missing_parent(agents, {"agent_id": "upline_agent_id"}),
+        Check("override_goes_to_an_upline", missing_parent(agents, {"agent_id": "upline_agent_id"}),
         )
     ]
     signs = [
-        Check(
-            "negative_commission_is_rare",
-            "new business and renewals are negative only by source error",
-            RowRule(F.col("commission_amount") < 0),
+        Check("negative_commission_is_rare", RowRule(F.col("commission_amount") < 0),
             max_share=NEGATIVE_SHARE,
         )
     ]

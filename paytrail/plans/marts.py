@@ -146,7 +146,7 @@ def chargeback_exposure(
         {"chargeback_rate": share, "is_high_risk": F.coalesce(risky, F.lit(False))}
     )
     attributes = current_agents(dim_agent, "agent_name", "agency_id", "tier")
-    return exposure.join(attributes, "agent_id", "left").orderBy(F.col("chargeback_rate").desc())
+    return exposure.join(attributes, "agent_id", "left").orderBy(F.col("chargeback_rate").desc(), "agent_id")
 
 
 def trailing_periods(summary: DataFrame, months: int = TRAILING_MONTHS) -> DataFrame:
@@ -159,14 +159,14 @@ def trailing_periods(summary: DataFrame, months: int = TRAILING_MONTHS) -> DataF
     return summary.where(F.col("pay_period") >= first)
 
 
-def agent_leaderboard(summary: DataFrame, **rank_options) -> DataFrame:
+def agent_leaderboard(summary: DataFrame) -> DataFrame:
     """Agents ranked by net commission over the trailing twelve months."""
     totals = trailing_periods(summary).groupBy("agent_id", "agent_name", "agency_id", "tier").agg(
         from_cents(F.sum(in_cents("gross_commission"))).alias("trailing_12mo_gross_commission"),
         from_cents(F.sum(in_cents("net_commission"))).alias("trailing_12mo_net_commission"),
         from_cents(F.sum(in_cents("chargeback_deductions"))).alias("trailing_12mo_chargebacks"),
     )
-    return global_rank(totals, "trailing_12mo_net_commission", **rank_options)
+    return global_rank(totals, "trailing_12mo_net_commission")
 
 
 def reconciliation_report(
@@ -209,7 +209,8 @@ def reconciliation_report(
         "variance",
         "reconciliation_status",
     )
-    return report.orderBy(F.abs("variance").desc()) if ordered else report
+    # the keys split the many rows without variance over the tasks of the sort
+    return report.orderBy(F.abs("variance").desc(), "agent_id", "pay_period") if ordered else report
 
 
 def reconciliation_headline(report: DataFrame) -> DataFrame:

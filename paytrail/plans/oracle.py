@@ -390,6 +390,17 @@ _BODIES = {
     "pay_periods": """
         SELECT m AS from_timestamp, m AS from_date, m AS from_text, m AS from_period, count(*) AS lines
         FROM (SELECT strftime(l_shipdate, '%Y-%m') AS m FROM lineitem) GROUP BY m""",
+    "stated_periods": """
+        SELECT CASE WHEN kind IN (3, 4) THEN m END AS period, kind, count(*) AS lines
+        FROM (SELECT strftime(l_shipdate, '%Y-%m') AS m, l_orderkey % 6 AS kind FROM lineitem) GROUP BY ALL""",
+    "extract_reordered": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, CAST(o_custkey AS VARCHAR) AS agent_id,
+               strftime(o_orderdate, '%Y-%m') AS pay_period, strftime(o_orderdate, '%Y-%m-%d') AS payment_date,
+               CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS gross_commission,
+               CAST(0 AS DOUBLE) AS chargeback_deductions,
+               CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS net_payment_amount,
+               o_orderstatus AS payment_status, 'ACH' AS payment_method
+        FROM orders""",
     "dim_agency": "SELECT * FROM agency",
     "dim_agent_scd2": f"""
         SELECT agent_id, first_name, last_name, agency_id, agent_status, upline_agent_id,

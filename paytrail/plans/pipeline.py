@@ -13,7 +13,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytrail.config import LakePaths
+from paytrail.config import Lake
 from paytrail.operators.cleaning import split_quarantine
 from paytrail.operators.quality import quality_gate, run_checks
 from paytrail.plans import marts
@@ -73,57 +73,57 @@ def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str, fmt: str = "pa
     return marts.reconciliation_headline(report).first().asDict()
 
 
-def run_pipeline(spark: SparkSession, paths: LakePaths) -> dict:
+def run_pipeline(spark: SparkSession, paths: Lake) -> dict:
     """All stages in order over one lake root."""
-    ingest_all(spark, paths.raw, paths.bronze)
-    run_silver(spark, paths.bronze, paths.silver)
-    return run_gold(spark, paths.silver, paths.gold)
+    ingest_all(spark, paths.layer("raw"), paths.layer("bronze"))
+    run_silver(spark, paths.layer("bronze"), paths.layer("silver"))
+    return run_gold(spark, paths.layer("silver"), paths.layer("gold"))
 
 
-def check_gate(spark: SparkSession, log_path: str, whole_history: bool = False) -> int:
+def check_gate(spark: SparkSession, log_path: str, whole_history: bool = True) -> int:
     """Exit code of the gate; failing checks are shown in full."""
     failed = quality_gate(read_table(spark, log_path), whole_history)
     if failed.isEmpty():
-        print("All error-severity DQ checks passed")
+        print("gate open")
         return 0
     failed.show(truncate=False)
-    print("error-severity DQ checks failed", file=sys.stderr)
+    print("gate closed by the checks above", file=sys.stderr)
     return 1
 
 
 def main(argv: list[str] | None = None) -> int:
-    paths = LakePaths()
+    paths = Lake()
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     stages = parser.add_subparsers(dest="stage", required=True)
     bronze = stages.add_parser("bronze")
-    bronze.add_argument("--raw-dir", default=paths.raw)
-    bronze.add_argument("--out-dir", default=paths.bronze)
+    bronze.add_argument("--raw-dir", default=paths.layer("raw"))
+    bronze.add_argument("--out-dir", default=paths.layer("bronze"))
     silver = stages.add_parser("silver")
-    silver.add_argument("--bronze-dir", default=paths.bronze)
-    silver.add_argument("--silver-dir", default=paths.silver)
+    silver.add_argument("--bronze-dir", default=paths.layer("bronze"))
+    silver.add_argument("--silver-dir", default=paths.layer("silver"))
     gold = stages.add_parser("gold")
-    gold.add_argument("--silver-dir", default=paths.silver)
-    gold.add_argument("--gold-dir", default=paths.gold)
+    gold.add_argument("--silver-dir", default=paths.layer("silver"))
+    gold.add_argument("--gold-dir", default=paths.layer("gold"))
     gate = stages.add_parser("gate")
-    gate.add_argument("--dq-log-path", default=f"{paths.silver}/_dq_log")
-    gate.add_argument("--whole-history", action="store_true")
+    gate.add_argument("--dq-log-path", default=paths.table("silver", "_dq_log"))
+    gate.add_argument("--newest-run", action="store_true")
     args = parser.parse_args(argv)
 
     spark = get_spark(f"paytrail-{args.stage}")
     if args.stage == "bronze":
         for name, rows in ingest_all(spark, args.raw_dir, args.out_dir).items():
-            print(f"{name:>24s}: {rows:>12,} rows -> {args.out_dir}/{name}")
+            print(f"landed {rows} rows of {name}")
     elif args.stage == "silver":
         run_silver(spark, args.bronze_dir, args.silver_dir)
-        print(f"Silver layer written to {args.silver_dir}")
+        print(f"silver tables stand in {args.silver_dir}")
     elif args.stage == "gold":
         found = run_gold(spark, args.silver_dir, args.gold_dir)
         print(
-            f"Reconciliation: {found['matched_periods']:,}/{found['total_periods']:,} periods "
-            f"matched, {found['break_periods']:,} breaks flagged for review"
+            f"agent periods: {found['total_periods']}, in agreement {found['matched_periods']}, "
+            f"to review {found['break_periods']}"
         )
     else:
-        return check_gate(spark, args.dq_log_path, args.whole_history)
+        return check_gate(spark, args.dq_log_path, not args.newest_run)
     return 0
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.config import TRANSACTION_TYPES
-from paytrail.functions import pay_period, published
+from paytrail.functions import pay_period, published, stated_period
 from paytrail.operators import cleaning, commission, history, numbering, quality
 from paytrail.operators.joins import as_of_join
 from paytrail.plans import integrity, marts, silver
@@ -108,6 +108,23 @@ def pay_periods(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query
+def stated_periods(spark, sf_dir):
+    """Periods as payments state them: months and dates count, other texts are no period."""
+    ships = w.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
+    month, kind = F.date_format("l_shipdate", "yyyy-MM"), F.pmod("l_orderkey", F.lit(6))
+    text = (
+        F.when(kind == 0, F.date_format("l_shipdate", "yyyyMM"))
+        .when(kind == 1, F.concat(F.substring(month, 1, 4), F.lit("-13")))
+        .when(kind == 2, F.concat(F.substring(month, 1, 4), F.lit("-Q1")))
+        .when(kind == 3, F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .when(kind == 4, month)
+    )
+    return ships.groupBy(stated_period(text).alias("period"), kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+
+
 # --- dimensions and facts -------------------------------------------------------------
 
 
@@ -436,7 +453,7 @@ def dq_gate(spark, sf_dir):
             for at, df in runs.items()
         ],
     )
-    return quality.quality_gate(log).drop("description")
+    return quality.quality_gate(log, whole_history=False).drop("description")
 
 
 # --- marts ----------------------------------------------------------------------------
@@ -475,8 +492,8 @@ def agent_leaderboard(spark, sf_dir):
 
 @query
 def agent_leaderboard_distributed(spark, sf_dir):
-    """The leaderboard on the path for more agents than one task should rank."""
-    return marts.agent_leaderboard(materialized(_summary(spark, sf_dir)), window_rows=0)
+    """The leaderboard over a stored summary."""
+    return marts.agent_leaderboard(materialized(_summary(spark, sf_dir)))
 
 
 def _reconciled(spark, sf_dir, **options):
@@ -529,6 +546,27 @@ def extract_roundtrip(spark, sf_dir):
     return _per_month(extracts.monthly_extract(spark, raw, name))
 
 
+@query
+def extract_reordered(spark, sf_dir):
+    """Payments from files whose columns stand in another order, with one more than declared."""
+    raw = scratch_path(spark, "reordered")
+    amount = F.col("o_totalprice").cast("decimal(18,2)")
+    rows = w.table(spark, sf_dir, "orders").select(
+        F.lit("extra").alias("note"),
+        F.lit("ACH").alias("payment_method"),
+        F.col("o_orderstatus").alias("payment_status"),
+        amount.alias("net_payment_amount"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("pay_period"),
+        F.col("o_orderdate").cast("date").alias("payment_date"),
+        F.lit("0.00").cast("decimal(18,2)").alias("chargeback_deductions"),
+        amount.alias("gross_commission"),
+        F.col("o_custkey").cast("string").alias("agent_id"),
+        F.col("o_orderkey").cast("string").alias("payment_id"),
+    )
+    extracts.write_monthly_extract(rows, raw, "payments", "payment_date")
+    return extracts.monthly_extract(spark, raw, "payments").drop(*extracts.LINEAGE)
+
+
 @query
 def snapshot_roundtrip(spark, sf_dir):
     """Export two full snapshots; ingesting takes the newer one only."""

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paytrail.functions import pay_period
-from paytrail.operators.cleaning import latest_snapshot
 from paytrail.schemas import EXTRACT_DATE, MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
 from paytrail.sources.tables import write_table
 
@@ -15,22 +14,61 @@ SNAPSHOT, MONTH = "full_load_date", "ingest_month"
 LINEAGE = ["_ingested_at", "_source_file"]
 
 
+MALFORMED = "_malformed"
+#: The header decides which column is which; a file whose header differs from the others' fails the read.
+CSV_OPTIONS = {"header": True, "enforceSchema": False, "columnPruning": False, "columnNameOfCorruptRecord": MALFORMED}
+
+
+def header_schema(spark: SparkSession, path: str, schema: str, folder: str | None = None) -> T.StructType:
+    """The declared columns in the order of the files' header, further ones as text, then the malformed line."""
+    declared = {f.name: f for f in T.StructType.fromDDL(schema)}
+    names = [c for c in spark.read.option("header", True).csv(path).columns if c != folder]  # reads one line
+    fields = [declared.get(c, T.StructField(c, T.StringType())) for c in names]
+    # The folder column is declared too, or discovery would guess its type.
+    extra = [MALFORMED, *([folder] if folder else [])]
+    return T.StructType(fields + [T.StructField(c, T.StringType()) for c in extra])
+
+
+def declared_columns(frame: DataFrame, schema: str) -> list[Column]:
+    """The declared columns of a frame read by its header; one the files lack is NULL."""
+    fields = T.StructType.fromDDL(schema).fields
+    return [(F.col(f.name) if f.name in frame.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields]
+
+
 def read_extract(
     spark: SparkSession, path: str, schema: str | None, folder: str | None = None
 ) -> DataFrame:
-    """Header CSV under a declared schema, with its folder date (as text) and file path.
+    """Header CSV with its folder date (as text) and file path; columns are found by name.
 
+    Under a declared schema the declared columns are returned, whatever their order in the
+    files (NULL for one that they lack), and ``_malformed`` holds a line of which some value does not fit its type.
     Passing no schema infers one, as a last resort: that costs an extra pass and loses
     leading zeros and month texts.
     """
-    reader = spark.read.option("header", True)
+    source = F.col("_metadata.file_path").alias("_source_file")
     if schema is None:
-        frame = reader.option("inferSchema", True).csv(path)
-    else:
-        # The folder column is declared too, or discovery would guess its type.
-        declared = f"{schema}, {folder} string" if folder else schema
-        frame = reader.schema(declared).csv(path)
-    return frame.select("*", F.col("_metadata.file_path").alias("_source_file"))
+        return spark.read.option("header", True).option("inferSchema", True).csv(path).select("*", source)
+    frame = spark.read.options(**CSV_OPTIONS).schema(header_schema(spark, path, schema, folder)).csv(path)
+    return frame.select(*declared_columns(frame, schema), *([folder] if folder else []), MALFORMED, source)
+
+
+def fits(df: DataFrame) -> Column:
+    """Whether all values of a row fit their types.
+
+    The reader cannot tell from the malformed line alone, so the rule names another column too.
+    """
+    first = F.col(df.columns[0]).cast("string")
+    return F.concat_ws("|", first, MALFORMED) == F.coalesce(first, F.lit(""))
+
+
+def well_formed(df: DataFrame) -> DataFrame:
+    """The rows whose values all fit their types."""
+    return df.where(fits(df)).drop(MALFORMED)
+
+
+def malformed(df: DataFrame) -> DataFrame:
+    """The other rows, with the line as it was read."""
+    return df.where(~fits(df))
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -39,17 +77,32 @@ def with_lineage(df: DataFrame) -> DataFrame:
     return df.select(*columns, F.current_timestamp().alias("_ingested_at"), "_source_file")
 
 
+def _snapshot(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
+    """The newest full snapshot: its date comes from the listing of the files, not from their rows."""
+    path = f"{raw_dir}/reference/{name}"
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(path)
+    newest = listing.agg(F.max(F.col(SNAPSHOT).cast("string"))).scalar()
+    everything = read_extract(spark, path, REFERENCE_EXTRACTS[name], SNAPSHOT)
+    return everything.where(F.col(SNAPSHOT) == newest).drop(SNAPSHOT)
+
+
+def _monthly(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
+    return read_extract(spark, f"{raw_dir}/{name}", MONTHLY_EXTRACTS[name], MONTH).drop(MONTH)
+
+
 def snapshot_extract(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
-    """The newest full snapshot of a reference table; older folders are not read."""
-    schema = REFERENCE_EXTRACTS[name]
-    everything = read_extract(spark, f"{raw_dir}/reference/{name}", schema, SNAPSHOT)
-    return with_lineage(latest_snapshot(everything, SNAPSHOT).drop(SNAPSHOT))
+    """The well-formed rows of the newest full snapshot of a reference table; older folders are not read."""
+    return with_lineage(well_formed(_snapshot(spark, raw_dir, name)))
 
 
 def monthly_extract(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
-    """All month folders of an incremental table."""
-    everything = read_extract(spark, f"{raw_dir}/{name}", MONTHLY_EXTRACTS[name], MONTH)
-    return with_lineage(everything.drop(MONTH))
+    """The well-formed rows of all month folders of an incremental table."""
+    return with_lineage(well_formed(_monthly(spark, raw_dir, name)))
+
+
+def quarantine_malformed(df: DataFrame, bronze_dir: str, name: str, fmt: str = "parquet") -> None:
+    """Write the malformed rows of a table, if any, beside the bronze tables."""
+    write_table(malformed(df), f"{bronze_dir}/_quarantine/{name}", fmt=fmt)
 
 
 def land(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -62,10 +115,10 @@ def land(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 def ingest_all(spark: SparkSession, raw_dir: str, bronze_dir: str, fmt: str = "parquet") -> dict[str, int]:
     """Land every extract; the result gives the rows per table."""
     landed = {}
-    for name in REFERENCE_EXTRACTS:
-        landed[name] = land(snapshot_extract(spark, raw_dir, name), f"{bronze_dir}/{name}", fmt)
-    for name in MONTHLY_EXTRACTS:
-        landed[name] = land(monthly_extract(spark, raw_dir, name), f"{bronze_dir}/{name}", fmt)
+    for name in [*REFERENCE_EXTRACTS, *MONTHLY_EXTRACTS]:
+        read = (_snapshot if name in REFERENCE_EXTRACTS else _monthly)(spark, raw_dir, name)
+        landed[name] = land(with_lineage(well_formed(read)), f"{bronze_dir}/{name}", fmt)
+        quarantine_malformed(read, bronze_dir, name, fmt)
     return landed
 
 

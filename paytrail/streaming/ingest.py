@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.schemas import MONTHLY_EXTRACTS
-from paytrail.sources.extracts import MONTH
+from paytrail.sources.extracts import CSV_OPTIONS, MALFORMED, MONTH, declared_columns, header_schema, malformed, well_formed
 
 
 def ingest_new_files(
@@ -16,21 +16,23 @@ def ingest_new_files(
 
     Gives the rows a full re-read gives, as long as delivered files do not
     change. The stream's checkpoint, on shared storage, makes a restart exactly-once.
+    Columns are found by the header; malformed rows land in the quarantine by a stream of
+    their own.
     """
-    arriving = (
-        spark.readStream.schema(f"{MONTHLY_EXTRACTS[name]}, {MONTH} string")
-        .option("header", True)
-        .csv(f"{raw_dir}/{name}")
-    )
-    landed = arriving.select(
-        "*",
-        F.current_timestamp().alias("_ingested_at"),
-        F.col("_metadata.file_path").alias("_source_file"),
-    ).drop(MONTH)
-    query = (
-        landed.writeStream.format("parquet")
-        .option("checkpointLocation", f"{checkpoint_dir}/{name}")
-        .trigger(availableNow=True)
-        .start(f"{bronze_dir}/{name}")
-    )
-    query.awaitTermination()
+    path, declared = f"{raw_dir}/{name}", MONTHLY_EXTRACTS[name]
+    schema = header_schema(spark, path, declared, MONTH)
+    for choose, line, target in ((well_formed, [], name), (malformed, [MALFORMED], f"_quarantine/{name}")):
+        arriving = spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(path)
+        landed = choose(arriving).select(
+            *declared_columns(arriving, declared),
+            *line,
+            F.current_timestamp().alias("_ingested_at"),
+            F.col("_metadata.file_path").alias("_source_file"),
+        )
+        query = (
+            landed.writeStream.format("parquet")
+            .option("checkpointLocation", f"{checkpoint_dir}/{target}")
+            .trigger(availableNow=True)
+            .start(f"{bronze_dir}/{target}")
+        )
+        query.awaitTermination()

@@ -56,7 +56,7 @@ if __name__ == "__main__":
     from paytrail.session import get_spark
 
     directory = sys.argv[1]
-    names = sys.argv[2:] or list(queries())
+    names = sys.argv[2:] or list(oracle_sql())
     session = get_spark("oracle", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.master": "local[8]"})
     session.sparkContext.setLogLevel("ERROR")
     db = connect(directory)

@@ -4,7 +4,6 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from paytrail.config import BASE_RATES
 from paytrail.operators import commission as c
 
 POLICY = (
@@ -17,7 +16,7 @@ END = F.to_date
 
 @pytest.fixture(scope="module")
 def products(spark):
-    rows = [("AUTO", BASE_RATES["AUTO"]), ("HOME", BASE_RATES["HOME"])]
+    rows = [("AUTO", D("0.12")), ("HOME", D("0.15"))]
     return spark.createDataFrame(rows, "product_id string, base_commission_rate decimal(9,4)")
 
 

@@ -20,7 +20,7 @@ from paytrail.operators.quality import (
 
 
 def found(df, *rules):
-    checks = [Check(str(i), "", rule) for i, rule in enumerate(rules)]
+    checks = [Check(str(i), rule) for i, rule in enumerate(rules)]
     return [r["failing_rows"] for r in check_report(df, checks, "t").orderBy("check_name").collect()]
 
 
@@ -31,8 +31,8 @@ def test_row_rules_and_unique_in_one_report(spark):
     )
     rules = [not_null("s"), unique("id"), positive("x"), in_set("s", ["a"]), negative("x"), not_null("id")]
     assert found(df, *rules) == [1, 2, 2, 1, 3, 2]
-    report = check_report(df, [Check("n", "d", not_null("s"), "warn")], "t").first()
-    assert tuple(report) == ("t", "n", "d", "warn", 1, 5, False)
+    report = check_report(df, [Check("n", not_null("s"), "warn")], "t").first()
+    assert tuple(report) == ("t", "n", "n", "warn", 1, 5, False)
 
 
 def test_several_key_rules_and_free_rules(spark):
@@ -50,13 +50,13 @@ def test_several_key_rules_and_free_rules(spark):
 
 def test_empty_table_passes(spark):
     df = spark.createDataFrame([], "id long, s string")
-    report = check_report(df, [Check("u", "", unique("id")), Check("n", "", not_null("s"))], "t")
+    report = check_report(df, [Check("u", unique("id")), Check("n", not_null("s"))], "t")
     assert [(r["failing_rows"], r["total_rows"], r["passed"]) for r in report.collect()] == [(0, 0, True)] * 2
 
 
 def test_report_scans_are_narrow(spark, sf):
     lines = spark.read.parquet(f"{sf}/lineitem.parquet")
-    checks = [Check("a", "", not_null("l_tax")), Check("b", "", unique("l_orderkey")), Check("c", "", positive("l_tax"))]
+    checks = [Check("a", not_null("l_tax")), Check("b", unique("l_orderkey")), Check("c", positive("l_tax"))]
     plan = check_report(lines, checks, "t")._jdf.queryExecution().executedPlan().toString()
     read = sorted(part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:])
     assert read == ["l_orderkey:bigint", "l_tax:double"]
@@ -71,11 +71,11 @@ def test_missing_parent(spark):
 def test_error_is_logged_then_raised_and_warn_is_not(spark, tmp_path):
     df = spark.createDataFrame([(1,), (None,)], "id long")
     log = f"{tmp_path}/log"
-    results = run_checks(spark, df, [Check("soft", "d", not_null("id"), "warn")], "t", log)
+    results = run_checks(spark, df, [Check("soft", not_null("id"), "warn")], "t", log)
     assert [(r.failing_rows, r.total_rows, r.passed) for r in results] == [(1, 2, False)]
     with pytest.raises(DataQualityError, match=r"'t': hard \(1/2 rows failed\)"):
-        run_checks(spark, df, [Check("hard", "d", not_null("id"))], "t", log)
-    run_checks(spark, df, [Check("hard", "d", not_null("id"))], "t", log, fail_on_error=False)
+        run_checks(spark, df, [Check("hard", not_null("id"))], "t", log)
+    run_checks(spark, df, [Check("hard", not_null("id"))], "t", log, fail_on_error=False)
     stored = spark.read.parquet(log)
     assert stored.count() == 3
     assert {r["check_name"] for r in quality_gate(stored).collect()} == {"hard"}
@@ -87,12 +87,12 @@ def test_gate_looks_at_each_tables_newest_run(spark):
         ("b", "c", "error", False, "2025-01-01"), ("b", "w", "warn", False, "2025-01-01"),
     ]
     log = spark.createDataFrame(rows, "table_name string, check_name string, severity string, passed boolean, run_timestamp string")
-    assert [r["table_name"] for r in quality_gate(log).collect()] == ["b"]
-    assert quality_gate(log, whole_history=True).count() == 2
+    assert [r["table_name"] for r in quality_gate(log, whole_history=False).collect()] == ["b"]
+    assert quality_gate(log).count() == 2
 
 
 def test_a_share_of_failures_may_be_allowed(spark):
     df = spark.range(100).select(F.col("id").cast("int").alias("n"))
-    few = Check("few", "", positive("n"), max_share=0.01)
-    none = Check("none", "", positive("n"), max_share=0.009)
+    few = Check("few", positive("n"), max_share=0.01)
+    none = Check("none", positive("n"), max_share=0.009)
     assert [r.passed for r in run_checks(spark, df, [few, none], "t", fail_on_error=False)] == [True, False]
