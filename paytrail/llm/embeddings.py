@@ -24,6 +24,8 @@ CODES = 12  # independent rotations
 WORDS = 256  # code words in a block, so 65,536 directions in a code
 #: Caps are as high as lets a random vector lie in so many of all directions on average.
 FILTERS = 48
+#: Shorter vectors are padded with zeros, which changes no angle: blocks of a few components have too few directions.
+MIN_DIMENSION = 16
 _SEED = 20240202
 
 
@@ -52,6 +54,7 @@ def _setup(dimension: int) -> tuple[list[tuple], float]:
 
 def decode(unit: np.ndarray) -> np.ndarray:
     """The filters of one unit vector: for each code all pairs of words whose direction it exceeds."""
+    unit = np.pad(unit, (0, max(0, MIN_DIMENSION - len(unit))))
     codes, threshold = _setup(len(unit))
     out = []
     for number, (rotation, first, second) in enumerate(codes):

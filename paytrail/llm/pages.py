@@ -126,6 +126,11 @@ def lines_of(page: str | None) -> list[Line]:
                 stack.append((tag, BOILERPLATE))
                 zone = BOILERPLATE
             continue
+        if tag in _RAW:  # what it holds is no text, and it ends no block
+            if not m[1] and not m[3].rstrip().endswith("/"):
+                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = end.end() if end else len(page)
+            continue
         flush()
         if m[1]:
             if any(name == tag for name, _ in stack):
@@ -133,11 +138,6 @@ def lines_of(page: str | None) -> list[Line]:
                     pass
                 zone = stack[-1][1] if stack else OPEN
             continue
-        if tag in _RAW:
-            if not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
-            continue
         closes = _CLOSES_ITSELF.get(tag) or ({"p"} if tag in _ENDS_PARAGRAPH else ())
         while stack and stack[-1][0] in closes:
             stack.pop()
