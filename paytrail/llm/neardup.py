@@ -138,9 +138,9 @@ def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     sized = pairs.join(sketch("a"), "a").join(sketch("b"), "b").where(
         (F.col("n_a") * of >= F.col("n_b") * over) & (F.col("n_b") * of >= F.col("n_a") * over)
     )
-    near = sized.where(_estimate("regs_a", "regs_b", "n_a", "n_b") >= over / of - SLACK).select("a", "b").distinct()
+    near = sized.where(_estimate("regs_a", "regs_b", "n_a", "n_b") >= over / of - SLACK).select("a", "b")
     both = near.join(full("b"), "b").join(full("a"), "a")
-    return materialized(both.where(_confirmed("text_a", "text_b")).select("a", "b").distinct(), "confirmed")
+    return materialized(both.where(_confirmed("text_a", "text_b")).select("a", "b"), "confirmed")
 
 
 def _bands(reps: DataFrame) -> DataFrame:
@@ -197,12 +197,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialized(docs.where("id IS NOT NULL").join(active, "id", "left_semi"), "active-texts")
     first = _links(pairs, reps, texts)
 
-    labels = active.join(components(first), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
+    stars = materialized(components(first), "first-components")
+    labels = active.join(stars, "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
     second = _rest_links(led.where("id <> lead").join(labels, "id"), texts)
 
     # classes whose copies share an id are one document
     same_id = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
-    final = components(first.union(second).union(same_id)).withColumnRenamed("id", "rep")
+    known = stars.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    final = components(known.union(second).union(same_id)).withColumnRenamed("id", "rep")
     placed = member.join(final, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component_id"))
     lonely = drawn.where("id IS NULL OR n = 0").select("id", "n", F.col("id").alias("component_id"))
     return placed.union(lonely).select(
@@ -227,7 +229,7 @@ def _rest_links(led: DataFrame, texts: DataFrame) -> DataFrame:
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     met = met.select("lead", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "id", "comp")
     found = met.join(texts, "id").groupBy("lead", "p", "q").applyInPandas(_block_links, "a bigint, b bigint")
-    return materialized(found.distinct(), "rest-links")
+    return materialized(found, "rest-links")
 
 
 def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
