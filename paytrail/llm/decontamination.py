@@ -3,6 +3,9 @@
 A window of a document has as many words as the item it is compared with. Fingerprints of 128 bits are
 looked up by blocks of 8 bits: two fingerprints within 47 bits agree in some block up to 2 bits, so
 looking up every value within 2 bits of a block finds all fingerprints in the radius.
+
+Equal windows have equal fingerprints, so whole copies are never lost; near copies can lie outside the radius.
+Those are found by the item's rarest shingles, of which every similar window holds one.
 """
 
 from __future__ import annotations
@@ -21,10 +24,11 @@ from pyspark.sql.types import BooleanType
 from paytrail.llm.text import SHINGLE_WORDS, mix, shingle_hashes, word_hashes
 
 SIMILARITY = 0.75
-RADIUS = 47  # similar vectors at 0.75 differ in 29.4 of 128 bits, give or take 4.8
+RADIUS = 47  # a cosine of 0.75 is 29.4 of 128 bits, give or take 4.8; windows that hold more of other items are further off
 BLOCKS = 16
 #: Items are compared in blocks of about so many bytes of text, each in one pass over the documents.
 BLOCK_BYTES = 4 << 20
+_ROUNDING = 1e-6  # sums of weights within it are compared again by their exact similarity
 _BLOCK_RADIUS = RADIUS // BLOCKS
 _NEAR = [
     [v for v in range(256) if (u ^ v).bit_count() <= _BLOCK_RADIUS] for u in range(256)
@@ -69,6 +73,14 @@ class Index:
             for n in members:
                 for s in self.parts[n]:
                     self.sizes_of[s].add(size)
+        self.keys = defaultdict(list)  # a shingle's items that cannot lack it and all their rarer ones
+        for n, part in enumerate(self.parts):
+            weight = 0.0
+            for s in sorted(part, key=lambda s: (-self.weight[s], s)):
+                self.keys[s].append(n)
+                weight += self.weight[s] * part[s]
+                if weight > (1 - SIMILARITY) * self.total[n] + _ROUNDING:
+                    break
         self.prints = np.stack([_fingerprint(self._sum(x[2])) for x in self.items]) if self.items else None
         self.blocks = {}
         for size, members in self.by_size.items():
@@ -80,10 +92,14 @@ class Index:
             self.blocks[size] = table
 
     def weights(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The weight of each shingle (1 if no item holds it), and whether an item holds it."""
+        """What each shingle adds to a fingerprint, and whether an item holds it: others add nothing.
+
+        The root of the weight, so that the product of two windows is the weight they share; whole numbers,
+        so that sums do not depend on their order and equal windows have equal fingerprints.
+        """
         at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
         held = self.known[at] == shingles
-        return np.where(held, self.known_weight[at], 1.0), held
+        return np.where(held, np.rint(np.sqrt(self.known_weight[at]) * (1 << 20)), 0.0), held
 
     def _sum(self, shingles: np.ndarray) -> np.ndarray:
         return (_bits(shingles) * self.weights(shingles)[0][:, None]).sum(axis=0)
@@ -114,6 +130,7 @@ class Index:
                             starts[size].add(0)
             for size, places in starts.items():
                 self._windows(size, size - width + 1, np.array(sorted(places)), shingles, weight, best)
+            self._by_keys(hits, shingles, width, len(words), best)
         return [(self.items[n][0], round(s, 6), at, self.items[n][1]) for n, (s, at) in sorted(best.items())]
 
     def _windows(self, size, n_shingles, places, shingles, weight, best) -> None:
@@ -134,6 +151,44 @@ class Index:
                             if s >= SIMILARITY and s > best.get(n, (0.0, 0))[0]:
                                 best[n] = s, place
 
+    def _by_keys(self, hits, shingles, width, n_words, best) -> None:
+        """The best windows of all items of which a key stands in the text; whole copies are known already."""
+        where = defaultdict(list)
+        for at in hits.tolist():
+            where[int(shingles[at])].append(at)
+        for n in {n for s in where for n in self.keys.get(s, ())}:
+            size = self.items[n][1]
+            if min(SHINGLE_WORDS, size) == width and best.get(n, (0.0, 0))[0] < 1:
+                found = self._best_window(n, size - width + 1, max(0, n_words - size), where, shingles)
+                if found and found[0] >= SIMILARITY:
+                    best[n] = found
+
+    def _best_window(self, n, n_shingles, last, where, shingles) -> tuple[float, int] | None:
+        """Similarity and place of the first most similar window of an item, from sums that change where shingles come and go."""
+        part, weight = self.parts[n], self.weight
+        present = [s for s in part if s in where]
+        least = SIMILARITY * self.total[n] - _ROUNDING
+        if sum(weight[s] * min(part[s], len(where[s])) for s in present) < least:
+            return None
+        moves = sorted(
+            move for s in present for at in where[s] for move in ((max(0, at - n_shingles + 1), 1, s), (at + 1, -1, s))
+        )
+        seen, share, shares = Counter(), 0.0, {}
+        for place, step, s in moves:
+            if place > last:
+                break
+            if step < 0:
+                seen[s] -= 1
+            if seen[s] < part[s]:
+                share += step * weight[s]
+            if step > 0:
+                seen[s] += 1
+            shares[place] = share
+        least = max(least, max(shares.values(), default=0.0) - _ROUNDING)
+        places = sorted(place for place, share in shares.items() if share >= least)
+        found = [(self._similarity(n, shingles[at : at + n_shingles]), -at) for at in places]
+        return (max(found)[0], -max(found)[1]) if found else None
+
 
 def _runs(words: np.ndarray, width: int) -> np.ndarray:
     """Shingles of ``width`` words; those of short items are hashed as the whole short item is."""
@@ -147,7 +202,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document holds an item if in some window with as many words as the item the item's 5-word shingles have at
     least 0.75 of their weight. Words and case are those of the other operators. Fingerprints are made
-    of windows with a shingle of an item of their size; other windows cannot be similar to any. Of several windows
+    of windows with a shingle of an item of their size; other windows cannot be similar to any. Near copies that
+    fingerprints miss are found by the item's rarest shingles, so none is lost. Of several windows
     the most similar counts, then the first.
 
     The benchmark is split by a hash into blocks of about 4 MB. Each block is sent to the executors once and

@@ -261,6 +261,32 @@ def test_decontamination_of_odd_rows(spark, odd):
     assert decontamination.contaminated(table(spark, []), bench).count() == 0
 
 
+def test_edited_copies_of_similar_items_are_found():
+    """Many variants of one item: a few edited words outweigh what the variants share, yet the copy is near."""
+    rng = random.Random(11)
+    found = wanted = 0
+    for group in (3, 10, 30):
+        base = sentence(rng, 53, "g").split()
+        variants = [[*base, f"variant{k}"] for k in range(group)]
+        index = decontamination.Index([(k, " ".join(w)) for k, w in enumerate(variants)])
+        for _ in range(12):
+            w = list(rng.choice(variants))
+            for _ in range(rng.randrange(1, 3)):
+                w[rng.randrange(54)] = sentence(rng, 1, "e")
+            text = " ".join(sentence(rng, 20).split() + w + sentence(rng, 20).split())
+            runs = decontamination.shingle_hashes(decontamination.word_hashes(text))
+            want = {}
+            for n in range(group):
+                best = max((index._similarity(n, runs[a : a + 50]), -a) for a in range(len(runs) - 49))
+                if best[0] >= 0.75:
+                    want[n] = (round(best[0], 6), -best[1])
+            got = {i: (s, at) for i, s, at, _ in index.find(text)}
+            wanted += len(want)
+            found += len(want.items() & got.items())
+            assert got == want
+    assert found == wanted > 100
+
+
 def test_every_fingerprint_in_the_radius_is_looked_up():
     rng = random.Random(8)
     near_values = decontamination._NEAR
