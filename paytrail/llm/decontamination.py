@@ -10,6 +10,7 @@ Those are found by the item's rarest shingles, of which every similar window hol
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from paytrail.llm.text import SHINGLE_WORDS, mix, shingle_hashes, word_hashes
+from paytrail.session import materialized
 
 SIMILARITY = 0.75
 RADIUS = 47  # a cosine of 0.75 is 29.4 of 128 bits, give or take 4.8; windows that hold more of other items are further off
@@ -48,7 +50,8 @@ def _fingerprint(sums: np.ndarray) -> np.ndarray:
 class Index:
     """Items of a block of the benchmark: weighted shingles, and fingerprints by size and block value."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int, str | None]], shared: tuple[np.ndarray, np.ndarray] | None = None):
+        """``shared``: shingles that several different items of the whole benchmark hold, and how many; else counted here."""
         self.items = []
         distinct = {}
         for item_id, text in items:
@@ -58,6 +61,9 @@ class Index:
                 distinct[shingles.tobytes()] = shingles
                 self.items.append((item_id, len(words), shingles))
         held = Counter(s for shingles in distinct.values() for s in set(shingles.tolist()))
+        if shared is not None:
+            of_all = dict(zip(shared[0].view(np.uint64).tolist(), shared[1].tolist()))
+            held = {s: of_all.get(s, 1) for s in held}
         #: A shingle of several different items says less about each.
         self.weight = {s: 1 / (1 + math.log(n)) for s, n in held.items()}
         self.known = np.array(sorted(held), dtype=np.uint64)
@@ -206,8 +212,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     fingerprints miss are found by the item's rarest shingles, so none is lost. Of several windows
     the most similar counts, then the first.
 
+    A shingle held by n different items of the benchmark weighs 1 / (1 + ln n); items of the same words are one.
+
     The benchmark is split by a hash into blocks of about 4 MB. Each block is sent to the executors once and
-    meets all documents, which stay where they are, so neither side is ever moved as a whole.
+    meets all documents, which stay where they are, so neither side is ever moved as a whole. Weights are counted
+    over the whole benchmark, so the blocks change no result.
 
     NULL and wordless texts hold nothing, and items without words are held by none. An item of fewer than five
     words is one shingle, held where all its words stand. Repeated documents and items give a row for each pair.
@@ -215,27 +224,51 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     out = None
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
-    for items in _item_blocks(benchmark):
-        found = _with_block(docs, items)
+    for block in _item_blocks(benchmark):
+        found = _with_block(docs, block)
         out = found if out is None else out.union(found)
     return out
 
 
-def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
+#: Items, then the shingles among theirs that several items of the benchmark hold, and how many do.
+Block = tuple[list[tuple[int, str | None]], tuple[np.ndarray, np.ndarray]]
+
+
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's block, the digest of its words and its distinct shingles."""
+    for batch in batches:
+        shingles = [shingle_hashes(word_hashes(t)) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("block"),
+                pa.array([hashlib.md5(x.tobytes()).digest() for x in shingles], pa.binary()),
+                pa.array([np.unique(x).view(np.int64) for x in shingles], pa.list_(pa.int64())),
+            ],
+            names=["block", "words", "shingles"],
+        )
+
+
+def _item_blocks(benchmark: DataFrame) -> Iterator[Block]:
     """The benchmark in blocks of about ``BLOCK_BYTES``, one at a time; one block if it is empty."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + total // BLOCK_BYTES
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    rows = items.select("block", "text").mapInArrow(_item_shingles, "block bigint, words binary, shingles array<bigint>")
+    rows = rows.select("block", "words", F.explode("shingles").alias("shingle"))
+    counts = rows.select("words", "shingle").distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialized(rows.select("block", "shingle").distinct().join(counts, "shingle"), "shared-shingles")
     for block in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield [tuple(r) for r in mine.collect()]
+        mine = items.where(F.col("block") == block).select("item_id", "text").collect()
+        held = shared.where(F.col("block") == block).toPandas()
+        yield [tuple(r) for r in mine], (held["shingle"].to_numpy(np.int64), held["n"].to_numpy(np.int64))
 
 
-def _with_block(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+def _with_block(docs: DataFrame, block: Block) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(sent.value)
+        index = Index(*sent.value)
         for batch in batches:
             rows = []
             if index.items:
@@ -254,17 +287,17 @@ def _with_block(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFra
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns; texts are not moved."""
-    for items in _item_blocks(benchmark):
-        docs = docs.where(~_holds(docs, items)("text"))
+    for block in _item_blocks(benchmark):
+        docs = docs.where(~_holds(docs, block)("text"))
     return docs
 
 
-def _holds(docs: DataFrame, items: list[tuple[int, str | None]]):
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+def _holds(docs: DataFrame, block: Block):
+    sent = docs.sparkSession.sparkContext.broadcast(block)
 
     @F.pandas_udf(BooleanType())
     def holds(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(sent.value)
+        index = Index(*sent.value)
         for texts in series:
             yield pd.Series([bool(index.items and index.find(t)) for t in texts], dtype="bool")
 

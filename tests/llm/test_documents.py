@@ -252,6 +252,27 @@ def test_decontamination_finds_what_brute_force_does(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(120)) - {i for i, _ in want}
 
 
+def test_decontamination_does_not_depend_on_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    base = sentence(rng, 30).split()
+    items = [(k, " ".join([*base, *sentence(rng, 12, "v").split()])) for k in range(12)] + [(50, None)]
+    items += [(60, items[0][1].upper()), (61, items[0][1])]
+    rows = []
+    for i in range(40):
+        w = items[rng.randrange(12)][1].split()
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(42)] = f"e{i}"
+        rows.append((i, " ".join(w), "en", "s"))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    whole = sorted(decontamination.contaminated(table(spark, rows), bench).collect())
+    index = decontamination.Index(items)
+    assert whole == sorted((i, *x) for i, t, *_ in rows for x in index.find(t)) and whole
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 900)
+    assert sorted(decontamination.contaminated(table(spark, rows), bench).collect()) == whole
+    kept = {r.doc_id for r in decontamination.clean(table(spark, rows), bench).collect()}
+    assert kept == set(range(40)) - {r.doc_id for r in whole}
+
+
 def test_decontamination_of_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, "two words"), (2, None)], "item_id bigint, text string")
     got = decontamination.contaminated(table(spark, odd), bench).collect()
