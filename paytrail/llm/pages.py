@@ -1,12 +1,14 @@
 """Main text of web pages, with nearest-URL page differencing.
 
 Pages are sorted by host and URL path, so that each stands beside the pages most like it in address.
-A page's lines are aligned with its neighbours' by longest common subsequence; lines that a neighbour
-shares are the site's template, except inside an article element, which marks its content itself.
+A page's lines are aligned by longest common subsequence with those of the nearest page on either side that
+is neither a copy nor a near copy; lines that such a neighbour shares are the site's template, except
+inside an article element, which marks its content itself.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from bisect import bisect_left
@@ -14,10 +16,14 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paytrail.operators.numbering import number_rows
+from paytrail.session import materialized
+
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^'\">]|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
@@ -50,6 +56,12 @@ _COMMENTS = frozenset("comment comments disqus respond".split())
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search toolbar".split())
 
 ARTICLE, OPEN, BOILERPLATE = 2, 1, 0
+#: So many different pages on either side are looked at for one that is no near copy.
+REACH = 8
+#: A page that shares so much of the text beside the template is a near copy.
+NEAR_COPY = 0.75
+PAGES_IN_BLOCK = 256
+_OUTLINE = np.dtype([("hash", "<u8"), ("size", "<i4"), ("zone", "u1")])
 
 
 @dataclass
@@ -150,7 +162,7 @@ def lines_of(page: str | None) -> list[Line]:
     return out
 
 
-def common_lines(own: list[str], other: list[str]) -> set[int]:
+def common_lines(own: list, other: list) -> set[int]:
     """Places in ``own`` of a longest common subsequence of both lists (Hunt and Szymanski)."""
     start, end = 0, 0
     while start < min(len(own), len(other)) and own[start] == other[start]:
@@ -179,62 +191,117 @@ def common_lines(own: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def main_text(lines: list[Line], neighbours: list[list[Line]]) -> str:
+def main_text(lines: list[Line], shared: set[int]) -> str:
     """The lines that are a page's own.
 
     Lines shared with a neighbour go, unless they stand in an article; so does what is marked as boilerplate.
-    On a page with an article the rest around it goes too. A neighbour that shares all lines that could be
-    content is a copy and says nothing about the template.
+    On a page with an article the rest around it goes too.
     """
-    texts = [x.text for x in lines]
-    shared: set[int] = set()
-    for other in neighbours:
-        common = common_lines(texts, [x.text for x in other])
-        if any(x.zone != BOILERPLATE and i not in common for i, x in enumerate(lines)):
-            shared |= common
     own = [x for i, x in enumerate(lines) if x.zone == ARTICLE or (x.zone == OPEN and i not in shared)]
     if any(x.zone == ARTICLE for x in own):
         own = [x for x in own if x.zone == ARTICLE]
     return "\n".join(x.text for x in own)
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of sorted pages; each is parsed once and compared with the pages before and after it."""
-    before: tuple | None = None
-    current: tuple | None = None
+def template_lines(page: np.ndarray, before: list[np.ndarray], after: list[np.ndarray]) -> set[int]:
+    """Places of a page's lines that it shares with the nearest page on either side that is no near copy of its body.
 
-    def text(page: tuple, *around: tuple | None) -> tuple:
-        same = [x[3] for x in around if x is not None and x[2] is not None and x[2] == page[2]]
-        body = main_text(page[3], same)
-        return page[0], page[1], body, len(body)
+    ``before`` and ``after`` hold the pages on either side, nearest first. A page that shares all that could be
+    content is a copy. What the least similar page around shares is taken as the template; a page that shares
+    ``NEAR_COPY`` of the remaining characters besides is a near copy of the body and says nothing about the template.
+    """
+    content = [i for i, zone in enumerate(page["zone"].tolist()) if zone != BOILERPLATE]
+    lines, sizes = page["hash"].tolist(), page["size"].tolist()
+
+    def held(other: np.ndarray) -> set[int]:
+        theirs = set(other["hash"].tolist())
+        return {i for i in content if lines[i] in theirs}
+
+    sides = [[(x, held(x)) for x in side] for side in (before, after)]
+    sides = [[(x, common) for x, common in side if len(common) < len(content)] for side in sides]
+    around = [common for side in sides for _, common in side]
+    if not around:
+        return set()
+    least = min(around, key=lambda common: sum(sizes[i] for i in common))
+    rest = [i for i in content if i not in least]
+    size = sum(sizes[i] for i in rest)
+    out: set[int] = set()
+    for side in sides:
+        for other, common in side:
+            if common is least or sum(sizes[i] for i in rest if i in common) < NEAR_COPY * size:
+                out |= common_lines(lines, other["hash"].tolist())
+                break
+    return out
+
+
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of pages as hashes, sizes and zones."""
+    for batch in batches:
+        packed = []
+        for html in batch.column("html").to_pylist():
+            lines = lines_of(html)
+            outline = np.empty(len(lines), dtype=_OUTLINE)
+            for i, x in enumerate(lines):
+                digest = hashlib.blake2b(x.text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                outline[i] = int.from_bytes(digest), len(x.text), x.zone
+            packed.append(outline.tobytes())
+        columns = [batch.column("host"), batch.column("path"), batch.column("page")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=["host", "path", "page", "outline"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The template lines of the pages of each block, whose rows come in order of their place."""
+    last: list[tuple] = []
+    block = None
+
+    def templates() -> list[tuple[str, list[int]]]:
+        pages = [(host, page, own, np.frombuffer(outline, dtype=_OUTLINE)) for host, page, own, outline in last]
+        out = []
+        for n, (host, page, own, outline) in enumerate(pages):
+            if own and not (outline["zone"] == ARTICLE).any():
+                before = [x[3] for x in reversed(pages[max(0, n - REACH) : n]) if x[0] == host]
+                after = [x[3] for x in pages[n + 1 : n + 1 + REACH] if x[0] == host]
+                shared = template_lines(outline, before, after)
+                if shared:
+                    out.append((page, sorted(shared)))
+        return out
 
     def record(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=["page_id", "url", "text", "n_chars"]
-        )
+        pages, shared = list(zip(*rows)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(pages, pa.string()), pa.array(shared, pa.list_(pa.int32()))], names=["page", "shared"])
+
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("block", "host", "page", "own", "outline"))):
+            if row[0] != block:
+                yield record(templates())
+                block, last = row[0], []
+            last.append(row[1:])
+    yield record(templates())
 
+
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for i, url, host, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "html"))):
-            after = (i, url, host, lines_of(html))
-            if current is not None:
-                rows.append(text(current, before, after))
-            before, current = current, after
-        if rows:
-            yield record(rows)
-    if current is not None:
-        yield record([text(current, before)])
+        texts = [
+            main_text(lines_of(html), set(shared or ()))
+            for html, shared in zip(batch.column("html").to_pylist(), batch.column("shared").to_pylist())
+        ]
+        columns = [batch.column("page_id"), batch.column("url")]
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            names=["page_id", "url", "text", "n_chars"],
+        )
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: ``page_id``, ``url``, ``text``, ``n_chars``.
 
-    Pages are range-sorted by host, path and id, so a host with any number of pages spreads over tasks, and
-    each task holds three parsed pages. At the ends of a task's range a page has one neighbour.
+    A host's pages of different content are numbered by path. Each is compared by its lines' hashes with the ``REACH``
+    pages on either side, in blocks of the numbering that overlap by as much; so neither the number of a host's
+    pages nor the partitions matter. Template lines are then joined to the pages, which are moved only for that.
 
-    NULL or empty html gives the empty text. Pages without a URL or host have no neighbours. Repeated
-    rows and URLs are each other's neighbours; copies do not delete each other. Cut-off markup ends where the
+    NULL or empty html gives the empty text. Pages without a URL or host have no neighbours. Copies within a host
+    are one page, have one text and do not delete each other; near copies do not delete each other's
+    body unless all pages around are near copies. Cut-off markup ends where the
     page ends. Other columns are ignored. An empty table gives no rows.
     """
     address = "(?i)^[a-z][a-z0-9+.-]*://([^/?#]+)([^?#]*)"
@@ -243,5 +310,16 @@ def extract_pages(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("bigint").alias("page_id"), "url", "html",
         F.when(host != "", host).alias("host"), F.regexp_extract("url", address, 2).alias("path"),
     )
-    rows = rows.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
-    return rows.drop("path").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    rows = rows.withColumn("page", F.md5(F.concat_ws("\n", "host", "html").cast("binary")))
+    outlines = rows.where("host IS NOT NULL AND html != ''").select("host", "path", "page", "html")
+    outlines = outlines.mapInArrow(_outlines, "host string, path string, page string, outline binary")
+    outlines = outlines.groupBy("host", "page", "outline").agg(F.min("path").alias("path"))
+    placed = number_rows(outlines, [F.col("host"), F.col("path"), F.col("page")], "place")
+    block = F.floor(F.col("place") / PAGES_IN_BLOCK)
+    blocks = F.array_distinct(F.array(block, *(F.floor((F.col("place") + k) / PAGES_IN_BLOCK) for k in (-REACH, REACH))))
+    dealt = placed.select(F.explode(blocks).alias("block"), block.alias("home"), "place", "host", "page", "outline")
+    dealt = dealt.select("block", "place", "host", "page", (F.col("block") == F.col("home")).alias("own"), "outline")
+    dealt = dealt.repartition("block").sortWithinPartitions("block", "place").drop("place")
+    shared = materialized(dealt.mapInArrow(_compare, "page string, shared array<int>"), "template-lines")
+    joined = rows.select("page_id", "url", "html", "page").join(shared, "page", "left")
+    return joined.select("page_id", "url", "html", "shared").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")

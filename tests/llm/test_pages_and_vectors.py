@@ -63,6 +63,36 @@ def test_copies_do_not_delete_each_other(spark):
     assert {r.text for r in got.values()} == {"head\ntext"}
 
 
+def _site_page(*lines):
+    return "<body>" + "".join(f"<div>{x}</div>" for x in ("Site name", "Home About", *lines, "All rights reserved")) + "</body>"
+
+
+def test_copies_and_near_copies_lose_the_template_and_keep_their_body(spark):
+    body = [f"sentence {k} of the long article that stands on several pages" for k in range(9)]
+    rows = [(k, "http://h/a", _site_page("copied title", "copied words")) for k in range(4)]
+    rows += [(10 + k, f"http://h/b{k}", _site_page(f"edited {k}", *body)) for k in range(3)]
+    rows += [(20 + k, f"http://h/c{k}", _site_page(f"title {k}", f"words of page {k}")) for k in range(6)]
+    got = extract(spark, rows)
+    assert {got[k].text for k in range(4)} == {"copied title\ncopied words"}
+    assert all(got[10 + k].text == "\n".join([f"edited {k}", *body]) for k in range(3))
+    assert all(got[20 + k].text == f"title {k}\nwords of page {k}" for k in range(6))
+
+
+def test_the_template_goes_at_every_border_of_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pages, "PAGES_IN_BLOCK", 8)
+    rows = [(k, f"http://h{k % 20:02d}/{k:03d}", _site_page(f"title {k}", f"words of page {k}")) for k in range(40)]
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = extract(spark, rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert all(got[k].text == f"title {k}\nwords of page {k}" for k in range(40))
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "no url", ""), (3, "http://", "plain & simple"), (None, "http://h/", "<p>x"), (4, None, "<p>" + "long " * 50000)]
     got = extract(spark, rows)
