@@ -37,7 +37,8 @@ _INLINE = frozenset(
     "samp small source span strike strong sub sup time tt u var wbr".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe svg canvas object math head".split())
+_RAW = frozenset("script style textarea title iframe".split())  # hold no markup, so only their end tag ends them
+_HIDDEN = frozenset("noscript template svg canvas object math".split())  # skipped if they are closed
 _BOILERPLATE = frozenset("nav footer aside form button select dialog menu".split())
 _CLOSES_ITSELF = {
     "p": {"p"}, "li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "tr": {"p", "td", "th", "tr"},
@@ -94,7 +95,20 @@ def _zone(tag: str, attributes: str, outer: int) -> int:
         return BOILERPLATE if outer == BOILERPLATE and tag != "main" or _hinted(attributes, _COMMENTS) else ARTICLE
     if outer == BOILERPLATE or tag in _BOILERPLATE or (tag == "header" and outer != ARTICLE):
         return BOILERPLATE
-    return BOILERPLATE if tag not in ("html", "body") and _hinted(attributes, _HINTS) else outer
+    return BOILERPLATE if tag not in ("html", "head", "body") and _hinted(attributes, _HINTS) else outer
+
+
+def _ends(page: str, tag: str) -> dict[int, int]:
+    """Where each element of a name ends, by where it begins; those that are never closed are left out."""
+    markup = rf"<!--.*?-->|<(script|style)\b.*?</\1\b|<(/?){tag}\b((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>"
+    ends, begun = {}, []
+    for m in re.finditer(markup, page, re.I | re.S):
+        if m[2] == "/":
+            if begun:
+                ends[begun.pop()] = m.end()
+        elif m[2] is not None and not m[3].rstrip().endswith("/"):
+            begun.append(m.start())
+    return ends
 
 
 def lines_of(page: str | None) -> list[Line]:
@@ -104,6 +118,7 @@ def lines_of(page: str | None) -> list[Line]:
     buffer: list[str] = []
     page = page or ""
     zone, at = OPEN, 0
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
@@ -138,6 +153,11 @@ def lines_of(page: str | None) -> list[Line]:
                 stack.append((tag, BOILERPLATE))
                 zone = BOILERPLATE
             continue
+        if tag in _HIDDEN:
+            if tag not in ends and not m[1]:
+                ends[tag] = _ends(page, tag)
+            at = ends.get(tag, {}).get(m.start(), at)
+            continue
         if tag in _RAW:  # what it holds is no text, and it ends no block
             if not m[1] and not m[3].rstrip().endswith("/"):
                 end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)

@@ -39,6 +39,21 @@ def test_article_lines(html, want):
     assert own_lines(html) == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<html><head><title>t</title><meta charset=utf-8><body><article><p>x</p></article>", ["x"]),
+        ("<head><title>t</title><style>p{}</style><article><p>x</p></article>", ["x"]),
+        ("<head><script>a</script></head><body><article><p>x</p></article></body>", ["x"]),
+        ("<article><p>a<svg><path d=''></p><p>b<svg><text>no</text></svg>c</p></article>", ["a", "bc"]),
+        ("<article><canvas id=c><p>a</p><object data=o><p>b</p><template><p>c</p></article>", ["a", "b", "c"]),
+        ("<article><p>a</p><noscript><p>no</p></noscript><template><template>no</template>no</template><p>b</p></article>", ["a", "b"]),
+    ],
+)
+def test_elements_without_their_end_tag(html, want):
+    assert own_lines(html) == want
+
+
 def test_shared_lines_go_where_no_article_is_marked(spark):
     def page(*lines):
         return "<body>" + "".join(f"<div>{x}</div>" for x in ("Site name", "Home About", *lines, "All rights reserved")) + "</body>"
