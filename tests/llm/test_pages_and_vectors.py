@@ -162,6 +162,25 @@ def test_embeddings_match_brute_force(spark):
     assert all(got[i].kept == (comp[i] == i) for i in got)
 
 
+@pytest.mark.parametrize("dimension", [5, 64, 300])
+def test_codes_together_miss_no_pair_at_the_threshold(dimension):
+    rng = np.random.default_rng(4)
+    missed = np.zeros(embeddings.CODES)
+    together = []
+    for _ in range(250):
+        x, y = rng.standard_normal((2, dimension))
+        x /= np.linalg.norm(x)
+        y -= x * (x @ y)
+        y = 0.98 * x + math.sqrt(1 - 0.98**2) * y / np.linalg.norm(y)
+        shared = np.intersect1d(embeddings.decode(x), embeddings.decode(y)) // embeddings.WORDS**2
+        free = ~np.isin(np.arange(embeddings.CODES), shared)
+        missed += free
+        together.append(free[::12][:4].all())
+    share = missed / 250
+    assert np.exp(np.log(np.maximum(share, 1 / 250)).sum()) < 1e-7
+    assert np.mean(together) < share.mean() ** 4 + 0.1  # codes of one rotation are independent too
+
+
 def test_odd_vectors(spark):
     one = [1.0, 2.0]
     rows = [
