@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     About ``SAMPLE_ROWS`` labelled rows are drawn by a hash of their ids. On two thirds of them a token's
     share of toxic lines is estimated under a Dirichlet prior centred on the shares of its beginnings. The
-    other third gives the extreme-value law and the curve.
+    other third gives the extreme-value law and the curve, or all of them if the third lacks a kind.
     Without labelled rows of both kinds every text scores the same, below 0.5.
     """
     known = labels.where("toxic IN (0, 1)").groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("toxic"))
@@ -179,6 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     model = Model({t: gain(p) for t, p in tokens.items()}, {t: gain(p) for t, p in stems.items()})
     rows = _features(drawn.where("calibrates"), model)
+    if rows["toxic"].nunique() < 2:  # few labels of a kind, all among the counting rows
+        rows = _features(drawn, model)
     _calibrate(model, rows)
     return model
 

@@ -378,6 +378,17 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert toxicity.score_toxicity(table(spark, []), one).count() == 0
 
 
+def test_toxicity_with_few_toxic_labels(spark):
+    """All toxic labels among the counting rows: the calibrating third holds one kind."""
+    rng = random.Random(13)
+    ids = spark.range(400).select("id", (F.pmod(F.xxhash64("id", F.lit(55)), F.lit(3)) == 0).alias("calibrates")).collect()
+    toxic = [r.id for r in ids if not r.calibrates][:12]
+    rows = [(r.id, sentence(rng, 30) + (" vilword foulword badword" * 4 if r.id in toxic else ""), "en", "s") for r in ids]
+    labels = spark.createDataFrame([(r.id, 1, int(r.id in toxic)) for r in ids], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(table(spark, rows), labels)
+    assert all((model.score(t) >= 0.5) == (i in toxic) for i, t, *_ in rows)
+
+
 def test_codewords_stay_apart():
     for n in (2, 3, 4, 7, 12, 40):
         code = language.codewords(n)
