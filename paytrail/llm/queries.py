@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.llm import (
+    centroids,
     decontamination,
     embeddings,
     language,
@@ -13,6 +14,7 @@ from paytrail.llm import (
     mixing,
     neardup,
     pages,
+    runs,
     sharding,
     tokens,
     toxicity,
@@ -66,6 +68,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digest(runs.periodic_runs(runs.repeat_tails(_table(spark, sf_dir, "documents"))))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -77,6 +87,8 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
+    "op11_runs": op11_runs,
+    "op12_centroids": op12_centroids,
 }
 
 ORACLE = {
@@ -84,4 +96,5 @@ ORACLE = {
     "op8_minhash": neardup.ORACLE_SQL,
     "op9_line_dedup": linededup.ORACLE_SQL,
     "op10_sharding": sharding.ORACLE_SQL,
+    "op12_centroids": centroids.oracle_sql(),
 }
