@@ -13,6 +13,7 @@ from paytrail.llm import (
     linededup,
     mixing,
     neardup,
+    ngrams,
     pages,
     runs,
     sharding,
@@ -76,6 +77,10 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -89,6 +94,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_runs": op11_runs,
     "op12_centroids": op12_centroids,
+    "op13_ngrams": op13_ngrams,
 }
 
 ORACLE = {
