@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytrail.operators.joins import skew_join
 from paytrail.operators.numbering import collapse_copies, expand_copies
 
 START, END, CURRENT = "effective_start_date", "effective_end_date", "is_current"
@@ -71,69 +70,94 @@ def reject_duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(df.where(~_keyed(keys)))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+def _together(keys: list[str], gather: list[str] | None) -> list[str]:
+    return list(dict.fromkeys([*(gather or []), *keys]))
+
+
+def _beside_update(target: DataFrame, batch: DataFrame, keys: list[str], gather: list[str] | None = None) -> DataFrame:
+    """Target rows (``_old``) and batch rows (``_new``) as structs in one frame, shuffled once by key.
+
+    Every row knows of its key the batch row (``_update``) and the number of target rows (``_olds``).
+    Rows without a whole key know of none and stay spread by input partition. Two batch rows with one key
+    are an error. A key's rows meet in one window, which spills; a keyed table holds few per key. With
+    ``gather``, columns that the key determines, rows move by these alone.
+    """
+    known = _keyed(keys)
+    apart = F.when(known, F.lit(0)).otherwise(F.spark_partition_id() + 1).alias("_apart")
+    by = _together(keys, gather)
+    old = target.select(*by, apart, F.struct(*target.columns).alias("_old"))
+    new = batch.select(*by, apart, F.struct(*batch.columns).alias("_new"))
+    both = old.unionByName(new, allowMissingColumns=True)
+    if gather:
+        both = both.repartition(*gather)
+    same_key = Window.partitionBy(*by, "_apart")
+    message = f"several source rows share one key ({', '.join(keys)})"
+    single = F.when(~known | (F.col("_news") <= 1), F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+    return both.withColumns(
+        {
+            "_update": F.when(known, F.first("_new", ignorenulls=True).over(same_key)),
+            "_olds": F.when(known, F.count("_old").over(same_key)).otherwise(0),
+            "_news": F.count("_new").over(same_key),
+        }
+    ).where(single)
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], gather: list[str] | None = None) -> DataFrame:
     """Keyed merge: matched target rows take the source's values, other source rows are added.
 
-    NULL keys match nothing. Two source rows with one key are an error.
+    Both tables are appended, shuffled once by key and settled row by row, each read once. Source columns
+    are cast to the target's types. NULL keys match nothing. Two source rows with one key are an error.
     """
-    checked = reject_duplicate_keys(source.select(*target.columns), keys)
-    values = [c for c in target.columns if c not in keys]
-    update = checked.select(*keys, F.struct(*(values or keys)).alias("_update"))
-    merged = skew_join(target, update, keys, "left", limit=limit)
-    matched = F.col("_update").isNotNull()
-    updated = merged.select(
-        *[
-            F.when(matched, F.col(f"_update.{c}")).otherwise(F.col(c)).alias(c)
-            if c in values
-            else F.col(c)
-            for c in target.columns
-        ]
-    )
-    inserted = checked.join(target.select(*keys).distinct(), keys, "left_anti")
-    return updated.unionByName(inserted.select(*target.columns))
+    types = dict(target.dtypes)
+    typed = source.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
+    both = _beside_update(target, typed, keys, gather)
+    is_old = F.col("_old").isNotNull()
+    kept = both.where(is_old | (F.col("_olds") == 0))
+    row = F.when(~is_old, F.col("_new")).otherwise(F.coalesce("_update", "_old"))
+    return kept.select(row.alias("_row")).select("_row.*")
 
 
 def _differs(tracked: list[str], null_safe: bool) -> Column:
     """Whether a tracked column changed; NULL-unsafe mode sees no change from or to NULL."""
 
     def one(c: str) -> Column:
-        old, new = F.col(c), F.col(f"_new.{c}")
+        old, new = F.col(f"_old.{c}"), F.col(f"_update.{c}")
         return ~old.eqNullSafe(new) if null_safe else F.coalesce(old != new, F.lit(False))
 
     return reduce(lambda a, b: a | b, [one(c) for c in tracked])
 
 
-def scd2_status(
+def _settled(
     target: DataFrame,
     updates: DataFrame,
     key: str,
     tracked: list[str],
     current: str = CURRENT,
     null_safe: bool = True,
-    starts: str | None = None,
-    limit: int | None = None,
+    gather: list[str] | None = None,
+) -> DataFrame:
+    """Open target rows beside their updates; ``_changed`` tells whether any open row of the key differs."""
+    both = _beside_update(target.where(_is_open(current)), updates, [key], gather)
+    hit = F.col("_old").isNotNull() & F.col("_update").isNotNull() & _differs(tracked, null_safe)
+    return both.withColumn("_changed", F.bool_or(hit).over(Window.partitionBy(*_together([key], gather), "_apart")))
+
+
+def _is_open(current: str) -> Column:
+    return F.coalesce(F.col(current).cast("boolean"), F.lit(False))
+
+
+def scd2_changed_keys(
+    target: DataFrame, updates: DataFrame, key: str, tracked: list[str], current: str = CURRENT, null_safe: bool = True
 ) -> DataFrame:
-    """For each key with a current row: whether an update changes it, and its start if asked."""
-    carried = dict.fromkeys([*tracked, starts] if starts else tracked)
-    new = updates.select(key, F.struct(*carried).alias("_new"))
-    alive = current_dimension(target, current).where(F.col(key).isNotNull()).select(key, *tracked)
-    compared = skew_join(alive, new, [key], "left", limit=limit)
-    changed = F.col("_new").isNotNull() & _differs(tracked, null_safe)
-    facts = [F.bool_or(changed).alias("_changed")]
-    if starts:
-        facts.append(F.max(f"_new.{starts}").alias("_starts"))
-    return compared.groupBy(key).agg(*facts)
-
-
-def scd2_changed_keys(target: DataFrame, updates: DataFrame, key: str, tracked: list[str], **options) -> DataFrame:
     """Keys whose current row differs from its update."""
-    return scd2_status(target, updates, key, tracked, **options).where("_changed").select(key)
+    both = _settled(target, updates, key, tracked, current, null_safe)
+    return both.where(F.col("_new").isNotNull() & F.col(key).isNotNull() & F.col("_changed")).select(key)
 
 
 def scd2_new_keys(target: DataFrame, updates: DataFrame, key: str, current: str = CURRENT) -> DataFrame:
     """Updates whose key has no current row, be it unknown or closed."""
-    alive = current_dimension(target, current).select(key).distinct()
-    return updates.where(F.col(key).isNotNull()).join(alive, key, "left_anti")
+    both = _beside_update(target.where(_is_open(current)).select(key), updates, [key])
+    return both.where(F.col("_new").isNotNull() & F.col(key).isNotNull() & (F.col("_olds") == 0)).select("_new.*")
 
 
 def scd2_seed(updates: DataFrame, end: str = END, current: str = CURRENT) -> DataFrame:
@@ -151,43 +175,35 @@ def scd2_merge(
     close_date: Column | None = None,
     close_before: str | None = None,
     null_safe: bool = True,
-    limit: int | None = None,
+    gather: list[str] | None = None,
 ) -> DataFrame:
     """The whole new state of a Type-2 dimension after one batch of updates.
 
     A changed key's current row is closed on ``close_date`` (today by default; with
     ``close_before``, the day before that start column of the update) and its update
     opens a new version; keys without a current row are added; everything
-    else stays, and closed rows pass through without a shuffle. ``updates`` holds one
-    row per key.
+    else stays. ``updates`` holds one row per key; those without a key are left out.
+
+    Open rows and updates are appended and shuffled once by key; each row then tells by itself whether it
+    stays, closes, opens or goes. Closed rows pass by without a shuffle.
     """
     if target is None:
         return scd2_seed(reject_duplicate_keys(updates, [key]), end, current)
 
+    both = _settled(target, updates.where(F.col(key).isNotNull()), key, tracked, current, null_safe, gather)
     if close_before:
-        close_date = F.date_sub(F.col("_starts").cast("date"), 1)
+        close_date = F.date_sub(F.col(f"_update.{close_before}").cast("date"), 1)
     elif close_date is None:
         close_date = F.current_date()
-    checked = reject_duplicate_keys(updates.where(F.col(key).isNotNull()), [key])
-    status = scd2_status(
-        target, checked, key, tracked, current, null_safe, close_before, limit
-    )
-
-    is_open = F.coalesce(F.col(current), F.lit(False))
-    untouched = target.where(~is_open)
-    alive = skew_join(target.where(is_open), status, [key], "left", limit=limit)
-    closing = F.coalesce(F.col("_changed"), F.lit(False))
-    settled = alive.withColumns(
-        {
-            end: F.when(closing, close_date).otherwise(F.col(end)).cast("date"),
-            current: ~closing,
-        }
-    ).select(*target.columns)
-
-    arriving = checked.join(status, key, "left").where(
-        F.col("_changed").isNull() | F.col("_changed")
-    )
-    opened = scd2_seed(arriving.select(*updates.columns), end, current)
-    return untouched.unionByName(settled).unionByName(
-        opened.select(*target.columns), allowMissingColumns=False
-    )
+    is_old, changed = F.col("_old").isNotNull(), F.col("_changed")
+    kept = both.where(is_old | (F.col("_olds") == 0) | changed)
+
+    def value(c: str) -> Column:
+        if c == current:
+            return (~is_old | ~changed).alias(c)
+        if c == end:
+            return F.when(is_old, F.when(changed, close_date).otherwise(F.col(f"_old.{c}"))).cast("date").alias(c)
+        return F.when(is_old, F.col(f"_old.{c}")).otherwise(F.col(f"_new.{c}")).alias(c)
+
+    untouched = target.where(~_is_open(current))
+    return untouched.unionByName(kept.select(*[value(c) for c in target.columns]))

@@ -189,12 +189,22 @@ _PIECES = {
         FULL JOIN (SELECT agent_id, pay_period, net_payment_amount, payment_status FROM pay)
              USING (agent_id, pay_period)""",
     "custdim": """
-        SELECT c_custkey, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer""",
+        SELECT c_custkey, CASE WHEN c_custkey % 13 <> 5 THEN c_mktsegment END AS c_mktsegment,
+               CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, DATE '1995-01-01' AS s,
+               CASE WHEN c_custkey % 17 = 3 THEN DATE '1996-06-30' END AS e, c_custkey % 17 <> 3 AS c
+        FROM customer""",
     "custupd": """
-        SELECT c_custkey, c_mktsegment || CASE WHEN c_custkey % 10 = 0 THEN '-NEW' ELSE '' END AS c_mktsegment,
-               c_acctbal FROM custdim WHERE c_custkey % 10 <= 1
+        SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN c_mktsegment || '-NEW'
+                               WHEN c_custkey % 30 <> 1 THEN c_mktsegment END AS c_mktsegment,
+               CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer WHERE c_custkey % 10 <= 1
         UNION ALL
-        SELECT c_custkey + 10000000, c_mktsegment, c_acctbal FROM custdim WHERE c_custkey % 50 = 0""",
+        SELECT c_custkey + 10000000, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2))
+        FROM customer WHERE c_custkey % 50 = 0""",
+    "custchanged": """
+        SELECT u.c_custkey FROM custupd AS u JOIN custdim AS d ON u.c_custkey = d.c_custkey AND d.c
+        WHERE u.c_mktsegment IS DISTINCT FROM d.c_mktsegment OR u.c_acctbal IS DISTINCT FROM d.c_acctbal""",
+    "custnew": """
+        SELECT u.* FROM custupd AS u WHERE c_custkey NOT IN (SELECT c_custkey FROM custdim WHERE c)""",
 }
 
 
@@ -276,11 +286,14 @@ _SCD2_TYPED = (
 )
 _SCD2 = f"""
     SELECT {_SCD2_TYPED} FROM (
-        SELECT d.*, DATE '1995-01-01' AS s,
-               CASE WHEN d.c_custkey % 10 = 0 THEN DATE '1998-12-31' END AS e, d.c_custkey % 10 <> 0 AS c
-        FROM custdim AS d
+        SELECT d.c_custkey, c_mktsegment, c_acctbal, s,
+               CASE WHEN c AND n.c_custkey IS NOT NULL THEN DATE '1998-12-31' ELSE e END AS e,
+               c AND n.c_custkey IS NULL AS c
+        FROM custdim AS d LEFT JOIN custchanged AS n ON n.c_custkey = d.c_custkey
+        UNION ALL
+        SELECT u.*, DATE '1999-01-01', NULL, true FROM custupd AS u JOIN custchanged USING (c_custkey)
         UNION ALL
-        SELECT *, DATE '1999-01-01', NULL, true FROM custupd WHERE c_custkey % 10 = 0)"""
+        SELECT *, DATE '1999-01-01', NULL, true FROM custnew)"""
 
 
 def _check(table: str, name: str, frame: str, failing: str) -> str:
@@ -434,10 +447,8 @@ _BODIES = {
         UNION ALL
         SELECT o_orderkey + 1000000000, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)
         FROM orders WHERE o_orderkey % 100 = 1""",
-    "scd2_changed_keys": "SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0",
-    "scd2_new_keys": """
-        SELECT c_custkey, c_mktsegment FROM custupd
-        WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""",
+    "scd2_changed_keys": "SELECT c_custkey FROM custchanged",
+    "scd2_new_keys": "SELECT c_custkey, c_mktsegment FROM custnew",
     "scd2_seed": f"""
         SELECT {_SCD2_TYPED} FROM (
             SELECT *, DATE '1999-01-01' AS s, CAST(NULL AS DATE) AS e, true AS c FROM custupd)""",
@@ -550,6 +561,7 @@ _BODIES = {
         FROM customer""",
     "ingest_lineage": """
         SELECT strftime(l_shipdate, '%Y-%m') AS folder, count(*) AS lines FROM lineitem GROUP BY 1""",
+    "scd2_merged_table": f"SELECT * FROM ({_SCD2}) WHERE effective_end_date IS DISTINCT FROM '1996-06-30'",
     "merged_table": """
         SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
         FROM orders

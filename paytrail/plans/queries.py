@@ -250,10 +250,10 @@ def scd2_merge(spark, sf_dir):
 
 @query
 def scd2_merge_unbroadcast(spark, sf_dir):
-    """The merge on the path for large sides, closing rows the day before the new start."""
+    """The merge closing rows the day before the new start."""
     target, updates = w.customer_dimension(spark, sf_dir), w.customer_updates(spark, sf_dir)
     return history.scd2_merge(
-        target, updates, "c_custkey", _TRACKED, close_before="effective_start_date", limit=-1
+        target, updates, "c_custkey", _TRACKED, close_before="effective_start_date"
     )
 
 
@@ -609,7 +609,7 @@ def ingest_lineage(spark, sf_dir):
 
 @query
 def merged_table(spark, sf_dir):
-    """Two stored batches of keyed upserts, read back from the newest table state."""
+    """Two stored batches of keyed upserts, the second rewriting the buckets of its keys."""
     path = scratch_path(spark, "merged")
     orders = w.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     changed = orders.where(F.col("o_orderkey") % 7 == 0).withColumn("o_orderstatus", F.lit("X"))
@@ -619,3 +619,15 @@ def merged_table(spark, sf_dir):
     for batch in (orders, changed.unionByName(added)):
         tables.upsert_table(spark, batch, path, ["o_orderkey"])
     return tables.read_merged(spark, path)
+
+
+@query
+def scd2_merged_table(spark, sf_dir):
+    """A stored Type-2 dimension after a full load, a batch for a few keys and a repeat of that batch."""
+    path = scratch_path(spark, "dimension")
+    customers = w.customer_dimension(spark, sf_dir).where("is_current")
+    first = customers.drop("effective_end_date", "is_current")
+    closed_on = F.to_date(F.lit("1998-12-31"))
+    for batch in (first, w.customer_updates(spark, sf_dir), w.customer_updates(spark, sf_dir)):
+        tables.scd2_merge_table(spark, batch, path, "c_custkey", _TRACKED, buckets=16, close_date=closed_on)
+    return tables.read_merged(spark, path)

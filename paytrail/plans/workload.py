@@ -225,19 +225,21 @@ def raw_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as a Type-2 dimension with one open version each."""
+    """Customers as a Type-2 dimension: one version each, some closed for good, some without a segment."""
+    key = F.col("c_custkey")
+    closed = key % 17 == 3
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
-        "c_mktsegment",
+        F.when(key % 13 != 5, F.col("c_mktsegment")).alias("c_mktsegment"),
         F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"),
         _date("1995-01-01").alias("effective_start_date"),
-        F.lit(None).cast("date").alias("effective_end_date"),
-        F.lit(True).alias("is_current"),
+        F.when(closed, _date("1996-06-30")).alias("effective_end_date"),
+        (~closed).alias("is_current"),
     )
 
 
 def customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch with changed, unchanged and new customers."""
+    """A batch with changed, unchanged and new customers; some lose their segment."""
     rows = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     balance = F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal")
@@ -245,7 +247,7 @@ def customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = rows.where(key % 10 <= 1).select(
         "c_custkey",
         F.when(key % 10 == 0, F.concat("c_mktsegment", F.lit("-NEW")))
-        .otherwise(F.col("c_mktsegment"))
+        .when(key % 30 != 1, F.col("c_mktsegment"))
         .alias("c_mktsegment"),
         balance,
         on,

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paytrail.operators.history import reject_duplicate_keys, scd2_merge, upsert
+from paytrail.session import materialized
 
-VERSION = "version="
+#: The folder column of a merge-maintained table, and how many folders it has unless the caller says.
+BUCKET = "_bucket"
+BUCKETS = 64
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -56,51 +61,68 @@ def write_quarantine(df: DataFrame, layer_dir: str, name: str, fmt: str = "parqu
     write_table(df, f"{layer_dir}/_quarantine/{name}", fmt=fmt)
 
 
-def _complete_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions whose write finished, as Spark's own success marker tells."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    pattern = hadoop(f"{path}/{VERSION}*/_SUCCESS")
-    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    folders = [f.getPath().getParent().getName() for f in files or []]
-    return sorted(int(name.removeprefix(VERSION)) for name in folders)
-
-
 def read_merged(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete state of a merge-maintained table, or None."""
-    versions = _complete_versions(spark, path)
-    return read_table(spark, f"{path}/{VERSION}{versions[-1]:08d}") if versions else None
+    """The rows of a merge-maintained table, or None if there is none yet."""
+    return read_table(spark, path).drop(BUCKET) if table_exists(spark, path) else None
 
 
-def _replace_state(
-    spark: SparkSession, path: str, next_state: Callable[[DataFrame | None], DataFrame]
-) -> None:
-    """Write the next state beside the one it is computed from.
+def _merge(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], buckets: int, merged: Callable) -> None:
+    """Rewrite the buckets that a batch touches, and no others.
 
-    Readers see it only once the write is complete; a failed write changes nothing.
+    The bucket of a row follows from its key and names the folder it lies in, as ``5of64``. The batch is stored first, which
+    fixes its buckets; only their folders are read, merged and overwritten, each by one task. Spark moves the new
+    files into place once all are written, so a failed merge leaves the table as it was, and a merge that
+    ends while files move can be run again with the same batch.
     """
-    versions = _complete_versions(spark, path)
-    following = versions[-1] + 1 if versions else 1
-    state = next_state(read_merged(spark, path))
-    write_table(state, f"{path}/{VERSION}{following:08d}")
-    if following not in _complete_versions(spark, path):
-        raise RuntimeError(f"version {following} of {path} has no success marker")
-
+    target = read_table(spark, path) if table_exists(spark, path) else None
+    if target is not None:  # keys of another type would fall into other buckets
+        types = dict(target.dtypes)
+        batch = batch.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in batch.columns])
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    place = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    # Rows without a whole key match nothing: they are dealt out evenly.
+    dealt = F.when(known, place).otherwise(F.pmod(F.spark_partition_id(), F.lit(buckets)))
+    of = f"of{buckets}"
+    batch = materialized(batch.withColumn(BUCKET, F.concat(dealt.cast("string"), F.lit(of))), "batch")
+    if target is None:
+        write_table(merged(None, batch), path, partition_by=[BUCKET])
+        return
+    if not target.where(~F.endswith(BUCKET, F.lit(of))).isEmpty():  # decided by the folders alone
+        raise ValueError(f"{path} is not stored in {buckets} buckets")
+    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # no more than buckets
+    if touched:
+        state = merged(target.where(F.col(BUCKET).isin(touched)), batch)
+        state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+
+
+def upsert_table(
+    spark: SparkSession, source: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS
+) -> None:
+    """Merge rows into a table by key, rewriting only the buckets they fall into; the first batch creates it.
 
-def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[str]) -> None:
-    """Merge rows into a table by key; the first batch creates it."""
+    ``buckets`` is fixed for a table: take as many as make a bucket fit a task.
+    """
 
-    def merged(target: DataFrame | None) -> DataFrame:
+    def merged(target: DataFrame | None, batch: DataFrame) -> DataFrame:
         if target is None:
-            return reject_duplicate_keys(source, keys)
-        return upsert(target, source, keys)
+            return reject_duplicate_keys(batch, keys)
+        return upsert(target, batch, keys, gather=[BUCKET])
 
-    _replace_state(spark, path, merged)
+    _merge(spark, path, source, keys, buckets, merged)
 
 
 def scd2_merge_table(
-    spark: SparkSession, updates: DataFrame, path: str, key: str, tracked: list[str], **options
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    key: str,
+    tracked: list[str],
+    buckets: int = BUCKETS,
+    **options,
 ) -> None:
-    """Merge one batch of updates into a Type-2 dimension; the first batch seeds it."""
-    _replace_state(
-        spark, path, lambda target: scd2_merge(target, updates, key, tracked, **options)
-    )
+    """Merge one batch of updates into a Type-2 dimension, rewriting only the buckets of its keys."""
+
+    def merged(target: DataFrame | None, batch: DataFrame) -> DataFrame:
+        return scd2_merge(target, batch, key, tracked, gather=[BUCKET], **options)
+
+    _merge(spark, path, updates, [key], buckets, merged)

@@ -62,9 +62,8 @@ def test_current_flag_may_be_text(spark):
 def test_upsert_updates_and_inserts(spark):
     target = spark.createDataFrame([("A", 1), ("B", 2), (None, 5)], "id string, value long")
     source = spark.createDataFrame([("A", 99), ("C", 3), (None, 6)], "id string, value long")
-    for limit in (None, -1):
-        got = sorted((tuple(r) for r in upsert(target, source, ["id"], limit).collect()), key=str)
-        assert got == [("A", 99), ("B", 2), ("C", 3), (None, 5), (None, 6)]
+    got = sorted((tuple(r) for r in upsert(target, source, ["id"]).collect()), key=str)
+    assert got == [("A", 99), ("B", 2), ("C", 3), (None, 5), (None, 6)]
 
 
 def test_upsert_takes_null_values_from_the_source(spark):
@@ -82,6 +81,75 @@ def test_duplicate_source_keys_fail(spark):
         upsert(target, source, ["id"]).count()
 
 
+def test_upsert_of_several_key_columns_and_repeated_target_rows(spark):
+    target = spark.createDataFrame([("A", 1, 10), ("A", 1, 10), ("A", 2, 20), ("A", None, 30)], "id string, part long, v long")
+    source = spark.createDataFrame([("A", 1, 11), ("A", 3, 13), ("A", None, 14)], "id string, part long, v int")
+    got = sorted((tuple(r) for r in upsert(target, source, ["id", "part"]).collect()), key=str)
+    assert got == sorted([("A", 1, 11), ("A", 1, 11), ("A", 2, 20), ("A", 3, 13), ("A", None, 30), ("A", None, 14)], key=str)
+    assert dict(upsert(target, source, ["id", "part"]).dtypes) == dict(target.dtypes)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_merges_read_the_target_once_and_shuffle_once(spark, tmp_path):
+    target, batch = f"{tmp_path}/target", f"{tmp_path}/batch"
+    scd2_merge(None, updates(spark, ("a", "Gold", "2024-01-01"), ("b", None, "2024-01-01")), "agent_id", ["tier"]).write.partitionBy("is_current").parquet(target)
+    updates(spark, ("a", "Silver", "2025-01-01")).write.parquet(batch)
+    old, new = spark.read.parquet(target), spark.read.parquet(batch)
+    plan = plan_of(upsert(old, new.selectExpr("*", "null AS effective_end_date", "true AS is_current"), ["agent_id"]))
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    # Open and closed rows lie in folders of their own, so two scans read each row once.
+    plan = plan_of(scd2_merge(old, new, "agent_id", ["tier"]))
+    assert plan.count("FileScan") == 3 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def files_by_bucket(path):
+    return {d.name: sorted(f.name for f in d.glob("part-*")) for d in path.glob("_bucket=*")}
+
+
+def test_merges_rewrite_only_the_buckets_they_touch(spark, tmp_path):
+    rows = [(f"k{i}", i) for i in range(300)]
+    upsert_table(spark, spark.createDataFrame(rows, "id string, value long"), f"{tmp_path}/t", ["id"], buckets=16)
+    before = files_by_bucket(tmp_path / "t")
+    batch = spark.createDataFrame([("k7", -7), ("new", 1), ("k70", None)], "id string, value long")
+    upsert_table(spark, batch, f"{tmp_path}/t", ["id"], buckets=16)
+    after = files_by_bucket(tmp_path / "t")
+    changed = {b for b in before if before[b] != after[b]}
+    assert len(before) == 16 and 1 <= len(changed) <= 3
+    got = {r["id"]: r["value"] for r in read_merged(spark, f"{tmp_path}/t").collect()}
+    assert got == {**dict(rows), "k7": -7, "new": 1, "k70": None}
+    upsert_table(spark, batch.where("false"), f"{tmp_path}/t", ["id"], buckets=16)
+    assert files_by_bucket(tmp_path / "t") == after
+    for other in (8, 32, 116):
+        with pytest.raises(ValueError, match=f"not stored in {other} buckets"):
+            upsert_table(spark, batch, f"{tmp_path}/t", ["id"], buckets=other)
+    assert files_by_bucket(tmp_path / "t") == after
+
+
+def test_stored_keys_of_another_type_meet_their_rows(spark, tmp_path):
+    for kind in ("long", "int"):
+        batch = spark.createDataFrame([(1, kind), (2, kind)], f"id {kind}, v string")
+        upsert_table(spark, batch, f"{tmp_path}/t", ["id"], buckets=16)
+    assert sorted(tuple(r) for r in read_merged(spark, f"{tmp_path}/t").collect()) == [(1, "int"), (2, "int")]
+
+
+def test_stored_history_rewrites_only_the_buckets_of_its_batch(spark, tmp_path):
+    first = updates(spark, *[(f"k{i}", "Gold", "2024-01-01") for i in range(200)])
+    close = F.to_date(F.lit("2024-12-31"))
+    for batch in (first, updates(spark, ("k5", "Silver", "2025-01-01"), ("k9", None, "2025-01-01"), ("k11", "Gold", "2025-01-01"))):
+        before = files_by_bucket(tmp_path / "t")
+        scd2_merge_table(spark, batch, f"{tmp_path}/t", "agent_id", ["tier"], buckets=32, close_date=close)
+    after = files_by_bucket(tmp_path / "t")
+    assert 1 <= sum(before[b] != after[b] for b in before) <= 3
+    rows = state(read_merged(spark, f"{tmp_path}/t"))
+    assert len(rows) == 202 and [r for r in rows if r[0] in ("k5", "k9", "k11")] == [
+        ("k11", "Gold", None, True), ("k5", "Gold", date(2024, 12, 31), False), ("k5", "Silver", None, True),
+        ("k9", "Gold", date(2024, 12, 31), False), ("k9", None, None, True),
+    ]
+
+
 def test_upsert_table(spark, tmp_path):
     path = f"{tmp_path}/t"
     assert not table_exists(spark, path) and read_merged(spark, path) is None
@@ -151,7 +219,7 @@ def test_scd2_reopens_a_key_whose_versions_are_all_closed(spark):
 def test_scd2_several_current_rows_of_a_changed_key_are_all_closed(spark):
     target = scd2_merge(None, updates(spark, ("a", "Gold", "2024-01-01")), "agent_id", ["tier"])
     both = target.unionByName(target.withColumn("tier", F.lit("Silver")))
-    got = scd2_merge(both, updates(spark, ("a", "Gold", "2025-01-01")), "agent_id", ["tier"], limit=-1)
+    got = scd2_merge(both, updates(spark, ("a", "Gold", "2025-01-01")), "agent_id", ["tier"])
     assert [s[1] for s in state(got.where("is_current"))] == ["Gold"]
     assert got.where("NOT is_current").count() == 2
 
