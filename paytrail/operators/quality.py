@@ -132,46 +132,91 @@ def _repeated(df: DataFrame, rule: KeyRule) -> DataFrame:
 
 def _row_counts(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     """One scan without a shuffle of rows: the total and the failing rows of every row rule."""
-    total = F.count(F.lit(1))
-    counts = [(-1, total), *((i, F.count_if(check.rule.fails)) for i, check in checks)]
-    wide = df.agg(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("position"), c.cast("bigint").alias("failing_rows"))
-                for i, c in counts
-            ]
-        ).alias("_counts")
-    )
-    return wide.select(F.inline("_counts"))
+    return _inlined(df, [(-1, F.count(F.lit(1))), *((i, F.count_if(check.rule.fails)) for i, check in checks)])
 
 
 def _separate_count(df: DataFrame, position: int, check: Check) -> DataFrame:
-    """The failing rows (or keys) of a rule that needs a pass of its own."""
-    rule, size = check.rule, F.col("_rows")
+    """The failing rows of a rule that needs a pass of its own."""
+    rule = check.rule
     if isinstance(rule, FrameRule):
         groups, size = rule.failing(df), F.lit(1)
-    elif isinstance(rule, ParentRule):
-        groups = _rows_per_key(df, rule.columns()).join(rule.known(), rule.columns(), "left_anti")
     else:
-        groups = _repeated(df, rule)
-        size = F.lit(1) if rule.count_keys else size
+        groups = _rows_per_key(df, rule.columns()).join(rule.known(), rule.columns(), "left_anti")
+        size = F.col("_rows")
     failing = groups.agg(F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("failing_rows"))
     return failing.select(F.lit(position).alias("position"), "failing_rows")
 
 
+_RULES_PER_MASK = 60
+
+
+def _stacked_counts(df: DataFrame, rows: list[tuple[int, Check]], keys: list[tuple[int, Check]]) -> DataFrame:
+    """One scan and one shuffle for the total, all row rules and all key rules.
+
+    A row yields a mask of the row rules it fails and, for each key rule it takes part in, 128 bits of its key.
+    These are counted in each task first, which leaves a few masks per task, then per key across tasks,
+    and the counts are summed per check.
+    """
+    masks = [rows[i : i + _RULES_PER_MASK] for i in range(0, max(len(rows), 1), _RULES_PER_MASK)]
+    zero = F.lit(0).cast("bigint")
+
+    def entry(position: int, first: Column, second: Column) -> Column:
+        return F.struct(F.lit(position).alias("position"), first.alias("key_0"), second.alias("key_1"))
+
+    entries = []
+    for m, part in enumerate(masks):
+        bits = [F.when(c.rule.fails, F.lit(1 << b).cast("bigint")).otherwise(zero) for b, (_, c) in enumerate(part)]
+        entries.append(entry(-1 - m, reduce(lambda x, y: x + y, bits, zero), zero))
+    for i, c in keys:
+        takes_part = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in c.rule.keys])
+        if c.rule.among is not None:
+            takes_part = takes_part & c.rule.among
+        halves = [F.xxhash64(F.lit(seed), *c.rule.keys) for seed in (1, 2)]
+        entries.append(F.when(takes_part, entry(i, *halves)))
+    stacked = df.select(F.inline(F.array(*entries))).where("position IS NOT NULL")
+    per_key = stacked.groupBy("position", "key_0", "key_1").agg(F.count(F.lit(1)).alias("_rows"))
+
+    at, n = F.col("position"), F.col("_rows")
+    found = [(-1, at == -1, n)]
+    for m, part in enumerate(masks):
+        for b, (i, _) in enumerate(part):
+            found.append((i, (at == -1 - m) & (F.col("key_0").bitwiseAND(1 << b) != 0), n))
+    for i, c in keys:
+        found.append((i, (at == i) & (n > 1), F.lit(1) if c.rule.count_keys else n))
+    return _inlined(per_key, [(i, F.sum(F.when(which, size))) for i, which, size in found])
+
+
+def _inlined(df: DataFrame, sums: list[tuple[int, Column]]) -> DataFrame:
+    """Aggregates over the whole frame as rows of position and count."""
+    each = [
+        F.struct(F.lit(i).alias("position"), F.coalesce(c, F.lit(0)).cast("bigint").alias("failing_rows"))
+        for i, c in sums
+    ]
+    return df.agg(F.array(*each).alias("_counts")).select(F.inline("_counts"))
+
+
+def _counts(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
+    """The failing rows per check and, at position -1, all rows; checks without any may be missing."""
+    rows = [(i, c) for i, c in numbered if isinstance(c.rule, RowRule)]
+    keys = [(i, c) for i, c in numbered if isinstance(c.rule, KeyRule)]
+    others = [(i, c) for i, c in numbered if not isinstance(c.rule, RowRule | KeyRule)]
+    parts = [_stacked_counts(df, rows, keys) if keys else _row_counts(df, rows)]
+    parts += [_separate_count(df, i, c) for i, c in others]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     """One row per check, as a lazy frame.
 
-    All row rules share one scan that moves no rows. A key rule moves its key alone,
-    counted per task first; carrying the row rules along would widen that shuffle.
+    Row rules and key rules share one scan of the table. Without key rules no rows move; else the
+    keys do, as hashes that each task has counted. Rules on other tables take a pass of their own.
     """
     numbered = list(enumerate(checks))
-    row_checks = [(i, c) for i, c in numbered if isinstance(c.rule, RowRule)]
-    others = [(i, c) for i, c in numbered if not isinstance(c.rule, RowRule)]
-    parts = [_row_counts(df, row_checks)]
-    parts += [_separate_count(df, i, c) for i, c in others]
-    counted = reduce(DataFrame.unionByName, parts)
+    return _labelled(_counts(df, numbered), numbered, table)
+
 
+def _labelled(counted: DataFrame, numbered: list[tuple[int, Check]], table: str) -> DataFrame:
+    """The report from the counts per position."""
     labels = F.array(
         *[
             F.struct(
@@ -190,7 +235,7 @@ def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     )
     listed = by_check.select("_found", F.inline(labels))
     failing = F.coalesce(F.col("_found")[F.col("position")], F.lit(0)).cast("bigint")
-    total = F.col("_found")[F.lit(-1)].cast("bigint")
+    total = F.coalesce(F.col("_found")[F.lit(-1)], F.lit(0)).cast("bigint")
     return listed.select(
         F.lit(table).alias("table_name"),
         "check_name",
