@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.operators.joins import skew_join
@@ -195,24 +195,43 @@ def _inlined(df: DataFrame, sums: list[tuple[int, Column]]) -> DataFrame:
     return df.agg(F.array(*each).alias("_counts")).select(F.inline("_counts"))
 
 
-def _counts(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
-    """The failing rows per check and, at position -1, all rows; checks without any may be missing."""
+def observed(df: DataFrame, checks: list[Check], among: Column | None = None) -> tuple[DataFrame, Observation]:
+    """The same rows, which count themselves and the row rules they fail while some job writes them.
+
+    ``among`` limits the counts to the rows of a condition. Write the frame before a shuffle: a
+    stage that runs again after one would count its rows again.
+    """
+    watch, among = Observation(), F.lit(True) if among is None else among
+    failing = [
+        F.count_if(among & c.rule.fails).alias(f"check_{i}") for i, c in enumerate(checks) if isinstance(c.rule, RowRule)
+    ]
+    return df.observe(watch, F.count_if(among).alias("check_-1"), *failing), watch
+
+
+def _counts(df: DataFrame, numbered: list[tuple[int, Check]], watch: Observation | None = None) -> DataFrame:
+    """The failing rows per check and, at position -1, all rows."""
     rows = [(i, c) for i, c in numbered if isinstance(c.rule, RowRule)]
     keys = [(i, c) for i, c in numbered if isinstance(c.rule, KeyRule)]
     others = [(i, c) for i, c in numbered if not isinstance(c.rule, RowRule | KeyRule)]
-    parts = [_stacked_counts(df, rows, keys) if keys else _row_counts(df, rows)]
+    if watch is not None:  # one number per row rule; a job without tasks observes nothing
+        seen = [(i, watch.get.get(f"check_{i}", 0)) for i in [-1, *[i for i, _ in rows]]]
+        parts = [df.sparkSession.createDataFrame(seen, "position int, failing_rows bigint")]
+        parts += [_stacked_counts(df, [], keys).where("position >= 0")] if keys else []
+    else:
+        parts = [_stacked_counts(df, rows, keys) if keys else _row_counts(df, rows)]
     parts += [_separate_count(df, i, c) for i, c in others]
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_report(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
+def check_report(df: DataFrame, checks: list[Check], table: str, watch: Observation | None = None) -> DataFrame:
     """One row per check, as a lazy frame.
 
     Row rules and key rules share one scan of the table. Without key rules no rows move; else the
     keys do, as hashes that each task has counted. Rules on other tables take a pass of their own.
+    Given what ``observed`` counted while the table was written, only keys are read.
     """
     numbered = list(enumerate(checks))
-    return _labelled(_counts(df, numbered), numbered, table)
+    return _labelled(_counts(df, numbered, watch), numbered, table)
 
 
 def _labelled(counted: DataFrame, numbered: list[tuple[int, Check]], table: str) -> DataFrame:
@@ -271,9 +290,10 @@ def run_checks(
     log_path: str | None = None,
     fail_on_error: bool = True,
     log_format: str = "parquet",
+    watch: Observation | None = None,
 ) -> list[CheckResult]:
     """Run all checks in one job, append them to the log, then raise if an error check failed."""
-    report = check_report(df, checks, table).collect()  # one row per check
+    report = check_report(df, checks, table, watch).collect()  # one row per check
     results = [CheckResult(*(row[f] for f in CheckResult.__dataclass_fields__)) for row in report]
 
     if log_path:

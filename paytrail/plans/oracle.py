@@ -318,6 +318,21 @@ def _bad(frame: str, condition: str) -> str:
     return f"SELECT count(*) FROM {frame} WHERE {condition}"
 
 
+def _fact_checks(frame: str) -> list[tuple[str, str]]:
+    return [
+        ("transaction_id_not_null", _null(frame, "transaction_id")),
+        ("transaction_id_unique", _repeated(frame, "transaction_id")),
+        ("agent_id_not_null", _null(frame, "agent_id")),
+        ("commission_amount_positive", _bad(frame, "commission_amount <= 0")),
+        ("transaction_type_valid", _bad(frame, "transaction_type NOT IN ('New Business', 'Renewal', 'Override')")),
+    ]
+
+
+_LOG = " UNION ALL ".join(
+    _check("fact_commission_transactions", name, frame, failing)
+    for frame in ("txn", "good")
+    for name, failing in _fact_checks(frame)
+)
 _REPORT = " UNION ALL ".join(
     _check(table, name, frame, failing)
     for table, frame, checks in [
@@ -342,14 +357,7 @@ _REPORT = " UNION ALL ".join(
             ("policy_id_unique", _repeated("policy", "policy_id")),
             ("premium_positive", _bad("policy", "annual_premium <= 0")),
         ]),
-        ("fact_commission_transactions", "good", [
-            ("transaction_id_not_null", _null("good", "transaction_id")),
-            ("transaction_id_unique", _repeated("good", "transaction_id")),
-            ("agent_id_not_null", _null("good", "agent_id")),
-            ("commission_amount_positive", _bad("good", "commission_amount <= 0")),
-            ("transaction_type_valid",
-             _bad("good", "transaction_type NOT IN ('New Business', 'Renewal', 'Override')")),
-        ]),
+        ("fact_commission_transactions", "good", _fact_checks("good")),
         ("fact_chargebacks", "cb", [
             ("chargeback_id_not_null", _null("cb", "chargeback_id")),
             ("chargeback_id_unique", _repeated("cb", "chargeback_id")),
@@ -516,6 +524,8 @@ _BODIES = {
     "dq_gate": f"""
         SELECT *, '2002-01-02T00:00:00' AS run_timestamp FROM ({_REPORT})
         WHERE table_name = 'fact_commission_transactions' AND NOT passed""",
+    "dq_log_gate": f"SELECT * FROM ({_LOG}) WHERE NOT passed",
+    "published_table": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "agent_commission_summary": f"""
         SELECT agent_id, pay_period, agent_name, agency_id, tier, agent_status,
                {_money("new_business_commission", "renewal_commission", "override_commission",

@@ -10,49 +10,73 @@ from __future__ import annotations
 
 import argparse
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paytrail.config import Lake
-from paytrail.operators.cleaning import split_quarantine
-from paytrail.operators.quality import quality_gate, run_checks
+from paytrail.operators.quality import observed, quality_gate, run_checks
 from paytrail.plans import marts
 from paytrail.plans.silver import silver_tables
-from paytrail.session import get_spark, materialized
+from paytrail.session import get_spark, scratch_path
 from paytrail.sources.extracts import ingest_all
-from paytrail.sources.tables import read_table, write_quarantine, write_table
+from paytrail.sources.tables import publish_table, read_table, write_quarantine, write_table
 
 
-def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, fmt: str = "parquet") -> None:
-    """Build, check and store each silver table; a failed error check stops the run.
+_VALID = "_valid"
 
+
+def _reader(spark: SparkSession, folder: str, fmt: str, database: str | None) -> Callable[[str], DataFrame]:
+    if database:
+        return lambda name: spark.table(f"{database}.{name}")
+    return lambda name: read_table(spark, f"{folder}/{name}", fmt)
+
+
+def run_silver(
+    spark: SparkSession, bronze_dir: str, silver_dir: str, fmt: str = "parquet", database: str | None = None
+) -> None:
+    """Build, check and store each silver table; a failed error check stops the run before the table is replaced.
+
+    A table is built once, into a scratch table with a folder for its valid rows: row rules are counted
+    while it is written, key rules on the stored keys, and valid and bad rows are stored from their folders. With
+    ``database``, readers move to the new table by the catalog.
     Facts arrive in month folders, so their input splits already hold few periods and
     are written without a shuffle.
     """
     for table in silver_tables():
-        sources = [read_table(spark, f"{bronze_dir}/{name}", fmt) for name in table.sources]
-        built = table.build(*sources)
-        if table.staged:
-            built = materialized(built, table.name)
-        clean, bad = (built, None) if table.valid is None else split_quarantine(built, table.valid)
+        built = table.build(*[read_table(spark, f"{bronze_dir}/{name}", fmt) for name in table.sources])
+        valid = F.lit(True) if table.valid is None else F.coalesce(table.valid, F.lit(False))
+        flagged, watch = observed(built.withColumn(_VALID, valid), table.checks, F.col(_VALID))
+        stage = scratch_path(spark, table.name)
+        flagged.write.partitionBy(_VALID).parquet(stage)
+        stored = spark.read.schema(flagged.schema).parquet(stage)
+        clean, bad = (stored.where(c).select(*built.columns) for c in (F.col(_VALID), ~F.col(_VALID)))
         run_checks(
-            spark, clean, table.checks, table.name, f"{silver_dir}/_dq_log", log_format=fmt
+            spark, clean, table.checks, table.name, f"{silver_dir}/_dq_log", log_format=fmt, watch=watch
         )
         path = f"{silver_dir}/{table.name}"
-        write_table(clean, path, "overwrite", table.partition_by, fmt, balanced=table.staged)
-        if bad is not None:
+        if database:
+            publish_table(clean, f"{database}.{table.name}", path, table.partition_by, table.staged)
+        else:
+            write_table(clean, path, "overwrite", table.partition_by, fmt, balanced=table.staged)
+        if table.valid is not None:
             write_quarantine(bad, silver_dir, table.name, fmt)
 
 
-def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str, fmt: str = "parquet") -> dict:
+def run_gold(
+    spark: SparkSession, silver_dir: str, gold_dir: str, fmt: str = "parquet", database: str | None = None
+) -> dict:
     """Build all marts; the result is the reconciliation headline."""
-
-    def silver(name: str) -> DataFrame:
-        return read_table(spark, f"{silver_dir}/{name}", fmt)
+    silver = _reader(spark, silver_dir, fmt, database)
+    gold = _reader(spark, gold_dir, fmt, database)
 
     def publish(name: str, mart: DataFrame, *folders: str) -> DataFrame:
-        write_table(mart, f"{gold_dir}/{name}", partition_by=list(folders), fmt=fmt)
-        return read_table(spark, f"{gold_dir}/{name}", fmt).select(*mart.columns)
+        if database:
+            publish_table(mart, f"{database}.{name}", f"{gold_dir}/{name}", list(folders))
+        else:
+            write_table(mart, f"{gold_dir}/{name}", partition_by=list(folders), fmt=fmt)
+        return gold(name).select(*mart.columns)
 
     transactions, chargebacks = silver("fact_commission_transactions"), silver("fact_chargebacks")
     agents, payments = silver("dim_agent"), silver("fact_payments")
@@ -104,6 +128,8 @@ def main(argv: list[str] | None = None) -> int:
     gold = stages.add_parser("gold")
     gold.add_argument("--silver-dir", default=paths.layer("silver"))
     gold.add_argument("--gold-dir", default=paths.layer("gold"))
+    for stage in (silver, gold):
+        stage.add_argument("--database", help="publish tables to this database, without a moment in which none stands")
     gate = stages.add_parser("gate")
     gate.add_argument("--dq-log-path", default=paths.table("silver", "_dq_log"))
     gate.add_argument("--newest-run", action="store_true")
@@ -114,10 +140,10 @@ def main(argv: list[str] | None = None) -> int:
         for name, rows in ingest_all(spark, args.raw_dir, args.out_dir).items():
             print(f"landed {rows} rows of {name}")
     elif args.stage == "silver":
-        run_silver(spark, args.bronze_dir, args.silver_dir)
+        run_silver(spark, args.bronze_dir, args.silver_dir, database=args.database)
         print(f"silver tables stand in {args.silver_dir}")
     elif args.stage == "gold":
-        found = run_gold(spark, args.silver_dir, args.gold_dir)
+        found = run_gold(spark, args.silver_dir, args.gold_dir, database=args.database)
         print(
             f"agent periods: {found['total_periods']}, in agreement {found['matched_periods']}, "
             f"to review {found['break_periods']}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -52,6 +53,21 @@ def write_table(
     writer.save(path)
 
 
+def publish_table(
+    df: DataFrame, name: str, folder: str, partition_by: list[str] | None = None, balanced: bool = True
+) -> None:
+    """Write a table to a fresh folder, then move its readers there by the catalog in one step.
+
+    ``name`` is a view of the newest complete folder. A write that fails leaves the old rows readable, and
+    queries that run meanwhile go on reading the files they began with. Older folders stay until
+    their owner removes them. Folder columns keep their types.
+    """
+    fresh = f"{folder}/{uuid.uuid4().hex}"
+    write_table(df, fresh, partition_by=partition_by, balanced=balanced)
+    columns = ", ".join(f"CAST(`{c}` AS {kind}) AS `{c}`" if c in (partition_by or ()) else f"`{c}`" for c, kind in df.dtypes)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{fresh}`")
+
+
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     write_table(df, path, mode="append", fmt=fmt)
 

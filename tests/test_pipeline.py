@@ -2,11 +2,13 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from paytrail.config import Lake
-from paytrail.operators.quality import DataQualityError
+from paytrail.operators.quality import DataQualityError, observed
 from paytrail.plans import pipeline
+from paytrail.plans.silver import silver_tables
 from paytrail.schemas import MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
 from paytrail.sources import extracts, tables
 from paytrail.streaming.ingest import ingest_new_files
@@ -134,6 +136,46 @@ def test_gate_and_command_line(spark, lake, capsys):
     assert "in agreement 1, to review 1" in capsys.readouterr().out
 
 
+def test_published_tables_give_the_same_marts(spark, lake, tmp_path):
+    paths = lake[0]
+    spark.sql("CREATE DATABASE IF NOT EXISTS sales")
+    pipeline.run_silver(spark, paths.layer("bronze"), f"{tmp_path}/silver", database="sales")
+    assert pipeline.run_gold(spark, f"{tmp_path}/silver", f"{tmp_path}/gold", database="sales") == lake[1]
+    dim = spark.table("sales.dim_agent")
+    assert dict(dim.dtypes)["is_current"] == "boolean" and dim.where("is_current").count() == 2
+
+
+def test_a_failed_write_leaves_the_published_rows(spark, tmp_path):
+    rows = spark.range(10).withColumn("v", F.lit("old"))
+    tables.publish_table(rows, "kept_rows", f"{tmp_path}/t")
+    bad = spark.range(10).withColumn("v", F.when(F.col("id") < 9, F.lit("new")).otherwise(F.raise_error(F.lit("lost"))))
+    reading = spark.table("kept_rows")
+    with pytest.raises(PySparkException, match="lost"):
+        tables.publish_table(bad, "kept_rows", f"{tmp_path}/t")
+    assert {tuple(r) for r in spark.table("kept_rows").select("v").collect()} == {("old",)}
+    tables.publish_table(rows.withColumn("v", F.lit("new")), "kept_rows", f"{tmp_path}/t")
+    assert {r["v"] for r in spark.table("kept_rows").collect()} == {"new"} and {r["v"] for r in reading.collect()} == {"old"}
+
+
+def test_a_failed_check_leaves_the_table_as_it_was(spark, lake, tmp_path):
+    paths = lake[0]
+    pipeline.run_silver(spark, paths.layer("bronze"), f"{tmp_path}/silver")
+    twice = frames(spark, payments=ROWS["payments"][:1] * 2)
+    extracts.export_extracts(twice, f"{tmp_path}/raw", "2025-03-01")
+    extracts.ingest_all(spark, f"{tmp_path}/raw", f"{tmp_path}/bronze")
+    with pytest.raises(DataQualityError):
+        pipeline.run_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver")
+    assert tables.read_table(spark, f"{tmp_path}/silver/fact_payments").count() == 2
+
+
+def test_each_fact_is_scanned_once(spark, lake, tmp_path):
+    """Files of bronze facts are read by one job: the one that stages the table."""
+    bronze = tables.read_table(spark, lake[0].table("bronze", "payments"))
+    table = next(t for t in silver_tables() if t.name == "fact_payments")
+    plan = observed(table.build(bronze), table.checks)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan and "Exchange" not in plan
+
+
 def test_failed_check_stops_the_run_and_the_gate(spark, tmp_path):
     paths = Lake(str(tmp_path))
     twice = ROWS["commission_transactions"][:1] * 2

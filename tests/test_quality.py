@@ -12,6 +12,7 @@ from paytrail.operators.quality import (
     missing_parent,
     negative,
     not_null,
+    observed,
     positive,
     quality_gate,
     run_checks,
@@ -97,3 +98,33 @@ def test_a_share_of_failures_may_be_allowed(spark):
     few = Check("few", positive("n"), max_share=0.01)
     none = Check("none", positive("n"), max_share=0.009)
     assert [r.passed for r in run_checks(spark, df, [few, none], "t", fail_on_error=False)] == [True, False]
+
+
+def test_rules_are_counted_while_the_table_is_written(spark, tmp_path):
+    rows = [(1, "a", 10.0), (1, None, 0.0), (2, "zz", -5.0), (None, "a", None)]
+    df = spark.createDataFrame(rows, "id long, s string, x double")
+    checks = [Check("s", not_null("s")), Check("id", unique("id")), Check("x", positive("x")), Check("free", FrameRule(lambda f: f.where("id = 2")))]
+    counted, watch = observed(df, checks)
+    counted.write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    got = [tuple(r) for r in check_report(stored, checks, "t", watch).orderBy("check_name").collect()]
+    assert got == [tuple(r) for r in check_report(df, checks, "t").orderBy("check_name").collect()]
+    plan = check_report(stored, checks[:3], "t", watch)._jdf.queryExecution().executedPlan().toString()
+    assert [part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]] == ["id:bigint"]
+    counted, watch = observed(df, checks, F.col("x") > 0)
+    counted.write.parquet(f"{tmp_path}/u")
+    assert [r["total_rows"] for r in check_report(stored, checks[:1], "t", watch).collect()] == [1]
+
+
+def test_an_empty_table_is_observed(spark, tmp_path):
+    checks = [Check("s", not_null("s")), Check("id", unique("id"))]
+    counted, watch = observed(spark.createDataFrame([], "id long, s string"), checks)
+    counted.write.parquet(f"{tmp_path}/t")
+    report = check_report(spark.read.parquet(f"{tmp_path}/t"), checks, "t", watch).collect()
+    assert [(r["failing_rows"], r["total_rows"], r["passed"]) for r in report] == [(0, 0, True)] * 2
+
+
+def test_more_row_rules_than_a_mask_holds(spark):
+    df = spark.range(130).withColumn("k", F.col("id") % 100)
+    rules = [in_set("id", [x for x in range(130) if x > i]) for i in range(125)]
+    assert found(df, *rules, unique("k")) == [v for _, v in sorted([(str(i), i + 1) for i in range(125)] + [("125", 60)])]
