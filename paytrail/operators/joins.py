@@ -129,6 +129,30 @@ def exclusive_periods(
     )
 
 
+# What cutting periods by spans adds at most: a row per span touched, one for each end.
+_GROWTH = 3
+
+
+def _calendar(history: DataFrame, keys: list[str], start: str) -> Column:
+    """First and last start of a history and the days of a span, as one value.
+
+    A span is as long as the average period would be if every key had periods from the first to the last
+    start. All periods cut by span are then at most three times as many as the rows of the history.
+    """
+    opened = F.col(start).cast("date")
+    days = F.datediff(F.max(opened), F.min(opened)) + 1
+    key_count = F.approx_count_distinct(F.struct(*keys))
+    width = F.greatest(F.ceil(days * key_count / F.count(opened)), F.lit(1))
+    bounds = F.struct(F.min(opened).alias("first"), F.max(opened).alias("last"), width.alias("width"))
+    return history.where(opened.isNotNull()).agg(bounds).scalar()
+
+
+def _span(day: Column, calendar: Column) -> Column:
+    """The span a day falls into; all days after the last start fall into the last one."""
+    within = F.least(day.cast("date"), calendar["last"])
+    return F.when(day.isNotNull(), F.floor(F.datediff(within, calendar["first"]) / calendar["width"]))
+
+
 def as_of_join(
     left: DataFrame,
     history: DataFrame,
@@ -141,15 +165,31 @@ def as_of_join(
     traffic: DataFrame | None = None,
     limit: int | None = None,
     hot_limit: int = HOT_KEY_LIMIT,
+    spans: bool | None = None,
 ) -> DataFrame:
     """Attach the history row in force on the day ``at``; both period ends are inclusive.
 
     On a day shared by two periods the earlier one wins. Since the periods are made
     exclusive first, a left row meets at most one of them and no ranking of the
-    large side is needed.
+    large side is needed. Beyond the broadcast limit, periods are cut by the spans of days they touch
+    and joined on key and span, so a row is compared with the periods of its key in one span, however
+    many the key has. Setting the spans reads the history's starts once more; ``spans`` asks for them in a
+    small history whose keys have thousands of periods, too.
     """
     payload = payload or [c for c in history.columns if c not in {*keys, start, end}]
-    periods = exclusive_periods(history, keys, start, end, payload)
+    if spans is None:
+        spans = not is_small(history, limit)
     in_force = F.col(at).between(F.col("_from"), F.col("_to"))
-    joined = skew_join(left, periods, keys, how, in_force, traffic, limit, hot_limit)
-    return joined.drop("_from", "_to")
+    if not spans:
+        periods = exclusive_periods(history, keys, start, end, payload)
+        return skew_join(left, periods, keys, how, in_force, traffic, limit, hot_limit).drop("_from", "_to")
+    calendar = _calendar(history, keys, start)
+    touched = F.sequence(_span(F.col("_from"), calendar), _span(F.col("_to"), calendar))
+    periods = exclusive_periods(history, keys, start, end, payload).withColumn("_span", F.explode(touched))
+    if limit is None:
+        limit = broadcast_limit(left.sparkSession)
+    dated = left.withColumn("_span", _span(F.col(at), calendar))
+    joined = skew_join(
+        dated, periods, [*keys, "_span"], how, in_force, traffic, limit // _GROWTH if limit > 0 else limit, hot_limit
+    )
+    return joined.drop("_from", "_to", "_span")

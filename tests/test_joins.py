@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from paytrail.operators import joins
 from paytrail.operators.joins import as_of_join, exclusive_periods, hot_keys, is_small, skew_join
 
 DAY0 = date(2020, 1, 1)
@@ -30,13 +31,13 @@ def null_first(rows):
     return sorted(rows, key=lambda r: tuple((v is not None, v) for v in r))
 
 
-@pytest.mark.parametrize("limit", [None, -1])
+@pytest.mark.parametrize("limit, spans", [(None, None), (None, True), (-1, None)])
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(st.tuples(key, day), min_size=1, max_size=12), periods=st.lists(period, min_size=1, max_size=8))
-def test_as_of_equals_brute_force(spark, limit, rows, periods):
+def test_as_of_equals_brute_force(spark, limit, spans, rows, periods):
     rows = [(k, at, i) for i, (k, at) in enumerate(rows)]
     left, history = spark.createDataFrame(rows, ROWS), spark.createDataFrame(periods, HISTORY)
-    got = as_of_join(left, history, ["k"], "at", limit=limit, hot_limit=3).collect()
+    got = as_of_join(left, history, ["k"], "at", limit=limit, hot_limit=3, spans=spans).collect()
     assert null_first(map(tuple, got)) == null_first(brute(rows, periods))
 
 
@@ -49,6 +50,41 @@ def test_boundary_day_belongs_to_the_earlier_period(spark):
     assert [r["tier"] for r in got] == [None, "Silver", "Silver", "Gold"]
 
 
+@pytest.mark.parametrize("options", [{"spans": True}, {"limit": -1}])
+def test_pairs_do_not_grow_with_the_periods_of_a_key(spark, options):
+    """A key with 5,000 periods of a day beside keys with one: rows meet a few periods, not thousands."""
+    opened = F.date_add(F.lit(DAY0), F.col("id").cast("int"))
+    many = spark.range(5000).select(F.lit("many").alias("k"), F.col("id").cast("string").alias("tier"), opened.alias("effective_start_date"), opened.alias("effective_end_date"))
+    few = spark.range(5).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("one").alias("tier"), F.lit(DAY0).alias("effective_start_date"), F.lit(None).cast("date").alias("effective_end_date"))
+    history = many.unionByName(few)
+    on = F.date_add(F.lit(DAY0), (F.col("id") % 5200 - 100).cast("int"))
+    left = spark.range(20_000).select(F.when(F.col("id") % 3 != 0, "many").otherwise(F.concat(F.lit("k"), F.col("id") % 5)).alias("k"), on.alias("at"), F.col("id").cast("int").alias("n"))
+
+    calendar = joins._calendar(history, ["k"], "effective_start_date")
+    spans = F.sequence(joins._span(F.col("_from"), calendar), joins._span(F.col("_to"), calendar))
+    cut = exclusive_periods(history, ["k"], "effective_start_date", "effective_end_date", ["tier"]).withColumn("_span", F.explode(spans))
+    assert cut.count() <= 3 * history.count()
+    pairs = left.withColumn("_span", joins._span(F.col("at"), calendar)).join(cut, ["k", "_span"]).count()
+    assert pairs <= 10 * left.count()
+
+    joined = as_of_join(left, history, ["k"], "at", **options)
+    got = {r["n"]: r["tier"] for r in joined.collect()}
+    for n in range(0, 20_000, 7):
+        day = n % 5200 - 100
+        want = None if day < 0 else "one" if n % 3 == 0 else str(day) if day < 5000 else None
+        assert got[n] == want
+    assert joined.count() == 20_000 and joined.columns == ["k", "at", "n", "tier"]
+
+
+def test_as_of_on_an_empty_history_and_explicit_far_ends(spark):
+    rows = spark.createDataFrame([("a", date(2020, 1, 5), 0), ("a", None, 1), (None, DAY0, 2), ("a", date(2999, 1, 1), 3)], ROWS)
+    assert [r["tier"] for r in as_of_join(rows, spark.createDataFrame([], HISTORY), ["k"], "at").collect()] == [None] * 4
+    history = spark.createDataFrame([("a", "X", DAY0, date(2020, 1, 3)), ("a", "Y", date(2020, 1, 4), date(9999, 12, 31)), ("b", "Z", date(1900, 1, 1), None)], HISTORY)
+    for options in ({}, {"spans": True}, {"limit": -1}):
+        got = as_of_join(rows, history, ["k"], "at", **options).orderBy("n").collect()
+        assert [r["tier"] for r in got] == ["Y", None, None, "Y"]
+
+
 def test_exclusive_periods_are_disjoint_and_merge_copies(spark):
     rows = [("a", t, DAY0, date(2020, 3, 1)) for t in "XXXW"] + [("a", "Y", date(2020, 2, 1), None)]
     history = spark.createDataFrame(rows, HISTORY)
