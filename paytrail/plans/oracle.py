@@ -280,6 +280,14 @@ _RECON = f"""
 _TIER_AS_OF = f"""
     SELECT transaction_id, agent_id, {_day("transaction_date")}, tier
     FROM txn LEFT JOIN tier_on_day USING (agent_id, transaction_date)"""
+_EVOLVED = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, CAST(o_custkey AS VARCHAR) AS agent_id,
+           strftime(o_orderdate, '%Y-%m') AS pay_period, strftime(o_orderdate, '%Y-%m-%d') AS payment_date,
+           CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS gross_commission,
+           CASE WHEN year(o_orderdate) >= 1995 THEN CAST(0 AS DOUBLE) END AS chargeback_deductions,
+           CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS net_payment_amount,
+           o_orderstatus AS payment_status, CASE WHEN year(o_orderdate) >= 1995 THEN 'ACH' END AS payment_method
+    FROM orders"""
 _SCD2_TYPED = (
     "c_custkey, c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal, "
     "CAST(s AS VARCHAR) AS effective_start_date, CAST(e AS VARCHAR) AS effective_end_date, c AS is_current"
@@ -414,6 +422,8 @@ _BODIES = {
     "stated_periods": """
         SELECT CASE WHEN kind IN (3, 4) THEN m END AS period, kind, count(*) AS lines
         FROM (SELECT strftime(l_shipdate, '%Y-%m') AS m, l_orderkey % 6 AS kind FROM lineitem) GROUP BY ALL""",
+    "extract_evolved": _EVOLVED,
+    "incremental_evolved": _EVOLVED,
     "extract_reordered": """
         SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, CAST(o_custkey AS VARCHAR) AS agent_id,
                strftime(o_orderdate, '%Y-%m') AS pay_period, strftime(o_orderdate, '%Y-%m-%d') AS payment_date,

@@ -559,6 +559,47 @@ def extract_roundtrip(spark, sf_dir):
     return _per_month(extracts.monthly_extract(spark, raw, name))
 
 
+def _evolving_payments(spark, sf_dir):
+    """Payments of three eras, each exported under a header of its own: fewer, other and more columns."""
+    amount = F.col("o_totalprice").cast("decimal(18,2)")
+    full = w.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("payment_id"),
+        F.col("o_custkey").cast("string").alias("agent_id"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("pay_period"),
+        F.col("o_orderdate").cast("date").alias("payment_date"),
+        amount.alias("gross_commission"),
+        F.lit("0.00").cast("decimal(18,2)").alias("chargeback_deductions"),
+        amount.alias("net_payment_amount"),
+        F.col("o_orderstatus").alias("payment_status"),
+        F.lit("ACH").alias("payment_method"),
+    )
+    year = F.year("payment_date")
+    return [
+        full.where(year < 1995).drop("payment_method", "chargeback_deductions"),
+        full.where((year >= 1995) & (year < 1997)).select(*reversed(full.columns)),
+        full.where(year >= 1997).select(F.lit("new").alias("note"), *full.columns),
+    ]
+
+
+@query
+def extract_evolved(spark, sf_dir):
+    """Payments from months whose files differ in their headers."""
+    raw = scratch_path(spark, "evolved")
+    for era in _evolving_payments(spark, sf_dir):
+        extracts.write_monthly_extract(era, raw, "payments", "payment_date")
+    return extracts.monthly_extract(spark, raw, "payments").drop(*extracts.LINEAGE)
+
+
+@query
+def incremental_evolved(spark, sf_dir):
+    """The same payments, landed era by era by the incremental reader."""
+    raw, bronze, progress = (scratch_path(spark, label) for label in ("eras", "bronze", "progress"))
+    for era in _evolving_payments(spark, sf_dir):
+        extracts.write_monthly_extract(era, raw, "payments", "payment_date")
+        ingest_new_files(spark, raw, "payments", bronze, progress)
+    return silver.without_lineage(tables.read_table(spark, f"{bronze}/payments"))
+
+
 @query
 def extract_reordered(spark, sf_dir):
     """Payments from files whose columns stand in another order, with one more than declared."""

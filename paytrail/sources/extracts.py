@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +19,42 @@ LINEAGE = ["_ingested_at", "_source_file"]
 
 
 MALFORMED = "_malformed"
-#: The header decides which column is which; a file whose header differs from the others' fails the read.
+#: The header decides which column is which; a file is never read under another file's header.
 CSV_OPTIONS = {"header": True, "enforceSchema": False, "columnPruning": False, "columnNameOfCorruptRecord": MALFORMED}
+_HEADER_READERS = 16
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def files_by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files grouped by their first line, of which alone is read here; empty files are left out."""
+    with ThreadPoolExecutor(_HEADER_READERS) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        if line:
+            groups.setdefault(tuple(next(csv.reader([line.removeprefix("\ufeff")]))), []).append(file)
+    return groups
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files under a path, as the reader lists them."""
+    uri, of = spark._jvm.java.net.URI, spark._jvm.org.apache.hadoop.fs.Path
+    return [of(uri(f)).toString() for f in spark.read.text(path).inputFiles()]
 
 
-def header_schema(spark: SparkSession, path: str, schema: str, folder: str | None = None) -> T.StructType:
-    """The declared columns in the order of the files' header, further ones as text, then the malformed line."""
+def _schema(header: tuple[str, ...], schema: str, folder: str | None) -> T.StructType:
+    """The declared columns in the order of a header, further ones as text, then the malformed line."""
     declared = {f.name: f for f in T.StructType.fromDDL(schema)}
-    names = [c for c in spark.read.option("header", True).csv(path).columns if c != folder]  # reads one line
-    fields = [declared.get(c, T.StructField(c, T.StringType())) for c in names]
+    fields = [declared.get(c, T.StructField(c, T.StringType())) for c in header if c != folder]
     # The folder column is declared too, or discovery would guess its type.
     extra = [MALFORMED, *([folder] if folder else [])]
     return T.StructType(fields + [T.StructField(c, T.StringType()) for c in extra])
@@ -36,20 +67,30 @@ def declared_columns(frame: DataFrame, schema: str) -> list[Column]:
 
 
 def read_extract(
-    spark: SparkSession, path: str, schema: str | None, folder: str | None = None
+    spark: SparkSession, path: str, schema: str | None, folder: str | None = None, files: list[str] | None = None
 ) -> DataFrame:
     """Header CSV with its folder date (as text) and file path; columns are found by name.
 
     Under a declared schema the declared columns are returned, whatever their order in the
     files (NULL for one that they lack), and ``_malformed`` holds a line of which some value does not fit its type.
+    Files may differ in their headers, as when a column is added in a later month: there is one
+    scan for each header. ``files`` limits the read to some of the files under ``path``.
     Passing no schema infers one, as a last resort: that costs an extra pass and loses
     leading zeros and month texts.
     """
     source = F.col("_metadata.file_path").alias("_source_file")
     if schema is None:
         return spark.read.option("header", True).option("inferSchema", True).csv(path).select("*", source)
-    frame = spark.read.options(**CSV_OPTIONS).schema(header_schema(spark, path, schema, folder)).csv(path)
-    return frame.select(*declared_columns(frame, schema), *([folder] if folder else []), MALFORMED, source)
+    groups = files_by_header(spark, _files(spark, path) if files is None else files) or {(): []}
+    parts = []
+    for header, members in groups.items():
+        chosen = path if len(groups) == 1 and files is None else members or path
+        reader = spark.read.options(**CSV_OPTIONS, basePath=path).schema(_schema(header, schema, folder))
+        frame = reader.csv(chosen)
+        parts.append(
+            frame.select(*declared_columns(frame, schema), *([folder] if folder else []), MALFORMED, source)
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fits(df: DataFrame) -> Column:

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.schemas import MONTHLY_EXTRACTS
-from paytrail.sources.extracts import CSV_OPTIONS, MALFORMED, MONTH, declared_columns, header_schema, malformed, well_formed
+from paytrail.session import scratch_path
+from paytrail.sources.extracts import MALFORMED, MONTH, fits, read_extract, with_lineage
+
+#: The folder column of a landed table: the number of the run's micro-batch.
+BATCH = "_batch"
+
+_FILES = f"path string, modificationTime timestamp, length bigint, content binary, {MONTH} string"
+_FITS = "_fits"
 
 
 def ingest_new_files(
@@ -15,24 +22,36 @@ def ingest_new_files(
     """Append the extract files that arrived since the last run, then stop.
 
     Gives the rows a full re-read gives, as long as delivered files do not
-    change. The stream's checkpoint, on shared storage, makes a restart exactly-once.
-    Columns are found by the header; malformed rows land in the quarantine by a stream of
-    their own.
+    change. The stream carries the names of the new files, whose checkpoint on shared storage tells which have landed. Each
+    micro-batch reads its files once, by their headers, which may differ between deliveries, and puts
+    well-formed and malformed rows into a folder of its number; a batch that runs again replaces that folder.
     """
     path, declared = f"{raw_dir}/{name}", MONTHLY_EXTRACTS[name]
-    schema = header_schema(spark, path, declared, MONTH)
-    for choose, line, target in ((well_formed, [], name), (malformed, [MALFORMED], f"_quarantine/{name}")):
-        arriving = spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(path)
-        landed = choose(arriving).select(
-            *declared_columns(arriving, declared),
-            *line,
-            F.current_timestamp().alias("_ingested_at"),
-            F.col("_metadata.file_path").alias("_source_file"),
-        )
-        query = (
-            landed.writeStream.format("parquet")
-            .option("checkpointLocation", f"{checkpoint_dir}/{target}")
-            .trigger(availableNow=True)
-            .start(f"{bronze_dir}/{target}")
-        )
-        query.awaitTermination()
+
+    def land(arrived: DataFrame, batch: int) -> None:
+        files = [r["path"] for r in arrived.collect()]  # names only
+        if not files:
+            return
+        rows = read_extract(spark, path, declared, MONTH, files).drop(MONTH)
+        flagged = rows.withColumn(_FITS, fits(rows))
+        stage = scratch_path(spark, "landing")
+        flagged.write.partitionBy(_FITS).parquet(stage)
+        stored = spark.read.schema(flagged.schema).parquet(stage)
+        good, bad = stored.where(_FITS).drop(MALFORMED, _FITS), stored.where(f"NOT {_FITS}").drop(_FITS)
+        _replace_batch(with_lineage(good), f"{bronze_dir}/{name}", batch)
+        if not bad.isEmpty():
+            _replace_batch(with_lineage(bad), f"{bronze_dir}/_quarantine/{name}", batch)
+
+    arriving = spark.readStream.format("binaryFile").schema(_FILES).load(path).select("path")
+    query = (
+        arriving.writeStream.foreachBatch(land)
+        .option("checkpointLocation", f"{checkpoint_dir}/{name}")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _replace_batch(rows: DataFrame, path: str, batch: int) -> None:
+    numbered = rows.withColumn(BATCH, F.lit(batch))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)

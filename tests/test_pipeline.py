@@ -11,7 +11,7 @@ from paytrail.plans import pipeline
 from paytrail.plans.silver import silver_tables
 from paytrail.schemas import MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
 from paytrail.sources import extracts, tables
-from paytrail.streaming.ingest import ingest_new_files
+from paytrail.streaming.ingest import _replace_batch, ingest_new_files
 
 SCHEMAS = {**REFERENCE_EXTRACTS, **MONTHLY_EXTRACTS}
 d = date
@@ -245,8 +245,33 @@ def test_files_are_read_by_header_and_malformed_rows_are_kept_apart(spark, tmp_p
     kept = tables.read_table(spark, f"{bronze}/_quarantine/payments").collect()
     assert [r.payment_id for r in kept] == ["P1"] and "ten" in kept[0]["_malformed"]
     (folder / "b.csv").write_text(",".join(names) + "\n" + ",".join(values[c] for c in names) + "\n")
-    with pytest.raises(Exception, match="Error while reading|FAILED_READ_FILE|header"):
-        extracts.monthly_extract(spark, raw, "payments").collect()
+    both = extracts.monthly_extract(spark, raw, "payments").collect()
+    assert sorted((r.payment_id, r.agent_id, r.net_payment_amount, r.payment_method) for r in both) == [
+        ("P0", "A", D("10.50"), "ACH"), ("P1", "A", D("10.50"), "ACH"),
+    ]
+    (folder / "c.csv").write_text("payment_id,net_payment_amount\nP9,1.25\nP8,x\n")
+    (folder / "empty.csv").write_text("")
+    ingest_new_files(spark, raw, "payments", bronze, str(tmp_path / "progress"))
+    landed = tables.read_table(spark, f"{bronze}/payments").orderBy("payment_id").collect()
+    assert [(r.payment_id, r.net_payment_amount, r.payment_status) for r in landed] == [
+        ("P0", D("10.50"), "Paid"), ("P1", D("10.50"), "Paid"), ("P9", D("1.25"), None),
+    ]
+    assert sorted(r.payment_id for r in tables.read_table(spark, f"{bronze}/_quarantine/payments").collect()) == ["P1", "P8"]
+    assert "c.csv" in landed[2]["_source_file"]
+
+
+def test_an_old_snapshot_with_another_header_does_no_harm(spark, tmp_path):
+    old = frames(spark)["agencies"].drop("region").withColumnRenamed("agency_type", "kind")
+    extracts.write_snapshot_extract(old, str(tmp_path), "agencies", "2024-12-01")
+    extracts.write_snapshot_extract(frames(spark)["agencies"], str(tmp_path), "agencies", "2025-01-01")
+    assert [tuple(r)[:4] for r in extracts.snapshot_extract(spark, str(tmp_path), "agencies").collect()] == ROWS["agencies"]
+
+
+def test_a_batch_that_lands_again_replaces_itself(spark, tmp_path):
+    for _ in range(2):
+        _replace_batch(spark.range(5), f"{tmp_path}/t", 3)
+    _replace_batch(spark.range(5, 7), f"{tmp_path}/t", 4)
+    assert sorted(r["id"] for r in tables.read_table(spark, f"{tmp_path}/t").collect()) == list(range(7))
 
 
 def test_snapshot_date_comes_from_the_listing(spark, lake):
