@@ -99,6 +99,50 @@ def skew_join(
     return joined.drop("_slice", "_dim_slice", *dim_keys.values())
 
 
+def full_join(fact: DataFrame, keyed: DataFrame, keys: list[str], hot_limit: int = HOT_KEY_LIMIT) -> DataFrame:
+    """Full outer equi-join of a large side to a side with one row per key: keys, then both sides' other columns.
+
+    Both sides are appended and meet in one shuffle on the key and a slice number; a window hands each large row its
+    keyed row, and a keyed row stays if it meets none. A hot key's slices repeat its keyed row, which
+    has been met by definition. NULL keys match nothing and stay spread. Beyond the one read of
+    each side, only the large side's keys are counted. Two keyed rows with one key are an error.
+    """
+    hot = F.broadcast(hot_keys(fact, keys, hot_limit))
+    known = _all([F.col(k).isNotNull() for k in keys])
+    here, marker = F.spark_partition_id(), F.lit(True).alias("_row")
+    others = [c for c in fact.columns if c not in keys]
+    attributes = [c for c in keyed.columns if c not in keys]
+    own_slice = F.when(known, F.coalesce(F.pmod(here, F.col("_slices")), F.lit(0))).otherwise(here)
+    all_slices = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
+    large = fact.join(hot, keys, "left").select(
+        *keys, own_slice.alias("_slice"), F.struct(*others, marker).alias("_large")
+    )
+    small = keyed.join(hot, keys, "left").select(
+        *keys,
+        F.explode(all_slices).alias("_slice"),
+        F.col("_slices").isNull().alias("_may_stay"),
+        F.struct(*attributes, marker).alias("_keyed"),
+    )
+    meeting = Window.partitionBy(*keys, "_slice")
+    both = large.unionByName(small, allowMissingColumns=True).withColumns(
+        {
+            "_met": F.when(known, F.first("_keyed", ignorenulls=True).over(meeting)),
+            "_larges": F.count("_large").over(meeting),
+            "_keyeds": F.count("_keyed").over(meeting),
+        }
+    )
+    message = f"several keyed rows share one key ({', '.join(keys)})"
+    single = F.when(~known | (F.col("_keyeds") <= 1), F.lit(True)).otherwise(
+        F.raise_error(F.lit(message)).cast("boolean")
+    )
+    is_large = F.col("_large").isNotNull()
+    kept = both.where(single).where(is_large | ~known | (F.col("_may_stay") & (F.col("_larges") == 0)))
+    row = F.when(is_large, F.col("_met")).otherwise(F.col("_keyed")).alias("_side")
+    return kept.select(*keys, "_large", row).select(
+        *keys, *[f"_large.{c}" for c in others], *[f"_side.{c}" for c in attributes]
+    )
+
+
 def exclusive_periods(
     history: DataFrame, keys: list[str], start: str, end: str, payload: list[str]
 ) -> DataFrame:

@@ -55,10 +55,10 @@ def global_rank(df: DataFrame, by: str, name: str = "rank") -> DataFrame:
     """Descending rank over all rows; ties share a rank, gaps follow, NULLs come last.
 
     The distinct values are counted and sorted across the cluster, and each row looks up
-    its value's rank.
+    its value's rank. Only distinct values are stored; the rows are computed for the counts and for the
+    look-up, and Spark reuses a shuffle that both end in, such as that of an aggregate.
     """
-    rows = materialized(df)
-    values = rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    values = df.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
     placed = _sorted_slots(values, [F.col(by).desc()])
     offsets = _part_offsets(placed, F.sum("_rows"))
     earlier = (
@@ -68,8 +68,8 @@ def global_rank(df: DataFrame, by: str, name: str = "rank") -> DataFrame:
     ranks = placed.join(F.broadcast(offsets), "_part").select(
         by, (F.col("_before") + ahead + 1).alias(name)
     )
-    after_all = rows.agg(F.count(by) + 1).scalar()
-    ranked = skew_join(rows, ranks, [by])
+    after_all = placed.agg(F.coalesce(F.sum("_rows"), F.lit(0)) + 1).scalar()
+    ranked = skew_join(df, ranks, [by])
     return ranked.withColumn(name, F.coalesce(F.col(name), after_all).cast("bigint"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paytrail.config import (
+    HOT_KEY_LIMIT,
     BREAK_TOLERANCE,
     HIGH_RISK_THRESHOLD,
     NEW_BUSINESS,
@@ -15,7 +16,7 @@ from paytrail.config import (
 )
 from paytrail.functions import cents, from_cents, in_cents, money, month_after
 from paytrail.operators.history import current_dimension
-from paytrail.operators.joins import skew_join
+from paytrail.operators.joins import full_join
 from paytrail.operators.numbering import global_rank
 
 PERIOD_KEY = ["agent_id", "pay_period"]
@@ -170,13 +171,12 @@ def agent_leaderboard(summary: DataFrame) -> DataFrame:
 
 
 def reconciliation_report(
-    summary: DataFrame, payments: DataFrame, limit: int | None = None, ordered: bool = True
+    summary: DataFrame, payments: DataFrame, ordered: bool = True, hot_limit: int = HOT_KEY_LIMIT
 ) -> DataFrame:
     """Calculated against recorded pay, per agent and period, with the verdict.
 
-    The full outer join is taken as payments with their calculation, plus the calculations
-    no payment matches. A full outer join cannot split a frequent key and gathers all
-    NULL keys in one task; these two parts do neither.
+    A plain full outer join cannot split a frequent key and gathers all NULL keys in one task;
+    ``full_join`` does neither. The summary holds one row per agent and period.
     """
     calculated = summary.select(
         "agent_id", "agent_name", "pay_period", F.col("net_commission").alias("calculated_net_commission")
@@ -187,9 +187,7 @@ def reconciliation_report(
         F.col("net_payment_amount").alias("recorded_net_payment"),
         "payment_status",
     )
-    with_payment = skew_join(paid, calculated, PERIOD_KEY, "left", limit=limit)
-    unpaid = calculated.join(paid.select(*PERIOD_KEY).distinct(), PERIOD_KEY, "left_anti")
-    both = with_payment.unionByName(unpaid, allowMissingColumns=True)
+    both = full_join(paid, calculated, PERIOD_KEY, hot_limit)
 
     calc, recorded = F.col("calculated_net_commission"), F.col("recorded_net_payment")
     variance = cents(F.coalesce(money(recorded), _zero()) - F.coalesce(money(calc), _zero()))

@@ -522,8 +522,8 @@ def reconciliation_report(spark, sf_dir):
 
 @query
 def reconciliation_unbroadcast(spark, sf_dir):
-    """The report on the path for calculations beyond the broadcast limit."""
-    return _reconciled(spark, sf_dir, limit=-1)
+    """The report with frequent agents and periods cut into slices from a fiftieth of the payments on."""
+    return _reconciled(spark, sf_dir, hot_limit=50)
 
 
 @query

@@ -144,3 +144,40 @@ def test_size_decides_on_broadcast(spark):
 def test_unknown_join_type_is_rejected(spark):
     with pytest.raises(ValueError):
         skew_join(spark.range(1), spark.range(1), ["id"], "full")
+
+
+@pytest.mark.parametrize("hot_limit", [20, 10_000])
+def test_full_join_equals_plain_full_join(spark, hot_limit):
+    """A third of the rows on one key, some on NULL, keyed rows that no row meets, NULL keyed rows."""
+    fact = skewed(spark)
+    met = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+    keyed = met.unionByName(spark.createDataFrame([(7, 1), (None, 2), (None, 3)], "k bigint, d bigint"))
+    joined = joins.full_join(fact, keyed, ["k"], hot_limit)
+    plain = fact.join(keyed, "k", "full_outer").select("k", "v", "d")
+    assert joined.columns == ["k", "v", "d"]
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
+def test_full_join_reads_each_side_once_and_spreads_a_hot_key(spark, tmp_path):
+    skewed(spark).repartition(8).write.parquet(f"{tmp_path}/fact")
+    spark.range(0, 900).select(F.col("id").alias("k"), F.lit("x").alias("d")).write.parquet(f"{tmp_path}/keyed")
+    fact, keyed = spark.read.parquet(f"{tmp_path}/fact"), spark.read.parquet(f"{tmp_path}/keyed")
+    joined = joins.full_join(fact, keyed, ["k"], 100)
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    reads = [part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]]
+    # One read of each side; the rest count the keys of the large side.
+    assert reads.count("k:bigint,v:string") == 1 and reads.count("k:bigint,d:string") == 1
+    assert set(reads) <= {"k:bigint,v:string", "k:bigint,d:string", "k:bigint"} and "FullOuter" not in plan
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        held = joins.full_join(fact, keyed, ["k"], 100).where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(held) >= 3
+
+
+def test_full_join_rejects_repeated_keyed_rows(spark):
+    keyed = spark.createDataFrame([(1, 2), (1, 3)], "k bigint, d bigint")
+    with pytest.raises(Exception, match="keyed rows share one key"):
+        joins.full_join(spark.range(3).withColumnRenamed("id", "k"), keyed, ["k"]).collect()

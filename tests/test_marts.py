@@ -69,26 +69,27 @@ def test_leaderboard_window_and_ties(spark):
 
 def reconcile(spark, **options):
     calculated = spark.createDataFrame(
-        [("AGT001", "Al", "2025-01", 500.0), ("AGT002", "Bo", "2025-01", 300.0), ("AGT003", "Cy", "2025-01", 200.0),
-         ("AGT005", "Di", "2025-01", 100.0), ("AGT006", "Ed", "2025-01", 100.0), (None, "No", "2025-01", 1.0)],
+        [("Q-17", "Ida", "2031-07", 812.5), ("Q-17", "Ida", "2031-08", 40.0), ("Q-22", "Jo", "2031-07", 77.7),
+         ("Q-31", "Kai", "2031-09", 64.2), ("Q-40", "Lou", "2031-07", 350.0), ("Q-41", "Mia", "2031-07", 120.0), (None, "Nil", "2031-07", 3.0)],
         "agent_id string, agent_name string, pay_period string, net_commission double")
     paid = spark.createDataFrame(
-        [("AGT001", "2025-01", 500.0, "Paid"), ("AGT002", "2025-01", 350.0, "Paid"), ("AGT004", "2025-01", 100.0, "Paid"),
-         ("AGT005", "2025-01", 101.0, "Paid"), ("AGT006", "2025-01", 98.99, "Paid"), ("AGT006", "2025-01", 100.0, "Paid"),
-         (None, "2025-01", 2.0, "Paid")],
+        [("Q-17", "2031-07", 812.5, "Paid"), ("Q-17", "2031-08", 58.25, "Paid"), ("Q-90", "2031-07", 15.4, "Held"),
+         ("Q-40", "2031-07", 351.0, "Paid"), ("Q-41", "2031-07", 118.99, "Paid"), ("Q-41", "2031-07", 120.0, "Paid"),
+         (None, "2031-07", 6.0, "Paid")],
         "agent_id string, pay_period string, net_payment_amount double, payment_status string")
     return calculated, paid, marts.reconciliation_report(calculated, paid, **options)
 
 
-@pytest.mark.parametrize("limit", [None, -1])
-def test_reconciliation_statuses(spark, limit):
-    calculated, paid, report = reconcile(spark, limit=limit)
+@pytest.mark.parametrize("hot_limit", [2, 10_000])
+def test_reconciliation_statuses(spark, hot_limit):
+    calculated, paid, report = reconcile(spark, hot_limit=hot_limit)
     got = sorted((str(r["agent_id"]), r["reconciliation_status"], r["variance"]) for r in report.collect())
     assert got == [
-        ("AGT001", "MATCHED", D("0.00")), ("AGT002", "BREAK", D("50.00")),
-        ("AGT003", "CALCULATED_BUT_NOT_PAID", D("-200.00")), ("AGT004", "PAID_WITHOUT_CALCULATION", D("100.00")),
-        ("AGT005", "MATCHED", D("1.00")), ("AGT006", "BREAK", D("-1.01")), ("AGT006", "MATCHED", D("0.00")),
-        ("None", "CALCULATED_BUT_NOT_PAID", D("-1.00")), ("None", "PAID_WITHOUT_CALCULATION", D("2.00")),
+        ("None", "CALCULATED_BUT_NOT_PAID", D("-3.00")), ("None", "PAID_WITHOUT_CALCULATION", D("6.00")),
+        ("Q-17", "BREAK", D("18.25")), ("Q-17", "MATCHED", D("0.00")),
+        ("Q-22", "CALCULATED_BUT_NOT_PAID", D("-77.70")), ("Q-31", "CALCULATED_BUT_NOT_PAID", D("-64.20")),
+        ("Q-40", "MATCHED", D("1.00")), ("Q-41", "BREAK", D("-1.01")), ("Q-41", "MATCHED", D("0.00")),
+        ("Q-90", "PAID_WITHOUT_CALCULATION", D("15.40")),
     ]
     plain = calculated.join(paid, ["agent_id", "pay_period"], "full_outer")
     assert plain.count() == report.count()
@@ -99,7 +100,7 @@ def test_reconciliation_statuses(spark, limit):
 def test_headline(spark):
     report = reconcile(spark)[2]
     assert marts.reconciliation_headline(report).first().asDict() == {
-        "matched_periods": 3, "total_periods": 9, "break_periods": 6,
+        "matched_periods": 3, "total_periods": 10, "break_periods": 7,
     }
 
 
