@@ -28,7 +28,9 @@ AMBIGUOUS_BELOW = 0.6
 _SMOOTHING = 0.5
 _EXHAUSTIVE = 7  # up to so many languages every split into two groups is a bit
 _CHARS = 1 << 19
-_OTHER = re.compile(r"[\W\d_]+")
+# Letters are what Unicode calls so: numbers such as a half, a superscript two or Roman numerals are none.
+_NO_LETTERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
+_OTHER = re.compile(rf"[\W_{_NO_LETTERS}]+")
 _FACTORS = np.random.default_rng(6).integers(1, 1 << 62, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -122,7 +124,11 @@ def fit(docs: DataFrame) -> Model:
     total = known.count()
     if total > SAMPLE_ROWS:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(total)) < SAMPLE_ROWS)
-    checks = F.pmod(F.xxhash64("doc_id", F.lit(66)), F.lit(_CHECK_SHARE)) == 0
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(66)), F.lit(_CHECK_SHARE)) == 0
+    # A language of which only checks were drawn is counted from them; there are no more languages than sampled rows.
+    only = known.groupBy("lang").agg(F.bool_and(drawn).alias("only_checks"))
+    known = known.join(F.broadcast(only), "lang").select("doc_id", "text", "lang", "only_checks")
+    checks = drawn & ~F.col("only_checks")
     counted = known.where(~checks).select("text", "lang").mapInPandas(_counts, "lang string, bucket int, n bigint")
     counted = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counted["lang"].unique())
@@ -183,9 +189,11 @@ RESULT = StructType(
 def identify(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``lang_pred``, ``score``, ``ambiguous``.
 
-    Languages are learned from rows with a ``lang`` whose crc32 of the id's text modulo 4 is not 2. NULL texts
+    Languages are learned from rows with a ``lang`` whose crc32 of the id's text modulo 4 is not 2; up to
+    ``SAMPLE_ROWS`` rows, each language is, even from one row. NULL texts
     and texts without letters are ``und`` with score 0; so is every text if no language was given. Rows without an
-    id are predicted but not learned from. Repeated rows count like others. Other columns are ignored.
+    id are predicted but not learned from. Repeated rows count like others. Texts are read whole, however long; of
+    languages with equal loss the first by code point is taken. An empty table gives no rows. Other columns are ignored.
     """
     out = held_out(F.col("doc_id"), 4, 2)
     model = fit(docs.where(~out).select("doc_id", "text", "lang"))

@@ -34,11 +34,12 @@ _SPACE = re.compile(r"\s+")
 
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark meta link nobr q rp rt ruby s "
-    "samp small source span strike strong sub sup time tt u var wbr".split()
+    "samp small source span strike strong sub sup time tt u var wbr "
+    "math mfrac mi mn mo mover mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title iframe".split())  # hold no markup, so only their end tag ends them
-_HIDDEN = frozenset("noscript template svg canvas object math".split())  # skipped if they are closed
+_HIDDEN = frozenset("noscript template svg canvas object annotation annotation-xml".split())  # skipped if they are closed
 _BOILERPLATE = frozenset("nav footer aside form button select dialog menu".split())
 _CLOSES_ITSELF = {
     "p": {"p"}, "li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "tr": {"p", "td", "th", "tr"},
@@ -54,6 +55,8 @@ _HINTS = frozenset(
     "sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 _COMMENTS = frozenset("comment comments disqus respond".split())
+_ADS = frozenset("ad ads advert adverts advertisement sponsored".split())
+_CONTAINERS = frozenset("div section ul ol dl table".split())
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search toolbar".split())
 
 ARTICLE, OPEN, BOILERPLATE = 2, 1, 0
@@ -89,12 +92,35 @@ def _hinted(attributes: str, hints: frozenset[str]) -> bool:
     return False
 
 
+def _hinted_inside(tag: str, attributes: str) -> bool:
+    """Whether an element within an article is marked as no part of it.
+
+    A name there is more often that of a section ("market-share") than of boilerplate: only class names count that are
+    hints throughout ("cookie-notice") and, for containers, names that begin with a word for comments or adverts.
+    """
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        tokens = value.split() if name in ("class", "id") else ()
+        if name == "class" and any(_HINTS.issuperset(re.split(r"[-_]+", t)) for t in tokens):
+            return True
+        marked = _COMMENTS | _ADS if name == "class" else _COMMENTS
+        if tag in _CONTAINERS and any(re.split(r"[-_]+", t)[0] in marked for t in tokens):
+            return True
+        if (name == "role" and value in _ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true"):
+            return True
+        if name == "style" and re.search(r"display\s*:\s*none", value):
+            return True
+    return False
+
+
 def _zone(tag: str, attributes: str, outer: int) -> int:
     """The zone of what an element holds, from its name and attributes and the zone around it."""
     if tag in ("article", "main") or (tag != "body" and 'role="main"' in attributes):
         return BOILERPLATE if outer == BOILERPLATE and tag != "main" or _hinted(attributes, _COMMENTS) else ARTICLE
     if outer == BOILERPLATE or tag in _BOILERPLATE or (tag == "header" and outer != ARTICLE):
         return BOILERPLATE
+    if outer == ARTICLE:
+        return BOILERPLATE if _hinted_inside(tag, attributes) else outer
     return BOILERPLATE if tag not in ("html", "head", "body") and _hinted(attributes, _HINTS) else outer
 
 
@@ -139,7 +165,7 @@ def lines_of(page: str | None) -> list[Line]:
         if tag in _INLINE:
             if tag == "br":
                 buffer.append(" ")
-            elif m[1] or not m[3] or not _hinted(m[3], _HINTS):
+            elif m[1] or not m[3] or not (_hinted_inside(tag, m[3]) if zone == ARTICLE else _hinted(m[3], _HINTS)):
                 if any(name == tag for name, _ in stack):  # closes a hinted inline element
                     if m[1]:
                         while stack.pop()[0] != tag:
@@ -229,6 +255,8 @@ def template_lines(page: np.ndarray, before: list[np.ndarray], after: list[np.nd
     ``before`` and ``after`` hold the pages on either side, nearest first. A page that shares all that could be
     content is a copy. What the least similar page around shares is taken as the template; a page that shares
     ``NEAR_COPY`` of the remaining characters besides is a near copy of the body and says nothing about the template.
+    If even the least similar page shares ``NEAR_COPY`` of all content, as within a run of near copies, nothing
+    tells body and template apart, and no line goes.
     """
     content = [i for i, zone in enumerate(page["zone"].tolist()) if zone != BOILERPLATE]
     lines, sizes = page["hash"].tolist(), page["size"].tolist()
@@ -243,6 +271,8 @@ def template_lines(page: np.ndarray, before: list[np.ndarray], after: list[np.nd
     if not around:
         return set()
     least = min(around, key=lambda common: sum(sizes[i] for i in common))
+    if sum(sizes[i] for i in least) >= NEAR_COPY * sum(sizes[i] for i in content):
+        return set()
     rest = [i for i in content if i not in least]
     size = sum(sizes[i] for i in rest)
     out: set[int] = set()
@@ -321,7 +351,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     NULL or empty html gives the empty text. Pages without a URL or host have no neighbours. Copies within a host
     are one page, have one text and do not delete each other; near copies do not delete each other's
-    body unless all pages around are near copies. Cut-off markup ends where the
+    body, however many stand side by side: within a long run their template stays with it. Cut-off markup ends where the
     page ends. Other columns are ignored. An empty table gives no rows.
     """
     address = "(?i)^[a-z][a-z0-9+.-]*://([^/?#]+)([^?#]*)"

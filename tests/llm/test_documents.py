@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -417,3 +419,47 @@ def test_held_out_is_the_crc_of_the_id(spark):
     rows = spark.range(200).select("id", toxicity.held_out(F.col("id"), 5, 0).alias("out")).collect()
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
     assert re.fullmatch(r"\d+", str(rows[0].id))
+
+
+def test_numbers_are_no_letters(spark):
+    for text in ("½ ²", "Ⅷ ③ 一百"[:3], "12 ٣ _", "५५", ""):
+        assert len(language.grams(text)) == 0, text
+    assert len(language.grams("½ x")) == len(language.grams("x")) > 0
+
+
+def test_a_language_with_one_row_is_learned_and_ties_go_by_name(spark):
+    rng = random.Random(17)
+    rows = [(i, sentence(rng, 30), "xx", "a") for i in range(40)]
+    alone = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 4 != 2][:30]
+    rare = "ωωψ φφχ ξξθ λλπ σσδ"
+    for i in alone:
+        docs = table(spark, [*rows, (i, rare, "gr", "a")]).select("doc_id", "text", "lang")
+        if i == alone[0]:
+            assert {r.doc_id: r.lang_pred for r in language.identify(docs).collect()}[i] == "gr"
+        drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(66)), F.lit(language._CHECK_SHARE)) == 0)
+        if not drawn.where("lang = 'gr'").isEmpty():
+            break
+    assert "gr" in language.fit(docs).languages
+    same = table(spark, [(i, "la la", "bb" if i % 2 else "aa", "a") for i in range(20)])
+    model = language.fit(same.select("doc_id", "text", "lang"))
+    first = model.predict("la la")
+    assert first == model.predict("la la") and first[0] in ("aa", "bb")
+
+
+def slow_prediction(model, text):
+    """Counts, margins and loss-weighted decoding one by one."""
+    weight = [sum(float(model.weights[g, b]) for g in language.grams(text).tolist()) for b in range(model.code.shape[1])]
+    n = len(language.grams(text))
+    margins = [w / n + bias for w, bias in zip(weight, model.bias)]
+    losses = [
+        sum(t * math.log1p(math.exp(-model.sharpness * c * m)) for t, c, m in zip(model.trust, code, margins))
+        for code in model.code.tolist()
+    ]
+    return model.languages[losses.index(min(losses))]
+
+
+def test_decoding_matches_a_slow_one(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs)
+    rows = docs.where("length(text) < 3000").limit(60).collect()
+    assert [model.predict(r.text)[0] for r in rows] == [slow_prediction(model, r.text) if len(language.grams(r.text)) else "und" for r in rows]

@@ -196,3 +196,30 @@ def test_odd_vectors(spark):
         assert (n, c) == ((linked[i], 1) if i in linked else (0, i))
         assert kept == (i is None or i == c)
     assert embeddings.near_embeddings(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("copies", [20, 200])
+def test_runs_of_near_copies_keep_every_body(spark, copies):
+    """Variants of one page that differ in a line, at every place of a block, before pages of another kind."""
+    body = "".join(f"<p>Paragraph {i} of the description that all variants share word for word.</p>" for i in range(6))
+    menu = "<div>Home of the shop</div>"
+    variant = [f"<body>{menu}{body}<p>Variant number {n}</p></body>" for n in range(copies)]
+    other = [f"<body>{menu}<p>Some entirely different page about topic {n} and its own long story.</p></body>" for n in range(3)]
+    before = [f"<body>{menu}<p>Earlier page {n} with a text that is only its own, quite long.</p></body>" for n in range(pages.PAGES_IN_BLOCK - copies // 2)]
+    rows = [(i, f"http://shop.example/{kind}/{i:04d}", html) for kind, part in (("a", before), ("b", variant), ("c", other)) for i, html in enumerate(part)]
+    table = spark.createDataFrame([(n, *r[1:]) for n, r in enumerate(rows)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract_pages(table).collect()}
+    for n in range(len(before), len(before) + copies):
+        assert got[n].count("of the description that all variants share") == 6 and f"Variant number {n - len(before)}" in got[n]
+    for n in range(len(before) + copies, len(rows)):
+        assert "entirely different page" in got[n]
+
+
+def test_names_inside_an_article_drop_nothing_of_it():
+    page = (
+        '<article><h2 id="cookies">On biscuits</h2><section id="market-share"><p>Shares rose.</p></section><p class="popup-books">Pop-ups.</p>'
+        "<p>Let <math><mi>a</mi><mo>=</mo><msup><mi>b</mi><mn>2</mn></msup><annotation>a=b^2</annotation></math> hold.</p>"
+        '<div class="comment-list"><p>First!</p></div><div id="comments"><p>Second!</p></div><div class="ad-slot"><p>Buy</p></div>'
+        '<p class="ad">Sale</p><div class="share">Share this</div><p hidden>Secret</p><p>The end.</p></article>'
+    )
+    assert pages.main_text(pages.lines_of(page), set()) == "On biscuits\nShares rose.\nPop-ups.\nLet a=b2 hold.\nThe end."
