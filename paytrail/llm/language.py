@@ -28,15 +28,26 @@ AMBIGUOUS_BELOW = 0.6
 _SMOOTHING = 0.5
 _EXHAUSTIVE = 7  # up to so many languages every split into two groups is a bit
 _CHARS = 1 << 19
-# Letters are what Unicode calls so: numbers such as a half, a superscript two or Roman numerals are none.
-_NO_LETTERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
-_OTHER = re.compile(rf"[\W_{_NO_LETTERS}]+")
+_OTHER = re.compile(r"[\W\d_]+")
 _FACTORS = np.random.default_rng(6).integers(1, 1 << 62, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def _letters(text: str) -> str:
+    """The runs of letters of a text, one space between them.
+
+    Letters are what Unicode calls so; numbers such as a half, a superscript two or Roman numerals pass for word
+    characters in patterns, but are none.
+    """
+    runs = _OTHER.sub(" ", text)
+    if not runs.replace(" ", "").isalpha():
+        runs = "".join(c if c.isalpha() else " " for c in runs)
+        runs = " ".join(runs.split())
+    return runs.strip()
+
+
 def grams(text: str | None) -> np.ndarray:
     """Hash buckets of all 1- to 3-grams of the letters of a text, words parted by one space."""
-    letters = _OTHER.sub(" ", text.lower()).strip() if text else ""
+    letters = _letters(text.lower()) if text else ""
     if not letters:
         return np.empty(0, dtype=np.int64)
     code = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
