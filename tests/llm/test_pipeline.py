@@ -17,7 +17,7 @@ def test_query_matches_sql(spark, sf, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_take_effect_and_keep_columns(spark, sf):
