@@ -107,7 +107,7 @@ def tier_as_of(
 def lookup_rate(
     rows: DataFrame,
     plans: DataFrame,
-    kind: str,
+    kind: str | None,
     tier: str,
     at: str,
     fallback: Column,
@@ -115,15 +115,19 @@ def lookup_rate(
     traffic: DataFrame | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Attach the plan rate for product, tier and type on a day; none or zero falls back."""
-    card = plans.where(F.col("transaction_type") == kind).select(
-        "product_id",
+    """Attach the plan rate for product, tier and type on a day; none or zero falls back.
+
+    Without a ``kind`` each row is rated by its own transaction_type.
+    """
+    keys = ["product_id", tier] if kind else ["product_id", tier, "transaction_type"]
+    card = (plans.where(F.col("transaction_type") == kind) if kind else plans).select(
         F.col("agent_tier").alias(tier),
+        *[k for k in keys if k != tier],
         "effective_start_date",
         "effective_end_date",
         F.col("commission_rate").alias("_plan_rate"),
     )
-    found = as_of_join(rows, card, ["product_id", tier], at, traffic=traffic, limit=limit)
+    found = as_of_join(rows, card, keys, at, traffic=traffic, limit=limit)
     planned = F.when(F.col("_plan_rate") != 0, F.col("_plan_rate"))
     return found.withColumn(name, rate(F.coalesce(planned, fallback))).drop("_plan_rate")
 
@@ -198,17 +202,24 @@ def calc_chargebacks(priced: DataFrame, window_days: int = CHARGEBACK_WINDOW_DAY
     )
 
 
+def _renewals_due(end_date: Column) -> Column:
+    """How often a policy is renewed up to the end date, or NULL without an issue date."""
+    years = F.floor(F.datediff(end_date, F.col("issue_date")) / PLAN_YEAR_DAYS)
+    return F.when(F.col("issue_date").isNotNull(), F.least(F.col("num_renewals").cast("bigint"), years))
+
+
+def _is_renewed() -> Column:
+    return (F.col("policy_status") == "Renewed") & (F.col("num_renewals") >= 1)
+
+
 def renewal_dates(policies: DataFrame, end_date: Column) -> DataFrame:
     """One row per renewal of a renewed policy: every 365 days up to the end date.
 
     The end date bounds the renewals of a policy, whatever number it states.
     """
-    years = F.floor(F.datediff(end_date, F.col("issue_date")) / PLAN_YEAR_DAYS)
-    last = F.when(F.col("issue_date").isNotNull(), F.least(F.col("num_renewals").cast("bigint"), years))
+    last = _renewals_due(end_date)
     due = F.when(last >= 1, F.sequence(F.lit(1), last.cast("int")))
-    expanded = policies.where(
-        (F.col("policy_status") == "Renewed") & (F.col("num_renewals") >= 1)
-    ).withColumn("renewal_number", F.explode(due))
+    expanded = policies.where(_is_renewed()).withColumn("renewal_number", F.explode(due))
     on = F.date_add("issue_date", F.col("renewal_number") * PLAN_YEAR_DAYS)
     return expanded.withColumn("renewal_date", on).where(F.col("renewal_date") <= end_date)
 
@@ -222,10 +233,11 @@ def calc_renewals(
 ) -> DataFrame:
     """Renewal transactions at the tier and plan in force on each renewal date.
 
-    Frequent agents and products are looked up in the policies, to price only once.
+    Frequent agents and products are looked up in the renewals of ``policies``, to price only once.
     """
     due = renewal_dates(priced, end_date)
-    tiered = tier_as_of(due, tiers, "renewal_date", "_tier", traffic=policies).withColumn(
+    traffic = renewal_dates(policies, end_date)
+    tiered = tier_as_of(due, tiers, "renewal_date", "_tier", traffic=traffic).withColumn(
         "tier_at_renewal", F.coalesce("_tier", "tier_at_issue")
     )
     rated = lookup_rate(
@@ -236,7 +248,7 @@ def calc_renewals(
         "renewal_date",
         F.col("base_commission_rate") * F.lit(RENEWAL_RATIO),
         "renewal_rate",
-        traffic=policies,
+        traffic=traffic,
     )
     return rated.select(
         _transaction_id("RN", "policy_id", "renewal_number").alias("transaction_id"),
@@ -251,6 +263,110 @@ def calc_renewals(
     )
 
 
+def sale_events(policies: DataFrame, end_date: Column) -> DataFrame:
+    """One row per commission event of a payable policy: its issue (number 0) and each renewal due.
+
+    Adds event_number, transaction_date and transaction_type. A policy without a premium has no event;
+    one without an issue date keeps its issue, undated.
+    """
+    due = F.when(_is_renewed(), _renewals_due(end_date))
+    last = F.greatest(F.coalesce(due, F.lit(0)), F.lit(0)).cast("int")
+    events = policies.where(F.col("annual_premium").isNotNull()).withColumn(
+        "event_number", F.explode(F.sequence(F.lit(0), last))
+    )
+    kind = F.when(F.col("event_number") == 0, F.lit(NEW_BUSINESS)).otherwise(F.lit(RENEWAL))
+    on = F.date_add("issue_date", F.col("event_number") * PLAN_YEAR_DAYS)
+    return events.withColumns({"transaction_date": on, "transaction_type": kind})
+
+
+def calc_sales(
+    policies: DataFrame,
+    tiers: DataFrame,
+    plans: DataFrame,
+    products: DataFrame,
+    end_date: Column,
+    limit: int | None = None,
+) -> DataFrame:
+    """New-business and renewal transactions in one pass: policies are priced and rated once.
+
+    Equals ``calc_new_business`` and ``calc_renewals`` of the priced policies, appended. The tier at
+    issue is found per policy; then the policy's events are exploded, renewals look up the tier of
+    their own day, and all events meet the rate card in one join on product, tier and type. Both tier
+    lookups share the periods. Frequent keys are counted on the events, as joined.
+    """
+    payable = policies.where(F.col("annual_premium").isNotNull())
+    events = sale_events(policies, end_date)
+    base = products.select("product_id", "base_commission_rate")
+    based = skew_join(payable, base, ["product_id"], traffic=payable, limit=limit)
+    issued = tier_as_of(based, tiers, "issue_date", "_tier", traffic=payable, limit=limit).withColumn(
+        "tier_at_issue", F.coalesce("_tier", F.lit(DEFAULT_TIER))
+    ).drop("_tier")
+    renewed_on = F.when(F.col("event_number") > 0, F.col("transaction_date"))
+    due = sale_events(issued, end_date).withColumn("_renewed_on", renewed_on)
+    tiered = tier_as_of(due, tiers, "_renewed_on", "_tier", traffic=events, limit=limit).withColumn(
+        "agent_tier", F.coalesce("_tier", "tier_at_issue")
+    )
+    is_new = F.col("event_number") == 0
+    share = F.when(is_new, F.lit(Decimal("1.0"))).otherwise(F.lit(RENEWAL_RATIO))
+    rated = lookup_rate(
+        tiered,
+        plans,
+        None,
+        "agent_tier",
+        "transaction_date",
+        F.col("base_commission_rate") * share,
+        "commission_rate",
+        traffic=events,
+        limit=limit,
+    )
+    new_id, renewal_id = _transaction_id("NB", "policy_id"), _transaction_id("RN", "policy_id", "event_number")
+    return rated.select(
+        F.when(is_new, new_id).otherwise(renewal_id).alias("transaction_id"),
+        "policy_id",
+        "agent_id",
+        "product_id",
+        "transaction_type",
+        "transaction_date",
+        money("annual_premium").alias("premium_amount"),
+        "commission_rate",
+        cents(money("annual_premium") * F.col("commission_rate")).alias("commission_amount"),
+    )
+
+
+def with_overrides(
+    transactions: DataFrame,
+    agents: DataFrame,
+    traffic: DataFrame | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """All transactions and the overrides that follow from them, in one pass over the transactions.
+
+    Each row meets its seller's upline once and writes itself and, if there is an upline and the
+    row is new business or a renewal, the override beside it: nothing is computed or read twice.
+    """
+    uplines = agents.where(F.col("upline_agent_id").isNotNull()).select("agent_id", "upline_agent_id")
+    sold = skew_join(transactions, uplines, ["agent_id"], traffic=traffic, limit=limit)
+    override = _override_of_row()
+    sale = {**{c: F.col(c) for c in TRANSACTION_COLUMNS}, "transaction_id": F.col("transaction_id").cast("string")}
+    pays = F.col("upline_agent_id").isNotNull() & F.col("transaction_type").isin(NEW_BUSINESS, RENEWAL)
+    own, above = (F.struct(*[row[c].alias(c) for c in TRANSACTION_COLUMNS]) for row in (sale, override))
+    rows = F.when(pays, F.array(own, above)).otherwise(F.array(own))
+    return sold.select(F.inline(rows))
+
+
+def _override_of_row() -> dict[str, Column]:
+    """The columns of the override that a sold row brings its upline."""
+    kept = {c: F.col(c) for c in ("policy_id", "product_id", "transaction_date", "premium_amount")}
+    return {
+        **kept,
+        "transaction_id": F.concat(F.lit("OV-"), F.col("transaction_id").cast("string")),
+        "agent_id": F.col("upline_agent_id"),
+        "transaction_type": F.lit(OVERRIDE),
+        "commission_rate": rate(F.lit(OVERRIDE_RATE)),
+        "commission_amount": cents(F.col("commission_amount") * F.lit(OVERRIDE_RATE)),
+    }
+
+
 def calc_overrides(
     transactions: DataFrame,
     agents: DataFrame,
@@ -261,17 +377,8 @@ def calc_overrides(
     uplines = agents.where(F.col("upline_agent_id").isNotNull()).select("agent_id", "upline_agent_id")
     base = transactions.where(F.col("transaction_type").isin(NEW_BUSINESS, RENEWAL))
     sold = skew_join(base, uplines, ["agent_id"], "inner", traffic=traffic, limit=limit)
-    return sold.select(
-        F.concat(F.lit("OV-"), F.col("transaction_id").cast("string")).alias("transaction_id"),
-        "policy_id",
-        F.col("upline_agent_id").alias("agent_id"),
-        "product_id",
-        F.lit(OVERRIDE).alias("transaction_type"),
-        "transaction_date",
-        "premium_amount",
-        rate(F.lit(OVERRIDE_RATE)).alias("commission_rate"),
-        cents(F.col("commission_amount") * F.lit(OVERRIDE_RATE)).alias("commission_amount"),
-    )
+    override = _override_of_row()
+    return sold.select(*[override[c].alias(c) for c in TRANSACTION_COLUMNS])
 
 
 def calc_payment_run(transactions: DataFrame, chargebacks: DataFrame) -> DataFrame:

@@ -156,6 +156,13 @@ _PIECES = {
                annual_premium AS premium_amount, renewal_rate AS commission_rate,
                CAST(round(annual_premium * renewal_rate, 2) AS DECIMAL(18,2)) AS commission_amount
         FROM renewed""",
+    "ov": """
+        SELECT 'OV-' || transaction_id AS transaction_id, policy_id, upline_agent_id AS agent_id,
+               product_id, 'Override' AS transaction_type, transaction_date, premium_amount,
+               CAST(0.10 AS DECIMAL(9,4)) AS commission_rate,
+               CAST(round(commission_amount * 0.10, 2) AS DECIMAL(18,2)) AS commission_amount
+        FROM (SELECT * FROM nb UNION ALL SELECT * FROM rn) AS sold
+        JOIN agent ON agent.agent_id = sold.agent_id AND upline_agent_id IS NOT NULL""",
     "tier_on_day": """
         SELECT agent_id, transaction_date,
                first(tier ORDER BY effective_start_date, effective_end_date NULLS LAST) AS tier
@@ -479,14 +486,10 @@ _BODIES = {
     "renewal_schedule": f"""
         SELECT policy_id, CAST(r AS BIGINT) AS renewal_number, {_day("renewal_date")} FROM schedule""",
     "renewal_commission": f"SELECT {_CALC} FROM rn",
-    "override_commission": f"""
-        SELECT {_CALC} FROM (
-            SELECT 'OV-' || transaction_id AS transaction_id, policy_id, upline_agent_id AS agent_id,
-                   product_id, 'Override' AS transaction_type, transaction_date, premium_amount,
-                   CAST(0.10 AS DECIMAL(9,4)) AS commission_rate,
-                   CAST(round(commission_amount * 0.10, 2) AS DECIMAL(18,2)) AS commission_amount
-            FROM (SELECT * FROM nb UNION ALL SELECT * FROM rn) AS sold
-            JOIN agent ON agent.agent_id = sold.agent_id AND upline_agent_id IS NOT NULL)""",
+    "override_commission": f"SELECT {_CALC} FROM ov",
+    "all_commission": f"""
+        SELECT {_CALC} FROM (SELECT * FROM nb UNION ALL SELECT * FROM rn UNION ALL SELECT * FROM ov)""",
+    "sales_unbroadcast": f"SELECT {_CALC} FROM (SELECT * FROM nb UNION ALL SELECT * FROM rn)",
     "override_unbroadcast": """
         SELECT 'OV-' || transaction_id AS transaction_id, upline_agent_id AS agent_id,
                p_type AS product_id,

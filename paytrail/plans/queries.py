@@ -305,12 +305,30 @@ def renewal_commission(spark, sf_dir):
     return _renewals(spark, sf_dir, _priced(spark, sf_dir))
 
 
+def _sales(spark, sf_dir, limit=None):
+    """New business and renewals of the clean policies, and their events for the frequency of keys."""
+    policies, end = _policy_split(spark, sf_dir)[0], F.to_date(F.lit(w.LAST_RENEWAL))
+    lookups = w.tier_history(spark, sf_dir), w.plans(spark, sf_dir), w.products(spark, sf_dir)
+    return commission.calc_sales(policies, *lookups, end, limit), commission.sale_events(policies, end)
+
+
 @query
 def override_commission(spark, sf_dir):
-    priced = _priced(spark, sf_dir)
-    sold = commission.calc_new_business(priced).unionByName(_renewals(spark, sf_dir, priced))
-    policies = w.raw_policies(spark, sf_dir)
-    return commission.calc_overrides(sold, w.agents(spark, sf_dir), traffic=policies)
+    sold, events = _sales(spark, sf_dir)
+    return commission.calc_overrides(sold, w.agents(spark, sf_dir), traffic=events)
+
+
+@query
+def all_commission(spark, sf_dir):
+    """New business, renewals and overrides, each policy priced once and each upline met once."""
+    sold, events = _sales(spark, sf_dir)
+    return commission.with_overrides(sold, w.agents(spark, sf_dir), traffic=events)
+
+
+@query
+def sales_unbroadcast(spark, sf_dir):
+    """New business and renewals on the path for large tier and rate tables."""
+    return _sales(spark, sf_dir, limit=-1)[0]
 
 
 @query

@@ -162,3 +162,61 @@ def test_eligible_agents_and_sale_window(spark):
         "s": (d(2020, 1, 1), d(2021, 5, 1)),
         "x": (d(2020, 1, 1), d(2022, 1, 1)),  # an empty range too
     }
+
+
+@pytest.fixture(scope="module")
+def sold_policies(spark):
+    """Hot agent, uncovered days, no seller, no issue date, no premium, repeated rows and an unknown product."""
+    d = date
+    rows = [
+        (f"H{i}", "A1", "AUTO", d(2020, 1 + i % 12, 1), None, "100.00", "Renewed", i % 4) for i in range(12)
+    ] + [
+        ("G1", "A3", "HOME", d(2020, 2, 1), None, "1000.00", "Renewed", 2),  # tier ends before the renewals
+        ("G2", None, "HOME", d(2020, 2, 1), None, "1000.00", "Renewed", 1),
+        ("G3", "A2", "HOME", None, None, "1000.00", "Renewed", 1),
+        ("G4", "A2", "HOME", d(2020, 2, 1), None, None, "Renewed", 1),
+        ("G5", "A2", "BOAT", d(2020, 2, 1), None, "10.00", "Active", 3),
+        ("G6", "A2", None, d(2020, 2, 1), None, "10.00", None, None),
+        ("G7", "A2", "AUTO", d(2021, 2, 1), None, "10.00", "Renewed", -1),
+        ("G8", "A2", "AUTO", d(2021, 2, 1), None, "10.00", "Renewed", 5),
+        ("G8", "A2", "AUTO", d(2021, 2, 1), None, "10.00", "Renewed", 5),
+    ]
+    return policies(spark, *rows)
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_sales_in_one_pass_equal_both_kinds_appended(spark, sold_policies, tiers, plans, products, limit):
+    ended = spark.createDataFrame([("A3", "Platinum", date(2020, 1, 1), date(2020, 12, 31))], TIERS)
+    history, end = tiers.union(ended), END(F.lit("2023-01-01"))
+    priced = c.price_policies(sold_policies, history, plans, products)
+    apart = c.calc_new_business(priced).unionByName(c.calc_renewals(priced, sold_policies, history, plans, end))
+    got = c.calc_sales(sold_policies, history, plans, products, end, limit)
+    assert got.columns == c.TRANSACTION_COLUMNS
+    assert sorted(got.collect(), key=str) == sorted(apart.collect(), key=str)
+    late = {r["transaction_id"]: r["commission_rate"] for r in got.where("policy_id = 'G1'").collect()}
+    assert late["RN-G1-1"] == D("0.0995")  # still the tier at issue, by the second plan year
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_overrides_beside_their_sales(spark, limit):
+    agents = spark.createDataFrame(
+        [("A1", "A2"), ("A2", None), ("A9", "A1")], "agent_id string, upline_agent_id string"
+    )
+    on = date(2020, 1, 1)
+    rows = [
+        ("T1", "P1", "A1", "AUTO", "New Business", on, D("100.00"), D("0.1000"), D("10.05")),
+        ("T1", "P1", "A1", "AUTO", "New Business", on, D("100.00"), D("0.1000"), D("10.05")),
+        ("T2", "P1", "A1", None, "Renewal", None, D("100.00"), D("0.1000"), None),
+        ("T3", "P2", "A2", "AUTO", "Renewal", on, D("100.00"), D("0.1000"), D("-1.00")),
+        ("T4", "P3", None, "AUTO", "Renewal", on, D("100.00"), D("0.1000"), D("1.00")),
+        (None, "P3", "A9", "AUTO", "Override", on, D("100.00"), D("0.1000"), D("1.00")),
+        ("T6", "P3", "A9", "AUTO", None, on, D("100.00"), D("0.1000"), D("1.00")),
+    ]
+    kinds = "string, string, string, string, string, date, decimal(18,2), decimal(9,4), decimal(18,2)".split(", ")
+    sold = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(c.TRANSACTION_COLUMNS, kinds)))
+    want = sold.unionByName(c.calc_overrides(sold, agents))
+    got = c.with_overrides(sold, agents, limit=limit).collect()
+    assert sorted(got, key=str) == sorted(want.collect(), key=str)
+    assert [r["transaction_id"] for r in got if r["agent_id"] == "A2" and r["transaction_type"] == "Override"] == [
+        "OV-T1", "OV-T1", "OV-T2"
+    ]
