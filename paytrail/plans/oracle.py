@@ -268,6 +268,31 @@ _MONTHLY = """
     SELECT pay_period AS month, transaction_type, '0042' AS product_id, count(*) AS transactions,
            CAST(CAST(sum(commission_amount) AS DECIMAL(18,2)) AS DOUBLE) AS commission
     FROM txn GROUP BY pay_period, transaction_type"""
+_PAYMENT_RUN = """
+    SELECT pay_period, agency_id, agency_name, region, count(payment_id) AS num_payments,
+           CAST(CAST(sum(gross_commission) AS DECIMAL(18,2)) AS DOUBLE) AS total_gross_commission,
+           CAST(CAST(sum(chargeback_deductions) AS DECIMAL(18,2)) AS DOUBLE) AS total_chargeback_deductions,
+           CAST(CAST(sum(net_payment_amount) AS DECIMAL(18,2)) AS DOUBLE) AS total_net_paid,
+           CAST(sum(CASE WHEN payment_status = 'Held' THEN 1 ELSE 0 END) AS BIGINT) AS num_held,
+           CAST(sum(CASE WHEN payment_status = 'Failed' THEN 1 ELSE 0 END) AS BIGINT) AS num_failed
+    FROM pay LEFT JOIN now USING (agent_id) LEFT JOIN agency USING (agency_id)
+    GROUP BY pay_period, agency_id, agency_name, region"""
+
+_EXPOSURE = f"""
+    SELECT agent_id, agent_name, agency_id, tier, {_money("new_business_commission", "total_chargeback_amount")},
+           new_business_count, coalesce(k, 0) AS chargeback_count,
+           CASE WHEN new_business_commission > 0
+                THEN CAST(total_chargeback_amount AS DOUBLE) / CAST(new_business_commission AS DOUBLE)
+                ELSE 0.0 END AS chargeback_rate,
+           new_business_commission > 0 AND total_chargeback_amount > new_business_commission * 0.25 AS is_high_risk
+    FROM (SELECT agent_id, n AS new_business_commission, nk AS new_business_count, k,
+                 CAST(coalesce(c, 0) AS DECIMAL(18,2)) AS total_chargeback_amount
+          FROM (SELECT agent_id, CAST(sum(commission_amount) AS DECIMAL(18,2)) AS n, count(transaction_id) AS nk
+                FROM good WHERE transaction_type = 'New Business' GROUP BY agent_id)
+          LEFT JOIN (SELECT agent_id, sum(abs(chargeback_amount)) AS c, count(chargeback_id) AS k
+                     FROM cb GROUP BY agent_id) USING (agent_id))
+    LEFT JOIN now USING (agent_id)"""
+
 _LEADERBOARD = f"""
     SELECT agent_id, agent_name, agency_id, tier,
            {_money("trailing_12mo_gross_commission", "trailing_12mo_net_commission", "trailing_12mo_chargebacks")},
@@ -544,29 +569,16 @@ _BODIES = {
                {_money("new_business_commission", "renewal_commission", "override_commission",
                        "gross_commission", "chargeback_deductions", "net_commission")}
         FROM summary""",
-    "payment_run_summary": """
-        SELECT pay_period, agency_id, agency_name, region, count(payment_id) AS num_payments,
-               CAST(CAST(sum(gross_commission) AS DECIMAL(18,2)) AS DOUBLE) AS total_gross_commission,
-               CAST(CAST(sum(chargeback_deductions) AS DECIMAL(18,2)) AS DOUBLE) AS total_chargeback_deductions,
-               CAST(CAST(sum(net_payment_amount) AS DECIMAL(18,2)) AS DOUBLE) AS total_net_paid,
-               CAST(sum(CASE WHEN payment_status = 'Held' THEN 1 ELSE 0 END) AS BIGINT) AS num_held,
-               CAST(sum(CASE WHEN payment_status = 'Failed' THEN 1 ELSE 0 END) AS BIGINT) AS num_failed
-        FROM pay LEFT JOIN now USING (agent_id) LEFT JOIN agency USING (agency_id)
-        GROUP BY pay_period, agency_id, agency_name, region""",
-    "chargeback_exposure": f"""
-        SELECT agent_id, agent_name, agency_id, tier, {_money("new_business_commission", "total_chargeback_amount")},
-               new_business_count, coalesce(k, 0) AS chargeback_count,
-               CASE WHEN new_business_commission > 0
-                    THEN CAST(total_chargeback_amount AS DOUBLE) / CAST(new_business_commission AS DOUBLE)
-                    ELSE 0.0 END AS chargeback_rate,
-               new_business_commission > 0 AND total_chargeback_amount > new_business_commission * 0.25 AS is_high_risk
-        FROM (SELECT agent_id, n AS new_business_commission, nk AS new_business_count, k,
-                     CAST(coalesce(c, 0) AS DECIMAL(18,2)) AS total_chargeback_amount
-              FROM (SELECT agent_id, CAST(sum(commission_amount) AS DECIMAL(18,2)) AS n, count(transaction_id) AS nk
-                    FROM good WHERE transaction_type = 'New Business' GROUP BY agent_id)
-              LEFT JOIN (SELECT agent_id, sum(abs(chargeback_amount)) AS c, count(chargeback_id) AS k
-                         FROM cb GROUP BY agent_id) USING (agent_id))
-        LEFT JOIN now USING (agent_id)""",
+    "payment_run_summary": _PAYMENT_RUN,
+    "chargeback_exposure": _EXPOSURE,
+    "stored_payment_run": f"""
+        SELECT row_number() OVER (ORDER BY pay_period NULLS FIRST, agency_id NULLS FIRST) AS place,
+               pay_period, agency_id, total_net_paid, true AS in_order
+        FROM ({_PAYMENT_RUN})""",
+    "stored_exposure": f"""
+        SELECT row_number() OVER (ORDER BY chargeback_rate DESC NULLS LAST, agent_id NULLS FIRST) AS place,
+               agent_id, chargeback_rate, true AS in_order
+        FROM ({_EXPOSURE})""",
     "agent_leaderboard": _LEADERBOARD,
     "agent_leaderboard_distributed": _LEADERBOARD,
     "reconciliation_report": _RECON,

@@ -71,11 +71,11 @@ def run_gold(
     silver = _reader(spark, silver_dir, fmt, database)
     gold = _reader(spark, gold_dir, fmt, database)
 
-    def publish(name: str, mart: DataFrame, *folders: str) -> DataFrame:
+    def publish(name: str, mart: DataFrame, *folders: str, order_by: list[str] | None = None) -> DataFrame:
         if database:
-            publish_table(mart, f"{database}.{name}", f"{gold_dir}/{name}", list(folders))
+            publish_table(mart, f"{database}.{name}", f"{gold_dir}/{name}", list(folders), order_by=order_by)
         else:
-            write_table(mart, f"{gold_dir}/{name}", partition_by=list(folders), fmt=fmt)
+            write_table(mart, f"{gold_dir}/{name}", partition_by=list(folders), fmt=fmt, order_by=order_by)
         return gold(name).select(*mart.columns)
 
     transactions, chargebacks = silver("fact_commission_transactions"), silver("fact_chargebacks")
@@ -90,6 +90,7 @@ def run_gold(
         "payment_run_summary",
         marts.payment_run_summary(payments, agents, silver("dim_agency")),
         "pay_period",
+        order_by=["agency_id"],
     )
     publish("chargeback_exposure", marts.chargeback_exposure(transactions, chargebacks, agents))
     publish("agent_leaderboard", marts.agent_leaderboard(summary))

@@ -515,6 +515,25 @@ def chargeback_exposure(spark, sf_dir):
     )
 
 
+@query
+def stored_payment_run(spark, sf_dir):
+    """The payment run in folders by period, each row with its place in the order and whether the files keep it."""
+    path = scratch_path(spark, "stored-payment-run")
+    order = [F.col("pay_period").asc(), F.col("agency_id").asc()]
+    tables.write_numbered(payment_run_summary(spark, sf_dir), path, order, partition_by=["pay_period"])
+    stored = tables.read_stored_order(spark, path, partition_by=["pay_period"])
+    return stored.select("place", "pay_period", "agency_id", "total_net_paid", "in_order")
+
+
+@query
+def stored_exposure(spark, sf_dir):
+    """Agents by their share of clawed-back business, largest first, as they lie in the files."""
+    path = scratch_path(spark, "stored-exposure")
+    order = [F.col("chargeback_rate").desc(), F.col("agent_id").asc()]
+    tables.write_numbered(chargeback_exposure(spark, sf_dir), path, order)
+    return tables.read_stored_order(spark, path).select("place", "agent_id", "chargeback_rate", "in_order")
+
+
 @query
 def agent_leaderboard(spark, sf_dir):
     """Ranked from a stored summary, as in the pipeline."""

@@ -7,15 +7,18 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paytrail.operators.history import reject_duplicate_keys, scd2_merge, upsert
+from paytrail.operators.numbering import number_rows
 from paytrail.session import materialized
 
 #: The folder column of a merge-maintained table, and how many folders it has unless the caller says.
 BUCKET = "_bucket"
 BUCKETS = 64
+#: Fixed value: the name Spark gives the folder of rows whose folder column is NULL or empty.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -38,12 +41,16 @@ def write_table(
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
     balanced: bool = True,
+    order_by: list[Column | str] | None = None,
 ) -> None:
     """Write a table; a partitioned one is rebalanced by folder first, hot folders split.
 
-    Rebalancing is a shuffle: rows that already lie together by folder do without.
+    Rebalancing is a shuffle: rows that already lie together by folder do without. With ``order_by`` the rows of
+    each folder (of the table, if it has none) are sorted across its files, in the order of their names, and within each.
     """
-    if partition_by and balanced:
+    if order_by:
+        df = in_order(df, order_by, partition_by or [])
+    elif partition_by and balanced:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta" and mode == "overwrite":
@@ -53,8 +60,54 @@ def write_table(
     writer.save(path)
 
 
+def in_order(df: DataFrame, order_by: list[Column | str], partition_by: list[str]) -> DataFrame:
+    """Rows in ranges of folder and order, sorted within each, so that a write keeps the order.
+
+    A folder of any size is cut into ranges of the order, and a range may end in the middle of
+    a day or a name: give an order that tells rows apart, as rows equal in all of it go to one task.
+    """
+    # The writer sorts again by folder alone, and loses the order within, if a text it names folders by may be NULL.
+    for name, kind in df.dtypes:
+        if name in partition_by and kind == "string":
+            known = F.nullif(F.col(name), F.lit(""))
+            df = df.withColumn(name, F.coalesce(known, F.lit(NULL_FOLDER)))
+    order = [*map(F.col, partition_by), *[F.col(c) if isinstance(c, str) else c for c in order_by]]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_numbered(
+    df: DataFrame, path: str, order_by: list[Column], place: str = "place", partition_by: list[str] | None = None
+) -> None:
+    """Write a Parquet table in order, each row with its place (from 1) in the order of the whole table.
+
+    A reader may open files in any order; the place tells it the order without a comparison of the keys,
+    and a range of places prunes row groups.
+    """
+    write_table(number_rows(df, order_by, place), path, partition_by=partition_by, order_by=[place])
+
+
+def read_stored_order(spark: SparkSession, path: str, place: str = "place", partition_by: list[str] | None = None) -> DataFrame:
+    """The rows of a numbered table and ``in_order``: whether each follows the row before it in its folder's files.
+
+    A row is compared with the row above it in its file, the first of a file with the last of the file before.
+    """
+    rows = read_table(spark, path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy(*(partition_by or []), "_file").agg(F.max_by(place, "_row").alias("_end"))
+    one_after_another = Window.partitionBy(*(partition_by or [])).orderBy("_file")
+    ends = files.select("_file", F.lag("_end").over(one_after_another).alias("_end_before"))
+    above = F.lag(place).over(Window.partitionBy("_file").orderBy("_row"))
+    followed = rows.withColumn("_above", above).join(ends, "_file")
+    before = F.coalesce("_above", "_end_before")
+    return followed.select(*[c for c in rows.columns if c not in ("_file", "_row")], (before.isNull() | (before < F.col(place))).alias("in_order"))
+
+
 def publish_table(
-    df: DataFrame, name: str, folder: str, partition_by: list[str] | None = None, balanced: bool = True
+    df: DataFrame,
+    name: str,
+    folder: str,
+    partition_by: list[str] | None = None,
+    balanced: bool = True,
+    order_by: list[Column | str] | None = None,
 ) -> None:
     """Write a table to a fresh folder, then move its readers there by the catalog in one step.
 
@@ -63,7 +116,7 @@ def publish_table(
     their owner removes them. Folder columns keep their types.
     """
     fresh = f"{folder}/{uuid.uuid4().hex}"
-    write_table(df, fresh, partition_by=partition_by, balanced=balanced)
+    write_table(df, fresh, partition_by=partition_by, balanced=balanced, order_by=order_by)
     columns = ", ".join(f"CAST(`{c}` AS {kind}) AS `{c}`" if c in (partition_by or ()) else f"`{c}`" for c, kind in df.dtypes)
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{fresh}`")
 

@@ -1,0 +1,52 @@
+"""Order that reaches the files of a table."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from paytrail.sources import tables
+
+
+@pytest.fixture
+def many_files(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """A folder with most rows, a NULL and an empty folder, and scores with ties and NULLs."""
+    folder = F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, "").when(F.col("id") % 10 == 8, "cold")
+    score = F.when(F.col("id") % 11 > 0, (F.col("id") * 7919) % 100)
+    return spark.range(5000).select("id", folder.alias("folder"), score.alias("score")).repartition(5)
+
+
+def test_places_and_files_follow_the_order(spark, rows, tmp_path, many_files):
+    order = [F.col("score").desc(), F.col("id").asc()]
+    tables.write_numbered(rows, f"{tmp_path}/t", order, partition_by=["folder"])
+    stored = tables.read_stored_order(spark, f"{tmp_path}/t", partition_by=["folder"])
+    got = stored.orderBy("place").collect()
+    want = sorted(rows.collect(), key=lambda r: (r["score"] is None, -(r["score"] or 0), r["id"]))
+    assert [r["id"] for r in got] == [r["id"] for r in want]
+    assert [r["place"] for r in got] == list(range(1, 5001))
+    assert [r["folder"] for r in got] == [r["folder"] or None for r in want]
+    assert all(r["in_order"] for r in got)
+    assert len(list(tmp_path.glob("t/folder=hot/*.parquet"))) > 1  # a hot folder is cut into ranges
+
+
+def test_files_in_another_order_are_noticed(spark, rows, tmp_path):
+    placed = rows.withColumn("place", F.col("id"))
+    tables.write_table(placed, f"{tmp_path}/t", partition_by=["folder"], order_by=["score", "id"])
+    assert not tables.read_stored_order(spark, f"{tmp_path}/t", partition_by=["folder"]).agg(F.every("in_order")).first()[0]
+
+
+def test_a_partitioned_write_sorts_once(rows):
+    ordered = tables.in_order(rows.orderBy("id"), ["score"], ["folder"])
+    assert dict((f.name, f.nullable) for f in ordered.schema)["folder"] is False  # else the writer sorts again
+    plan = ordered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Sort [") == 1
+
+
+def test_an_empty_table_has_no_places(spark, rows, tmp_path):
+    tables.write_numbered(rows.where("false"), f"{tmp_path}/t", [F.col("id").asc()])
+    assert tables.read_stored_order(spark, f"{tmp_path}/t").collect() == []
