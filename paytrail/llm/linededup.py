@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paytrail.session import materialized
+
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_CHARS = 40
 MIN_DOCS = 5
+#: A line held by more than 1/HOT_LIMIT of all (document, line) rows is cut into slices.
+HOT_LIMIT = 10_000
 
 
 def line_key(line: Column) -> Column:
@@ -30,7 +34,9 @@ def dedup_lines(
     A key of at least 40 code points found in at least ``min_docs`` documents loses all its lines
     except those of the largest id that holds it. Lines are exploded as 128-bit hashes, once per
     document; distinct documents are counted per hash, partially before each shuffle; only (id,
-    hash) pairs of frequent lines meet their documents again, so texts are shuffled once.
+    hash) pairs of frequent lines meet their documents again, so texts are shuffled once. Hashes are stored, as
+    they are read twice. Lines of very many documents, fewer than ``HOT_LIMIT`` by counting alone, meet
+    their documents in slices.
 
     NULL or empty texts are one empty line. Rows that repeat an id are one document for the count
     and for the largest id, and each loses its own lines. Rows without an id count as no document
@@ -41,14 +47,22 @@ def dedup_lines(
     held = docs.where("doc_id IS NOT NULL").select(
         "doc_id", F.explode(F.array_distinct(F.transform(lines, line_hash))).alias("line")
     ).where("line IS NOT NULL")
-    frequent = (
+    held = materialized(held, "line-hashes")
+    frequent = materialized(
         held.groupBy("line")
         .agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper"))
-        .where(F.col("docs") >= min_docs)
-        .select("line", "keeper")
+        .where(F.col("docs") >= min_docs),
+        "frequent-lines",
     )
+    share = F.lit(held.count() // HOT_LIMIT + 1)
+    slices = F.ceil(F.col("docs") / share)
+    first = F.lit(0).cast("bigint")
+    hot = F.broadcast(frequent.where(F.col("docs") > share).select("line", slices.alias("slices")))
+    own_slice = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("slices")), first)
+    sliced = held.join(hot, "line", "left").select("doc_id", "line", own_slice.alias("slice"))
+    keepers = frequent.select("line", "keeper", F.explode(F.sequence(first, slices - 1)).alias("slice"))
     dropped = (
-        held.join(frequent, "line")
+        sliced.join(keepers, ["line", "slice"])
         .where("doc_id < keeper")
         .groupBy("doc_id")
         .agg(F.collect_set("line").alias("dropped"))
