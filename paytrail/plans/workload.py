@@ -31,15 +31,16 @@ PRODUCT_RATES = {
 }
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its footer is read once, later scans declare the schema."""
+    """A driver table; its footer is read once an application, later scans declare the schema."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    known = spark.sparkContext.applicationId, path
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def _date(text: str) -> Column:
