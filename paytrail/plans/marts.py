@@ -21,6 +21,10 @@ from paytrail.operators.numbering import global_rank
 
 PERIOD_KEY = ["agent_id", "pay_period"]
 
+# What a period of the reconciliation can be, as its readers expect it.
+PAID_ONLY, CALCULATED_ONLY = "PAID_WITHOUT_CALCULATION", "CALCULATED_BUT_NOT_PAID"
+BREAK, MATCHED = "BREAK", "MATCHED"
+
 
 def _zero() -> Column:
     return F.lit(0).cast("decimal(18,2)")
@@ -192,10 +196,10 @@ def reconciliation_report(
     calc, recorded = F.col("calculated_net_commission"), F.col("recorded_net_payment")
     variance = cents(F.coalesce(money(recorded), _zero()) - F.coalesce(money(calc), _zero()))
     status = (
-        F.when(calc.isNull(), "PAID_WITHOUT_CALCULATION")
-        .when(recorded.isNull(), "CALCULATED_BUT_NOT_PAID")
-        .when(F.abs("variance") > F.lit(BREAK_TOLERANCE), "BREAK")
-        .otherwise("MATCHED")
+        F.when(calc.isNull(), PAID_ONLY)
+        .when(recorded.isNull(), CALCULATED_ONLY)
+        .when(F.abs("variance") > F.lit(BREAK_TOLERANCE), BREAK)
+        .otherwise(MATCHED)
     )
     report = both.withColumn("variance", variance).withColumn("reconciliation_status", status).select(
         "agent_id",
@@ -213,7 +217,7 @@ def reconciliation_report(
 
 def reconciliation_headline(report: DataFrame) -> DataFrame:
     """Totals of a reconciliation: all, matched and broken periods."""
-    matched = F.count_if(F.col("reconciliation_status") == "MATCHED")
+    matched = F.count_if(F.col("reconciliation_status") == MATCHED)
     total = F.count(F.lit(1))
     return report.agg(
         matched.alias("matched_periods"),

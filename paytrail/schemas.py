@@ -7,6 +7,7 @@ nor joins depend on what a CSV reader would infer.
 MONEY = "decimal(18,2)"
 RATE = "decimal(9,4)"
 
+# Tables, column names and types of the extracts that sources deliver.
 REFERENCE_EXTRACTS = {
     "agencies": "agency_id string, agency_name string, agency_type string, region string",
     "agents": (
@@ -58,6 +59,7 @@ EXTRACT_DATE = {
     "payments": "payment_date",
 }
 
+# Columns of the quality log that readers of it rely on.
 QUALITY_LOG = (
     "table_name string, check_name string, description string, severity string, "
     "failing_rows bigint, total_rows bigint, passed boolean, run_timestamp string"
