@@ -309,6 +309,57 @@ _RECON = f"""
     SELECT agent_id, pay_period, agent_name, payment_status, reconciliation_status,
            {_money("calculated_net_commission", "recorded_net_payment", "variance")}
     FROM recon"""
+_LANDED = {
+    "agencies": "agency",
+    "agents": "agent",
+    "agent_tier_history": "tiers",
+    "products": "product",
+    "commission_plans": "plan",
+    "policies": "rawpol",
+    "commission_transactions": "txn",
+    "chargebacks": "cb",
+    "payments": "pay",
+}
+_STORED = {
+    "silver": {
+        "dim_agency": "agency",
+        "dim_agent": "dim",
+        "dim_product": "product",
+        "dim_commission_plan": "plan",
+        "dim_policy": "policy",
+        "fact_commission_transactions": "good",
+        "fact_chargebacks": "cb",
+        "fact_payments": "pay",
+    },
+    "quarantine": {
+        "dim_policy": "newest WHERE annual_premium IS NULL",
+        "fact_commission_transactions": "txn WHERE commission_amount <= 0 OR commission_amount IS NULL",
+        "fact_payments": "pay WHERE pay_period IS NULL",
+    },
+}
+
+
+def _staged_rows() -> str:
+    """Rows per layer and table; what gold holds is counted on the SQL of its marts."""
+    gold = {
+        "agent_commission_summary": "summary",
+        "payment_run_summary": f"({_PAYMENT_RUN})",
+        "chargeback_exposure": f"({_EXPOSURE})",
+        "agent_leaderboard": f"({_LEADERBOARD})",
+        "reconciliation_report": "recon",
+    }
+    landed = [
+        f"SELECT 'bronze' AS layer, '{name}' AS table_name, count(*) AS n_rows, count(*) AS landed FROM {source}"
+        for name, source in _LANDED.items()
+    ]
+    stored = [
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS n_rows, CAST(NULL AS BIGINT) AS landed FROM {source}"
+        for layer, tables in {**_STORED, "gold": gold}.items()
+        for name, source in tables.items()
+    ]
+    return " UNION ALL ".join(landed + stored)
+
+
 _TIER_AS_OF = f"""
     SELECT transaction_id, agent_id, {_day("transaction_date")}, tier
     FROM txn LEFT JOIN tier_on_day USING (agent_id, transaction_date)"""
@@ -583,6 +634,8 @@ _BODIES = {
     "agent_leaderboard_distributed": _LEADERBOARD,
     "reconciliation_report": _RECON,
     "reconciliation_unbroadcast": _RECON,
+    "staged_rows": _staged_rows(),
+    "staged_reconciliation": f"SELECT * REPLACE (CAST(agent_id AS VARCHAR) AS agent_id) FROM ({_RECON})",
     "reconciliation_headline": """
         SELECT count(*) FILTER (reconciliation_status = 'MATCHED') AS matched_periods,
                count(*) AS total_periods,

@@ -5,16 +5,16 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paytrail.config import TRANSACTION_TYPES
+from paytrail.config import Lake, TRANSACTION_TYPES
 from paytrail.functions import pay_period, published, stated_period
 from paytrail.operators import cleaning, commission, history, numbering, quality
 from paytrail.operators.joins import as_of_join
-from paytrail.plans import integrity, marts, silver
+from paytrail.plans import integrity, marts, pipeline, silver
 from paytrail.plans import workload as w
-from paytrail.schemas import MONTHLY_EXTRACTS
+from paytrail.schemas import MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
 from paytrail.session import materialized, scratch_path
 from paytrail.sources import extracts, tables
 from paytrail.streaming.ingest import ingest_new_files
@@ -732,3 +732,74 @@ def published_table(spark, sf_dir):
     tables.publish_table(orders.where("o_orderkey % 2 = 0"), name, folder, ["o_orderstatus"])
     tables.publish_table(orders, name, folder, ["o_orderstatus"])
     return spark.table(name)
+
+
+# --- all stages -----------------------------------------------------------------------
+
+
+_GOLD = ["agent_commission_summary", "payment_run_summary", "chargeback_exposure", "agent_leaderboard", "reconciliation_report"]
+
+
+def _as_extract(df, name):
+    """A frame in the declared columns of an extract; what it lacks is NULL."""
+    fields = [c.split() for c in {**REFERENCE_EXTRACTS, **MONTHLY_EXTRACTS}[name].split(", ")]
+    return df.select(
+        *[(F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c) for c, kind in fields]
+    )
+
+
+def _told_apart(df, key):
+    """Rows that share an id get ids of their own: a few line items share order and line number."""
+    copies = Window.partitionBy(key).orderBy(*[c for c in df.columns if c != key])
+    return df.withColumn(key, F.concat_ws("-", F.col(key).cast("string"), F.row_number().over(copies)))
+
+
+def _staged(spark, sf_dir):
+    """Export all tables as extracts, land them and run silver and gold; the lake and the rows landed per table."""
+    lake = Lake(scratch_path(spark, "lake"))
+    sources = {
+        "agencies": w.agencies(spark, sf_dir),
+        "agents": w.agents(spark, sf_dir),
+        "agent_tier_history": w.tier_history(spark, sf_dir),
+        "products": w.products(spark, sf_dir),
+        "commission_plans": w.plans(spark, sf_dir),
+        "policies": w.raw_policies(spark, sf_dir),
+        "commission_transactions": _told_apart(_extract_rows(spark, sf_dir), "transaction_id"),
+        "chargebacks": _told_apart(w.chargebacks(spark, sf_dir), "chargeback_id"),
+        "payments": w.payments(spark, sf_dir),
+    }
+    exported = {name: _as_extract(df, name) for name, df in sources.items()}
+    extracts.export_extracts(exported, lake.layer("raw"), "2001-12-31")
+    landed = extracts.ingest_all(spark, lake.layer("raw"), lake.layer("bronze"))
+    pipeline.run_silver(spark, lake.layer("bronze"), lake.layer("silver"))
+    pipeline.run_gold(spark, lake.layer("silver"), lake.layer("gold"))
+    return lake, landed
+
+
+@query
+def staged_rows(spark, sf_dir):
+    """Rows of every table of every layer after all stages; for bronze also as counted while landing."""
+    lake, landed = _staged(spark, sf_dir)
+    built = silver.silver_tables()
+    found = {
+        "bronze": list(landed),
+        "silver": [t.name for t in built],
+        "quarantine": [t.name for t in built if t.valid is not None],
+        "gold": _GOLD,
+    }
+
+    def rows(layer, name):
+        path = f"{lake.layer('silver')}/_quarantine/{name}" if layer == "quarantine" else lake.table(layer, name)
+        counted = F.lit(landed[name] if layer == "bronze" else None).cast("bigint")
+        return tables.read_table(spark, path).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows", counted.alias("landed")
+        )
+
+    return reduce(DataFrame.unionByName, [rows(layer, name) for layer, names in found.items() for name in names])
+
+
+@query
+def staged_reconciliation(spark, sf_dir):
+    """The reconciliation report as gold holds it after all stages."""
+    lake, _ = _staged(spark, sf_dir)
+    return tables.read_table(spark, lake.table("gold", "reconciliation_report"))
