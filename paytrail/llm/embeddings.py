@@ -28,6 +28,10 @@ WORDS = 256  # code words in a block, so 65,536 directions in a code
 MISS = 1e-9
 #: Shorter vectors are padded with zeros, which changes no angle: blocks of a few components have too few directions.
 MIN_DIMENSION = 16
+TOGETHER = 128  # vectors decoded at once
+#: Vectors of filters with more members than this (and than 16 times an even spread) are compared in blocks.
+CROWD = 256
+BLOCK = 1024
 _SEED = 20240202
 
 
@@ -66,64 +70,122 @@ def _setup(dimension: int) -> tuple[list[np.ndarray], list[tuple], float]:
     return _setups[dimension]
 
 
+def decode_all(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns and filters of unit vectors in columns: for each code all pairs of words whose direction one exceeds."""
+    units = np.pad(units, ((0, max(0, MIN_DIMENSION - len(units))), (0, 0)))
+    rotations, codes, threshold = _setup(len(units))
+    owners, filters = [], []
+    for first, rotation in enumerate(rotations):
+        turned = rotation @ units
+        for number in range(first, CODES, ROTATIONS):
+            a, b = _sums(turned, codes[number])
+            i, column = np.nonzero(a + b.max(axis=0) >= threshold)
+            at, j = np.nonzero(b.T[column] >= (threshold - a[i, column])[:, None])
+            owners.append(column[at])
+            filters.append((number * WORDS + i[at]) * WORDS + j)
+    return np.concatenate(owners), np.concatenate(filters)
+
+
 def decode(unit: np.ndarray) -> np.ndarray:
-    """The filters of one unit vector: for each code all pairs of words whose direction it exceeds."""
-    unit = np.pad(unit, (0, max(0, MIN_DIMENSION - len(unit))))
-    rotations, codes, threshold = _setup(len(unit))
-    turned = [rotation @ unit for rotation in rotations]
-    out = []
-    for number, code in enumerate(codes):
-        a, b = _sums(turned[number % ROTATIONS], code)
-        order = np.argsort(-b)
-        top = b[order]
-        for i in np.flatnonzero(a + top[0] >= threshold):
-            n = int(np.searchsorted(-top, a[i] - threshold, side="right"))
-            out.append((number * WORDS + i) * WORDS + order[:n])
-    return np.concatenate(out) if out else np.empty(0, dtype=np.int64)
+    """The filters of one unit vector."""
+    return decode_all(unit[:, None])[1]
 
 
 _setups: dict[int, tuple[list[np.ndarray], list[tuple], float]] = {}
 
 
 def _unit(vector) -> np.ndarray | None:
-    if vector is None or len(vector) == 0:
-        return None
-    v = np.array(vector, dtype=np.float64)  # NULL components become NaN
-    if not np.isfinite(v).all():
+    if vector is None or len(vector) == 0 or not np.isfinite(vector).all():
         return None
-    v = v / np.abs(v).max() if np.abs(v).max() > 0 else v
+    v = vector / np.abs(vector).max() if np.abs(vector).max() > 0 else vector
     norm = np.sqrt(v @ v)
     return v / norm if norm > 0 else None
 
 
+def _vectors(column: pa.ListArray) -> list[np.ndarray | None]:
+    values = column.values.to_numpy(zero_copy_only=False)  # NULL components become NaN
+    at = column.offsets.to_numpy()
+    nulls = column.is_null().to_numpy(zero_copy_only=False)
+    return [None if null else values[i:j] for null, i, j in zip(nulls, at, at[1:])]
+
+
 def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = []
-        for vector in batch.column("vector").to_pylist():
-            unit = _unit(vector)
-            keys.append(decode(unit) if unit is not None else np.empty(0, dtype=np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("label"), pa.array(keys, pa.list_(pa.int64()))], names=["id", "label", "filters"]
-        )
+        for at in range(0, batch.num_rows, TOGETHER):
+            part = batch.slice(at, TOGETHER)
+            units = [_unit(v) for v in _vectors(part.column("vector"))]
+            lengths = np.array([0 if u is None else len(u) for u in units])
+            for length in np.unique(lengths[lengths > 0]):
+                rows = np.flatnonzero(lengths == length)
+                owner, filters = decode_all(np.stack([units[r] for r in rows], axis=1))
+                owner = pa.array(rows[owner])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(owner), part.column("label").take(owner), pa.array(filters, pa.int64())],
+                    names=["id", "label", "filter"],
+                )
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = [_unit(v) is not None for v in batch.column("vector").to_pylist()]
+        good = [_unit(v) is not None for v in _vectors(batch.column("vector"))]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(good, pa.bool_())], names=[*batch.schema.names, "good"])
 
 
+def _cosine_of(x, y) -> float:
+    if len(x) != len(y):
+        return -2.0
+    x, y = np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)
+    x, y = x / np.abs(x).max(), y / np.abs(y).max()
+    return float(x @ y) / (float(np.sqrt(x @ x)) * float(np.sqrt(y @ y)))
+
+
 @F.pandas_udf(DoubleType())
 def _cosine(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(a, b):
-        if len(x) != len(y):
-            out.append(-2.0)
-            continue
-        x, y = np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)
-        x, y = x / np.abs(x).max(), y / np.abs(y).max()
-        out.append(float(x @ y) / (float(np.sqrt(x @ x)) * float(np.sqrt(y @ y))))
-    return pd.Series(out, dtype="float64")
+    return pd.Series([_cosine_of(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+def _linked(vectors: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which of the vectors link, as a matrix; products near the threshold are taken again one by one."""
+    out = np.zeros((len(vectors), len(vectors)), dtype=bool)
+    lengths = np.array([len(v) for v in vectors])
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        units = np.stack([_unit(vectors[r]) for r in rows])
+        cosines = units @ units.T
+        near = cosines >= similarity
+        for i, j in zip(*np.nonzero(np.abs(cosines - similarity) < 1e-9)):
+            near[i, j] = _cosine_of(vectors[rows[min(i, j)]], vectors[rows[max(i, j)]]) >= similarity
+        out[np.ix_(rows, rows)] = near
+    np.fill_diagonal(out, False)
+    return out
+
+
+def _compare_blocks(similarity: float):
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        reps, copies = rows["rep"].to_numpy(), rows["copies"].to_numpy()
+        near = _linked([np.asarray(v, dtype=np.float64) for v in rows["vector"]], similarity)
+        if rows["p"].iloc[0] != rows["q"].iloc[0]:  # links within a block are found where it meets itself
+            block = rows["block"].to_numpy()
+            near &= block[:, None] != block[None, :]
+        root, reached = reps.copy(), np.zeros(len(reps), dtype=bool)
+        for start in np.argsort(reps, kind="stable"):
+            front = np.full(0 if reached[start] else 1, start)
+            while len(front):
+                root[front], reached[front] = reps[start], True
+                front = np.flatnonzero(near[front].any(axis=0) & ~reached)
+        others = near @ copies
+        some = others > 0
+        return pd.DataFrame({"id": rows["id"].to_numpy()[some], "n": others[some], "rep": reps[some], "root": root[some]})
+
+    return compare
+
+
+def _crowded(caught: DataFrame) -> DataFrame:
+    """Label, filter and number of members of filters that hold far more vectors than evenly spread ones would."""
+    sizes = materialized(caught.groupBy("label", "filter").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "filter-sizes")
+    spread = caught.groupBy("label").agg((F.count(F.lit(1)) / F.lit(CODES * WORDS**2)).alias("mean"))
+    many = sizes.where(F.col("members") > CROWD).join(spread, "label")
+    return many.where(F.col("members") > CROWD + 16 * F.col("mean")).select("label", "filter", "members")
 
 
 def near_embeddings(vectors: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -137,6 +199,10 @@ def near_embeddings(vectors: DataFrame, similarity: float = SIMILARITY) -> DataF
     link with a probability of about 1e-9 (the measured share to the power of 48, right to a factor of a few);
     lower similarities need a lower cap. Candidates are pairs of a label and filter; each is verified once.
 
+    Representatives in a crowded filter (a group of near copies) are dealt into blocks by their most crowded
+    one. Two blocks that share a crowded filter meet in one task, which gives each vector's number of links
+    and the smallest id it reaches there: work grows with the square of a group, rows with its blocks.
+
     Vectors that are NULL, empty, zero or hold NULL or non-finite components, rows with a NULL label and
     rows without an id link with nothing (``n_links`` 0, a component of their own id). Vectors of different
     lengths never link. Rows that repeat an id are taken as different vectors that share their id's
@@ -149,30 +215,59 @@ def near_embeddings(vectors: DataFrame, similarity: float = SIMILARITY) -> DataF
     checked = materialized(rows.mapInArrow(_valid, f"{fields}, good boolean"), "vectors")
     able = checked.where("good AND label IS NOT NULL AND id IS NOT NULL")
     classes = able.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = materialized(classes, "classes")
-    member = able.select("id", "label", "vector").join(classes, ["label", "vector"]).select("id", "rep", "copies")
+    classes = materialized(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    numbers = classes.withColumnRenamed("id", "class")
+    member = able.select("id", "label", "vector").join(numbers, ["label", "vector"]).select("id", "class", "rep", "copies")
     member = materialized(member, "members")
 
-    fields = f"id bigint, label {dict(rows.dtypes)['label']}, filters array<bigint>"
-    reps = classes.select(F.col("rep").alias("id"), "label", "vector")
-    caught = reps.mapInArrow(_filters, fields).select("id", "label", F.explode("filters").alias("filter"))
-    caught = materialized(caught, "filters")
-    left, right = caught.withColumnRenamed("id", "a"), caught.withColumnRenamed("id", "b")
+    fields = f"id bigint, label {dict(rows.dtypes)['label']}, filter bigint"
+    caught = materialized(classes.select("id", "label", "vector").mapInArrow(_filters, fields), "filters")
+    crowded = materialized(_crowded(caught), "crowded-filters")
+    inside = materialized(caught.join(crowded, ["label", "filter"]), "crowded-members")
+    home = inside.groupBy("id", "label").agg(F.min(F.struct(-F.col("members"), "filter")).alias("home"))
+    home = materialized(home.select("id", "label", F.col("home.filter").alias("home")), "homes")
+    sizes = home.groupBy("label", "home").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    dealt = home.join(sizes, ["label", "home"]).select(
+        "id", F.xxhash64("label", "home", F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("block")
+    )
+    dealt = materialized(dealt, "blocks")
+    reach = materialized(inside.join(dealt, "id").select("label", "filter", "block").distinct(), "block-filters")
+    one, two = reach.withColumnRenamed("block", "p"), reach.withColumnRenamed("block", "q")
+    meet = materialized(one.join(two, ["label", "filter"]).where("p <= q").select("p", "q").distinct(), "block-pairs")
+    ends = F.explode(F.array_distinct(F.array("p", "q"))).alias("block")
+    filled = dealt.join(classes.select("id", "rep", "vector", "copies"), "id")
+    met = meet.select("p", "q", ends).join(filled, "block")
+    in_blocks = materialized(
+        met.groupBy("p", "q").applyInPandas(_compare_blocks(similarity), "id bigint, n bigint, rep bigint, root bigint"), "block-links"
+    )
+
+    spread = caught.join(crowded, ["label", "filter"], "left_anti")
+    left, right = spread.withColumnRenamed("id", "a"), spread.withColumnRenamed("id", "b")
     pairs = left.join(right, ["label", "filter"]).where("a < b").select("a", "b").distinct()
+    for end in "ab":
+        pairs = pairs.join(dealt.select(F.col("id").alias(end), F.col("block").alias(f"block_{end}")), end, "left")
+    pairs = materialized(pairs, "pairs")
+    apart = pairs.where("block_a IS NULL OR block_b IS NULL").select("a", "b")
+    both = pairs.where("block_a IS NOT NULL AND block_b IS NOT NULL").select(
+        "a", "b", F.least("block_a", "block_b").alias("p"), F.greatest("block_a", "block_b").alias("q")
+    )
+    pairs = apart.union(both.join(meet, ["p", "q"], "left_anti").select("a", "b"))
 
     def side(s: str) -> DataFrame:
-        return classes.select(F.col("rep").alias(s), F.col("vector").alias(f"v_{s}"), F.col("copies").alias(f"n_{s}"))
+        return classes.select(*[F.col(c).alias(d) for c, d in (("id", s), ("rep", f"rep_{s}"), ("vector", f"v_{s}"), ("copies", f"n_{s}"))])
 
     met = pairs.join(side("a"), "a").join(side("b"), "b")
-    links = materialized(met.where(_cosine("v_a", "v_b") >= similarity).select("a", "b", "n_a", "n_b"), "links")
+    links = materialized(met.where(_cosine("v_a", "v_b") >= similarity).select("a", "b", "rep_a", "rep_b", "n_a", "n_b"), "links")
 
     ends = F.explode(F.array(
-        F.struct(F.col("a").alias("rep"), F.col("n_b").alias("n")), F.struct(F.col("b").alias("rep"), F.col("n_a").alias("n"))
+        F.struct(F.col("a").alias("class"), F.col("n_b").alias("n")), F.struct(F.col("b").alias("class"), F.col("n_a").alias("n"))
     )).alias("e")
-    degree = links.select(ends).groupBy("e.rep").agg(F.sum("e.n").alias("others"))
+    counted = links.select(ends).select("e.*").union(in_blocks.select("id", "n"))
+    degree = counted.groupBy("class").agg(F.sum("n").alias("others"))
     same_id = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
-    labels = components(links.select("a", "b").union(same_id)).withColumnRenamed("id", "rep")
-    placed = member.join(degree, "rep", "left").join(labels, "rep", "left").select(
+    joined = links.select("rep_a", "rep_b").union(in_blocks.select("rep", "root").where("rep <> root")).union(same_id)
+    labels = components(joined.toDF("a", "b")).withColumnRenamed("id", "rep")
+    placed = member.join(degree, "class", "left").join(labels, "rep", "left").select(
         "id",
         (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"),

@@ -135,7 +135,10 @@ def test_common_lines_are_a_longest_common_subsequence():
         assert len(found) == length(a, b) and all(a[i] in picked for i in found)
 
 
-def test_embeddings_match_brute_force(spark):
+@pytest.mark.parametrize("crowd,block", [(256, 1024), (3, 4)])
+def test_embeddings_match_brute_force(spark, monkeypatch, crowd, block):
+    monkeypatch.setattr(embeddings, "CROWD", crowd)
+    monkeypatch.setattr(embeddings, "BLOCK", block)
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 64))
     vectors = []
@@ -162,6 +165,43 @@ def test_embeddings_match_brute_force(spark):
     assert all(got[i].kept == (comp[i] == i) for i in got)
 
 
+def test_a_large_group_of_near_copies_takes_no_row_per_pair(spark, monkeypatch):
+    """3,000 vectors around one, some beyond the threshold of others, beside lone vectors and another label."""
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal(64)
+    x = centre + rng.standard_normal((3000, 64)) * np.abs(centre).mean() * rng.uniform(0.02, 0.2, (3000, 1))
+    x = np.vstack([x, rng.standard_normal((300, 64)), centre[None, :]])
+    label = np.array([1] * 3300 + [2])
+    df = spark.createDataFrame([(int(i) - 1500, x[i].tolist(), int(label[i])) for i in range(len(x))], "vec_id bigint, embedding array<double>, label int")
+    rows = {}
+
+    def counted(df, name="stage"):
+        out = keep(df, name)
+        rows[name] = out.count()
+        return out
+
+    keep = embeddings.materialized
+    monkeypatch.setattr(embeddings, "materialized", counted)
+    got = {r.vec_id + 1500: r for r in embeddings.near_embeddings(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(link, False)
+    comp = np.arange(len(x))
+    for _ in range(20):
+        comp = np.minimum(comp, np.where(link, comp[None, :], len(x)).min(axis=1))
+    assert [got[i].n_links for i in range(len(x))] == link.sum(axis=1).tolist()
+    assert [got[i].component_id + 1500 for i in range(len(x))] == comp.tolist()
+    # filters that are not crowded still pair their members, so rows grow with the vectors, not with the pairs
+    assert link.sum() > 8_000_000 and rows["pairs"] < 3000 * embeddings.CROWD and rows["links"] + rows["block-links"] < 12_000
+
+
+def test_repeated_ids_do_not_link_other_labels(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 2), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 1), (4, [0.01, 1.0], 2)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_embeddings(df).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 1, 1)]
+
+
 @pytest.mark.parametrize("dimension", [5, 64, 300])
 def test_codes_together_miss_no_pair_at_the_threshold(dimension):
     rng = np.random.default_rng(4)
