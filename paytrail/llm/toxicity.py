@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +31,9 @@ MIN_ENDINGS = 3
 MIN_LINES = 3
 PENALTY = 2.0
 SIGNIFICANT = 0.01
+#: A token is a run of letters and of numbers that are no decimal digits, here and in Java's notation.
 _TOKEN = re.compile(r"[^\W\d_]+")
+_TOKEN_JAVA = r"([\p{L}\p{Nl}\p{No}]+)"
 _MEMO_TOKENS = 500_000
 
 
@@ -98,16 +101,17 @@ class Model:
         floor = -math.log(SIGNIFICANT)
         return [s for s in maximal_segments(scores) if self.excess(s.score, len(scores)) > floor], len(scores)
 
-    def features(self, text: str | None, memo: dict[str, float] | None = None) -> tuple[float, float]:
-        """The best segment's excess, and the summed excess of all significant ones, both damped."""
+    def measures(self, text: str | None, memo: dict[str, float] | None = None) -> tuple[int, float, float, float]:
+        """Tokens, best segment score, the best segment's excess, and the summed excess of all significant ones, both damped."""
         scores = self.token_scores(text, {} if memo is None else memo)
-        excess = [self.excess(s.score, len(scores)) for s in maximal_segments(scores)]
+        found = [s.score for s in maximal_segments(scores)]
+        excess = [self.excess(x, len(scores)) for x in found]
         best = max(excess, default=-math.log(self.scale * max(len(scores), 1)))
         sure = sum(x for x in excess if x > -math.log(SIGNIFICANT))
-        return math.asinh(best), math.asinh(sure)
+        return len(scores), max(found, default=0.0), math.asinh(best), math.asinh(sure)
 
     def score(self, text: str | None, memo: dict[str, float] | None = None) -> float:
-        best, sure = self.features(text, memo)
+        _, _, best, sure = self.measures(text, memo)
         a, b, c = self.curve
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, a + b * best + c * sure))))
 
@@ -121,7 +125,7 @@ def _token_rows(rows: DataFrame) -> DataFrame:
     """Each token of each distinct line; copies of a document count once, as their lines do."""
     lines = rows.select("toxic", F.explode(F.split("text", "\n")).alias("line")).groupBy("line")
     lines = lines.agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic")).select("toxic", F.xxhash64("line").alias("id"), "line")
-    words = F.regexp_extract_all(F.lower("line"), F.lit("(\\p{L}+)"), F.lit(1))
+    words = F.regexp_extract_all(F.lower("line"), F.lit(_TOKEN_JAVA), F.lit(1))
     return lines.select("id", "toxic", F.explode(F.array_distinct(words)).alias("token"))
 
 
@@ -151,7 +155,8 @@ def _shares(token_rows: DataFrame, base: float) -> tuple[dict[str, float], dict[
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from rows of ``docs`` with a label in ``labels`` (``toxic`` 0 or 1).
 
-    About ``SAMPLE_ROWS`` labelled rows are drawn by a hash of their ids. On two thirds of them a token's
+    About ``SAMPLE_ROWS`` labelled ids are drawn by a hash; of rows that repeat an id the first text in byte
+    order counts. On two thirds of them a token's
     share of toxic lines is estimated under a Dirichlet prior centred on the shares of its beginnings. The
     other third gives the extreme-value law and the curve, or all of them if the third lacks a kind.
     Without labelled rows of both kinds every text scores the same, below 0.5.
@@ -163,8 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if total > SAMPLE_ROWS:
         known = known.where(F.pmod(draw, F.lit(total)) < SAMPLE_ROWS)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    drawn = texts.join(F.broadcast(known), "id")  # bounded by SAMPLE_ROWS
-    drawn = drawn.withColumn("calibrates", F.pmod(F.xxhash64("id", F.lit(55)), F.lit(_CALIBRATION_SHARE)) == 0)
+    drawn = texts.join(F.broadcast(known), "id").groupBy("id", "toxic").agg(F.min("text").alias("text"))  # bounded by SAMPLE_ROWS
+    calibrates = F.pmod(F.xxhash64("id", F.lit(55)), F.lit(_CALIBRATION_SHARE)) == 0
+    drawn = materialized(drawn.withColumn("calibrates", calibrates), "drawn-rows")
     counting = drawn.where("NOT calibrates")
     token_rows = materialized(_token_rows(counting), "token-lines")
     n, n_toxic = token_rows.agg(F.count_distinct("id"), F.count_distinct(F.when(F.col("toxic") == 1, F.col("id")))).first()
@@ -178,54 +184,47 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return round(math.log(share / (1 - share)) - math.log(base / (1 - base)), 4)
 
     model = Model({t: gain(p) for t, p in tokens.items()}, {t: gain(p) for t, p in stems.items()})
-    rows = _features(drawn.where("calibrates"), model)
-    if rows["toxic"].nunique() < 2:  # few labels of a kind, all among the counting rows
-        rows = _features(drawn, model)
-    _calibrate(model, rows)
+    rows = drawn.where("calibrates")
+    if rows.agg(F.count_distinct("toxic")).first()[0] < 2:  # few labels of a kind, all among the counting rows
+        rows = drawn
+    for step in (_fit_law, _fit_curve):
+        step(model, _measured(rows, model))
     return model
 
 
-def _features(rows: DataFrame, model: Model) -> pd.DataFrame:
-    """Best segment, tokens and label of the calibrating rows (a bounded number), and all their segments."""
+def _measured(rows: DataFrame, model: Model) -> pd.DataFrame:
+    """Four numbers and the label of each calibrating row, of which there is a bounded number."""
     sent = rows.sparkSession.sparkContext.broadcast(vars(model))
 
-    def best(batches):
-        model = Model(**sent.value)
-        memo: dict[str, float] = {}
+    def measure(batches):
+        model, memo = Model(**sent.value), {}
         for batch in batches:
-            out = []
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                scores = model.token_scores(text, memo)
-                found = [s.score for s in maximal_segments(scores)]
-                out.append((len(scores), found, toxic))
-            yield pd.DataFrame(out, columns=["n", "found", "toxic"])
-
-    return rows.select("text", "toxic").mapInPandas(best, "n bigint, found array<double>, toxic int").toPandas()
-
-
-def _calibrate(model: Model, rows: pd.DataFrame) -> None:
-    """Fit the extreme-value law to best segments of rows that are not toxic, then the curve to all rows."""
-    if rows.empty or rows["toxic"].nunique() < 2:
-        return
-    n = rows["n"].clip(lower=1).to_numpy(dtype=float)
-    best = np.array([max(f, default=0.0) for f in rows["found"]])
-    clean = (rows["toxic"] == 0).to_numpy()
+            out = [(*model.measures(text, memo), toxic) for text, toxic in zip(batch["text"], batch["toxic"])]
+            yield pd.DataFrame(out, columns=["n", "top", "best", "sure", "toxic"])
+
+    fields = "n bigint, top double, best double, sure double, toxic int"
+    return rows.select("text", "toxic").mapInPandas(measure, fields).toPandas()
+
+
+def _fit_law(model: Model, rows: pd.DataFrame) -> None:
+    """The extreme-value law of the best segments of rows that are not toxic."""
+    clean = rows[rows["toxic"] == 0]
+    n, best = np.log(clean["n"].clip(lower=1).to_numpy(dtype=float)), clean["top"].to_numpy()
     rate = 1.0
     for _ in range(20):
-        spread = float(np.std(best[clean] - np.log(n[clean]) / rate))
+        spread = float(np.std(best - n / rate))
         rate = min(20.0, max(0.05, math.pi / math.sqrt(6) / max(spread, 1e-6)))
     model.rate = rate
-    model.scale = float(np.exp(np.mean(rate * best[clean] - np.log(n[clean])) - np.euler_gamma))
-    floor = -math.log(SIGNIFICANT)
-    x = np.empty((len(rows), 3))
-    for i, (found, size) in enumerate(zip(rows["found"], rows["n"])):
-        excess = [model.excess(s, size) for s in found]
-        x[i] = 1, math.asinh(max(excess, default=-math.log(model.scale * max(size, 1)))), math.asinh(
-            sum(e for e in excess if e > floor)
-        )
+    model.scale = float(np.exp(np.mean(rate * best - n) - np.euler_gamma))
+
+
+def _fit_curve(model: Model, rows: pd.DataFrame) -> None:
+    """The logistic curve over both features, by Newton steps with a ridge."""
+    rows = rows.sort_values(["best", "sure", "toxic"])  # sums do not depend on the order of tasks
+    x = np.column_stack([np.ones(len(rows)), rows["best"], rows["sure"]])
     y = rows["toxic"].to_numpy(dtype=float)
     w = np.zeros(3)
-    for _ in range(50):  # Newton steps of a ridge logistic regression
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         ridge = np.array([1e-6, 0.02, 0.02])
         w += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * w)
@@ -237,9 +236,10 @@ def scorer(docs: DataFrame, model: Model):
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf(DoubleType())
-    def score(texts: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, memo = Model(**sent.value), {}
-        return pd.Series([model.score(t, memo) for t in texts], dtype="float64")
+        for texts in batches:
+            yield pd.Series([model.score(t, memo) for t in texts], dtype="float64")
 
     return score
 
@@ -279,6 +279,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with all their columns."""
+    """The rows of ``docs`` that score below 0.5, with all their columns.
+
+    NULL, empty and very long texts are scored like others, repeated rows one by one; an empty table stays empty.
+    """
     model = fit(docs.where(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", "text"), labels)
     return docs.where(scorer(docs, model)("text") < 0.5)

@@ -380,6 +380,21 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert toxicity.score_toxicity(table(spark, []), one).count() == 0
 
 
+def test_tokens_of_training_and_scoring_agree(spark):
+    texts = ["Eins zwei_drei 4 vier5", "½ ² Ⅷ x²y ٣ abc", "ΣΑΣ İstanbul naïve e\u0301", "一二 三十", "ǅ ª µ", ""]
+    rows = spark.createDataFrame([(t, 1) for t in texts], "text string, toxic int")
+    got = {r.token for r in toxicity._token_rows(rows).collect()}
+    assert got == {token for t in texts for token in toxicity._TOKEN.findall(t.lower())}
+
+
+def test_repeated_ids_are_learned_once(spark):
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 30) + (" vilword foulword badword" * 4 if i % 3 == 0 else ""), "en", "s") for i in range(150)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(150)], "doc_id bigint, quality int, toxic int")
+    once, often = toxicity.fit(table(spark, rows), labels), toxicity.fit(table(spark, rows + rows[:40] * 5), labels)
+    assert vars(once) == vars(often)
+
+
 def test_toxicity_with_few_toxic_labels(spark):
     """All toxic labels among the counting rows: the calibrating third holds one kind."""
     rng = random.Random(13)
