@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,11 @@ SETTINGS = {
 }
 
 
+#: How many folders a task of a write keeps open; it sorts what falls into further ones.
+OPEN_FOLDERS = 32
+_OPEN_FOLDERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 def get_spark(app_name: str = "paytrail", **extra: str) -> SparkSession:
     """The active or a new session; master and memory come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -54,3 +61,14 @@ def materialized(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def open_folders(spark: SparkSession) -> Iterator[None]:
+    """Writes into folders keep a file per folder open, instead of sorting in memory all rows of a task by folder."""
+    before = spark.conf.get(_OPEN_FOLDERS)
+    spark.conf.set(_OPEN_FOLDERS, OPEN_FOLDERS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN_FOLDERS, before)

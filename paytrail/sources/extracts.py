@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from paytrail.functions import pay_period
 from paytrail.schemas import EXTRACT_DATE, MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
+from paytrail.session import open_folders
 from paytrail.sources.tables import write_table
 
 SNAPSHOT, MONTH = "full_load_date", "ingest_month"
@@ -172,7 +173,8 @@ def _write_csv(df: DataFrame, path: str, folder: str, mode: str) -> None:
     # Rebalancing joins small slices of a folder and splits large ones, so neither a
     # busy month nor many quiet ones make a bad file size.
     balanced = df.hint("rebalance", folder)
-    balanced.write.mode(mode).partitionBy(folder).option("header", True).csv(path)
+    with open_folders(df.sparkSession):
+        balanced.write.mode(mode).partitionBy(folder).option("header", True).csv(path)
 
 
 def write_snapshot_extract(

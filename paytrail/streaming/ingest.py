@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.schemas import MONTHLY_EXTRACTS
-from paytrail.session import scratch_path
+from paytrail.session import materialized
 from paytrail.sources.extracts import MALFORMED, MONTH, fits, read_extract, with_lineage
 
 #: The folder column of a landed table: the number of the run's micro-batch.
@@ -23,8 +23,8 @@ def ingest_new_files(
 
     Gives the rows a full re-read gives, as long as delivered files do not
     change. The stream carries the names of the new files, whose checkpoint on shared storage tells which have landed. Each
-    micro-batch reads its files once, by their headers, which may differ between deliveries, and puts
-    well-formed and malformed rows into a folder of its number; a batch that runs again replaces that folder.
+    micro-batch reads its files once, by their headers, which may differ between deliveries, into a scratch table, and
+    puts well-formed and malformed rows into a folder of its number; a batch that runs again replaces that folder.
     """
     path, declared = f"{raw_dir}/{name}", MONTHLY_EXTRACTS[name]
 
@@ -34,9 +34,7 @@ def ingest_new_files(
             return
         rows = read_extract(spark, path, declared, MONTH, files).drop(MONTH)
         flagged = rows.withColumn(_FITS, fits(rows))
-        stage = scratch_path(spark, "landing")
-        flagged.write.partitionBy(_FITS).parquet(stage)
-        stored = spark.read.schema(flagged.schema).parquet(stage)
+        stored = materialized(flagged, "landing")  # no folders: those would sort each task's rows in memory
         good, bad = stored.where(_FITS).drop(MALFORMED, _FITS), stored.where(f"NOT {_FITS}").drop(_FITS)
         _replace_batch(with_lineage(good), f"{bronze_dir}/{name}", batch)
         if not bad.isEmpty():

@@ -1,5 +1,6 @@
 from datetime import date
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,6 +11,7 @@ from paytrail.operators.quality import DataQualityError, observed
 from paytrail.plans import pipeline
 from paytrail.plans.silver import silver_tables
 from paytrail.schemas import MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
+from paytrail.session import OPEN_FOLDERS, open_folders
 from paytrail.sources import extracts, tables
 from paytrail.streaming.ingest import _replace_batch, ingest_new_files
 
@@ -285,3 +287,36 @@ def test_equal_variances_are_spread_by_the_sort(spark):
     rows = spark.range(20000).select(F.lit(0.0).alias("variance"), F.col("id").cast("string").alias("agent_id"), F.lit("2025-01").alias("pay_period"))
     held = rows.repartition(8).orderBy(F.abs("variance").desc(), "agent_id", "pay_period").rdd.glom().map(len).collect()
     assert max(held) < 3 * 20000 / max(1, sum(n > 0 for n in held))
+
+
+def test_landing_sorts_no_rows(spark, tmp_path):
+    """A write into folders sorts in memory all rows of a split, so the scratch table of a delivery has none."""
+    folder = tmp_path / "raw" / "payments" / "ingest_month=2025-02"
+    folder.mkdir(parents=True)
+    lines = [f"P{k},{'x' if k == 2 else k}.00" for k in range(5)]
+    (folder / "a.csv").write_text("\n".join(["payment_id,net_payment_amount", *lines]) + "\n")
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("landing-*"))
+    ingest_new_files(spark, str(tmp_path / "raw"), "payments", str(tmp_path / "bronze"), str(tmp_path / "progress"))
+    (stage,) = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("landing-*")) - before
+    assert not [f for f in stage.iterdir() if f.is_dir()] and spark.read.parquet(str(stage)).count() == 5
+    landed = tables.read_table(spark, f"{tmp_path}/bronze/payments")
+    assert sorted(r.payment_id for r in landed.collect()) == ["P0", "P1", "P3", "P4"]
+    kept = tables.read_table(spark, f"{tmp_path}/bronze/_quarantine/payments")
+    assert [r.payment_id for r in kept.collect()] == ["P2"]
+
+
+def test_exports_sort_no_rows_by_folder(spark, tmp_path):
+    """A task keeps the files of its months open; more months than that are sorted, and no row is lost."""
+    log = spark._jsparkSession.sessionState().conf()
+    before = log.maxConcurrentOutputFileWriters()
+    with open_folders(spark):
+        assert log.maxConcurrentOutputFileWriters() == OPEN_FOLDERS
+    assert log.maxConcurrentOutputFileWriters() == before
+    months = spark.range(6 * OPEN_FOLDERS).select(
+        F.col("id").cast("string").alias("policy_id"),
+        F.add_months(F.lit(d(2000, 1, 1)), (F.col("id") % (2 * OPEN_FOLDERS)).cast("int")).alias("issue_date"),
+    )
+    extracts.write_monthly_extract(months.coalesce(1), str(tmp_path), "policies", "issue_date")
+    read = extracts.monthly_extract(spark, str(tmp_path), "policies").select("policy_id", "issue_date")
+    assert read.exceptAll(months).isEmpty() and read.count() == 6 * OPEN_FOLDERS
+    assert len(list((tmp_path / "policies").glob("ingest_month=*"))) == 2 * OPEN_FOLDERS
