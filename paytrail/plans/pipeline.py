@@ -19,7 +19,7 @@ from paytrail.config import Lake
 from paytrail.operators.quality import observed, quality_gate, run_checks
 from paytrail.plans import marts
 from paytrail.plans.silver import silver_tables
-from paytrail.session import get_spark, scratch_path
+from paytrail.session import at_once, get_spark, open_folders, scratch_path
 from paytrail.sources.extracts import ingest_all
 from paytrail.sources.tables import publish_table, read_table, write_quarantine, write_table
 
@@ -38,19 +38,22 @@ def run_silver(
 ) -> None:
     """Build, check and store each silver table; a failed error check stops the run before the table is replaced.
 
-    A table is built once, into a scratch table with a folder for its valid rows: row rules are counted
-    while it is written, key rules on the stored keys, and valid and bad rows are stored from their folders. With
-    ``database``, readers move to the new table by the catalog.
-    Facts arrive in month folders, so their input splits already hold few periods and
-    are written without a shuffle.
+    A table that takes shuffles is built once, into a scratch table with a folder for its valid rows: row rules are counted
+    while it is written, key rules on the stored keys, and valid and bad rows are stored from their folders.
+    Facts are plain projections of bronze: they are checked in one scan of it and then stored from it, without a scratch
+    copy. They arrive in month folders, so their input splits already hold few periods and are written without a shuffle.
+    With ``database``, readers move to the new table by the catalog.
     """
     for table in silver_tables():
         built = table.build(*[read_table(spark, f"{bronze_dir}/{name}", fmt) for name in table.sources])
         valid = F.lit(True) if table.valid is None else F.coalesce(table.valid, F.lit(False))
-        flagged, watch = observed(built.withColumn(_VALID, valid), table.checks, F.col(_VALID))
-        stage = scratch_path(spark, table.name)
-        flagged.write.partitionBy(_VALID).parquet(stage)
-        stored = spark.read.schema(flagged.schema).parquet(stage)
+        stored, watch = built.withColumn(_VALID, valid), None
+        if table.staged:
+            flagged, watch = observed(stored, table.checks, F.col(_VALID))
+            stage = scratch_path(spark, table.name)
+            with open_folders(spark):
+                flagged.write.partitionBy(_VALID).parquet(stage)
+            stored = spark.read.schema(flagged.schema).parquet(stage)
         clean, bad = (stored.where(c).select(*built.columns) for c in (F.col(_VALID), ~F.col(_VALID)))
         run_checks(
             spark, clean, table.checks, table.name, f"{silver_dir}/_dq_log", log_format=fmt, watch=watch
@@ -67,7 +70,7 @@ def run_silver(
 def run_gold(
     spark: SparkSession, silver_dir: str, gold_dir: str, fmt: str = "parquet", database: str | None = None
 ) -> dict:
-    """Build all marts; the result is the reconciliation headline."""
+    """Build all marts, those that do not need one another at once; the result is the reconciliation headline."""
     silver = _reader(spark, silver_dir, fmt, database)
     gold = _reader(spark, gold_dir, fmt, database)
 
@@ -81,20 +84,24 @@ def run_gold(
     transactions, chargebacks = silver("fact_commission_transactions"), silver("fact_chargebacks")
     agents, payments = silver("dim_agent"), silver("fact_payments")
 
-    summary = publish(
-        "agent_commission_summary",
-        marts.agent_commission_summary(transactions, chargebacks, agents),
-        "pay_period",
-    )
-    publish(
-        "payment_run_summary",
-        marts.payment_run_summary(payments, agents, silver("dim_agency")),
-        "pay_period",
-        order_by=["agency_id"],
-    )
-    publish("chargeback_exposure", marts.chargeback_exposure(transactions, chargebacks, agents))
-    publish("agent_leaderboard", marts.agent_leaderboard(summary))
-    report = publish("reconciliation_report", marts.reconciliation_report(summary, payments))
+    summary, *_ = at_once(spark, [
+        lambda: publish(
+            "agent_commission_summary",
+            marts.agent_commission_summary(transactions, chargebacks, agents),
+            "pay_period",
+        ),
+        lambda: publish(
+            "payment_run_summary",
+            marts.payment_run_summary(payments, agents, silver("dim_agency")),
+            "pay_period",
+            order_by=["agency_id"],
+        ),
+        lambda: publish("chargeback_exposure", marts.chargeback_exposure(transactions, chargebacks, agents)),
+    ])
+    report, _ = at_once(spark, [
+        lambda: publish("reconciliation_report", marts.reconciliation_report(summary, payments)),
+        lambda: publish("agent_leaderboard", marts.agent_leaderboard(summary)),
+    ])
     return marts.reconciliation_headline(report).first().asDict()
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -23,6 +25,10 @@ OPEN_FOLDERS = 32
 _OPEN_FOLDERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
+#: How many independent writes are submitted side by side.
+WRITES_AT_ONCE = 4
+
+
 def get_spark(app_name: str = "paytrail", **extra: str) -> SparkSession:
     """The active or a new session; master and memory come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -72,3 +78,14 @@ def open_folders(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(_OPEN_FOLDERS, before)
+
+
+def at_once(spark: SparkSession, steps: list[Callable]) -> list:
+    """Run steps that do not need one another side by side, and return their results in order.
+
+    Each submits Spark jobs; the tasks of one take the cores that the last tasks and the planning of another leave
+    idle. All steps end before a failure is raised.
+    """
+    with ThreadPoolExecutor(WRITES_AT_ONCE) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in running]

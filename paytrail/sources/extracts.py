@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +12,14 @@ from pyspark.sql import types as T
 
 from paytrail.functions import pay_period
 from paytrail.schemas import EXTRACT_DATE, MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
-from paytrail.session import open_folders
+from paytrail.session import at_once, open_folders
 from paytrail.sources.tables import write_table
 
 SNAPSHOT, MONTH = "full_load_date", "ingest_month"
 LINEAGE = ["_ingested_at", "_source_file"]
 
 
-MALFORMED = "_malformed"
+MALFORMED, _FITS = "_malformed", "_fits"
 #: The header decides which column is which; a file is never read under another file's header.
 CSV_OPTIONS = {"header": True, "enforceSchema": False, "columnPruning": False, "columnNameOfCorruptRecord": MALFORMED}
 _HEADER_READERS = 16
@@ -155,13 +155,22 @@ def land(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 
 
 def ingest_all(spark: SparkSession, raw_dir: str, bronze_dir: str, fmt: str = "parquet") -> dict[str, int]:
-    """Land every extract; the result gives the rows per table."""
-    landed = {}
-    for name in [*REFERENCE_EXTRACTS, *MONTHLY_EXTRACTS]:
+    """Land every extract, several at once; the result gives the rows per table.
+
+    The write of a table counts its malformed rows as well, and only if there are some are its files parsed again for them.
+    """
+
+    def ingest(name: str) -> int:
         read = (_snapshot if name in REFERENCE_EXTRACTS else _monthly)(spark, raw_dir, name)
-        landed[name] = land(with_lineage(well_formed(read)), f"{bronze_dir}/{name}", fmt)
-        quarantine_malformed(read, bronze_dir, name, fmt)
-    return landed
+        seen = Observation()
+        flagged = read.withColumn(_FITS, fits(read)).observe(seen, F.count_if(~F.col(_FITS)).alias("rows"))
+        good = flagged.where(_FITS).drop(MALFORMED, _FITS)
+        rows = land(with_lineage(good), f"{bronze_dir}/{name}", fmt)
+        quarantine_malformed(read if seen.get.get("rows") else read.limit(0), bronze_dir, name, fmt)
+        return rows
+
+    names = [*REFERENCE_EXTRACTS, *MONTHLY_EXTRACTS]
+    return dict(zip(names, at_once(spark, [partial(ingest, name) for name in names])))
 
 
 def _text_dates(df: DataFrame) -> DataFrame:
@@ -194,9 +203,15 @@ def write_monthly_extract(
 
 
 def export_extracts(tables: dict[str, DataFrame], raw_dir: str, load_date: str) -> None:
-    """Write all given tables in the layout ``ingest_all`` reads."""
-    for name, df in tables.items():
+    """Write all given tables, several at once, in the layout ``ingest_all`` reads."""
+
+    def export(name: str, df: DataFrame) -> None:
         if name in REFERENCE_EXTRACTS:
             write_snapshot_extract(df, raw_dir, name, load_date)
         else:
             write_monthly_extract(df, raw_dir, name, EXTRACT_DATE[name])
+
+    if tables:
+        spark = next(iter(tables.values())).sparkSession
+        with open_folders(spark):  # a setting of the session, so it stands until the last of the writes has ended
+            at_once(spark, [partial(export, name, df) for name, df in tables.items()])

@@ -11,7 +11,7 @@ from paytrail.operators.quality import DataQualityError, observed
 from paytrail.plans import pipeline
 from paytrail.plans.silver import silver_tables
 from paytrail.schemas import MONTHLY_EXTRACTS, REFERENCE_EXTRACTS
-from paytrail.session import OPEN_FOLDERS, open_folders
+from paytrail.session import OPEN_FOLDERS, at_once, open_folders
 from paytrail.sources import extracts, tables
 from paytrail.streaming.ingest import _replace_batch, ingest_new_files
 
@@ -320,3 +320,48 @@ def test_exports_sort_no_rows_by_folder(spark, tmp_path):
     read = extracts.monthly_extract(spark, str(tmp_path), "policies").select("policy_id", "issue_date")
     assert read.exceptAll(months).isEmpty() and read.count() == 6 * OPEN_FOLDERS
     assert len(list((tmp_path / "policies").glob("ingest_month=*"))) == 2 * OPEN_FOLDERS
+
+
+def test_files_without_malformed_rows_are_parsed_once(spark, lake, tmp_path, monkeypatch):
+    """The write of a bronze table counts its malformed rows; only a table that has some is read again for them."""
+    raw = tmp_path / "raw"
+    extracts.export_extracts(frames(spark), str(raw), "2025-03-01")
+    (raw / "payments" / "ingest_month=2025-02" / "late.csv").write_text("payment_id,net_payment_amount\nP8,x\nP9,1.00\n")
+    scans = {}
+
+    def watched(df, bronze_dir, name, fmt="parquet"):
+        scans[name] = "FileScan csv" in extracts.malformed(df)._jdf.queryExecution().executedPlan().toString()
+        quarantine(df, bronze_dir, name, fmt)
+
+    quarantine = extracts.quarantine_malformed
+    monkeypatch.setattr(extracts, "quarantine_malformed", watched)
+    landed = extracts.ingest_all(spark, str(raw), str(tmp_path / "bronze"))
+    assert landed == {**{name: len(rows) for name, rows in ROWS.items()}, "payments": 3}
+    assert scans == {name: name == "payments" for name in ROWS}
+    bad = {name: tables.read_table(spark, f"{tmp_path}/bronze/_quarantine/{name}") for name in ROWS}
+    assert {name: df.count() for name, df in bad.items()} == {name: int(name == "payments") for name in ROWS}
+    assert bad["agents"].columns == [c for c in frames(spark)["agents"].columns] + [extracts.MALFORMED, "_source_file"]
+
+
+def test_facts_are_stored_without_a_scratch_copy(spark, lake, tmp_path):
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    names = [t.name for t in silver_tables()]
+    before = {name: len(list(scratch.glob(f"{name}-*"))) for name in names}
+    pipeline.run_silver(spark, lake[0].layer("bronze"), str(tmp_path))
+    made = {name: len(list(scratch.glob(f"{name}-*"))) - before[name] for name in names}
+    assert made == {t.name: int(t.staged) for t in silver_tables()}
+    for name in names:
+        rows, first = tables.read_table(spark, f"{tmp_path}/{name}"), tables.read_table(spark, lake[0].table("silver", name))
+        assert rows.exceptAll(first).isEmpty() and rows.count() == first.count()
+
+
+def test_steps_at_once_keep_their_order_and_all_end_before_a_failure(spark):
+    ended = []
+
+    def failing():
+        raise ValueError("step")
+
+    assert at_once(spark, [lambda k=k: spark.range(k).count() for k in range(6)]) == list(range(6))
+    with pytest.raises(ValueError, match="step"):
+        at_once(spark, [failing, lambda: ended.append(spark.range(3).count())])
+    assert ended == [3]
